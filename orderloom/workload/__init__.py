@@ -1,3 +1,3 @@
 """Queries over the given tables, each with a SQL twin where SQL can say it."""
 
-from orderloom.workload import q_sales, q_star  # noqa: F401
+from orderloom.workload import q_customers, q_sales, q_star  # noqa: F401
