@@ -37,8 +37,10 @@ def boxcox_likelihood(df: DataFrame, column: str, lambdas: Sequence[float]) -> D
     x = positive(F.col(column))
     grid = F.explode(F.array(*[F.lit(float(v)) for v in lambdas]))
     rows = df.where(F.col(column).isNotNull()).select(x.alias("x"), grid.alias("lam"))
+    # the variance does not need the shift by -1 / lambda, which would cancel digits
+    power = F.when(F.col("lam") == 0, F.ln("x")).otherwise(F.pow("x", "lam") / F.col("lam"))
     stats = rows.groupBy("lam").agg(
-        F.var_pop(boxcox(F.col("x"), F.col("lam"))).alias("v"),
+        F.var_pop(power).alias("v"),
         F.sum(F.ln("x")).alias("logs"),
         F.count("*").alias("n"),
     )

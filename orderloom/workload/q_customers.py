@@ -315,8 +315,8 @@ _LTV = {
 
 @query(
     "customer_ltv",
-    sql("SELECT period, customer_id, spent AS total_spending, days AS actual_lifetime_days, round(e, 8) AS expected_lifetime, round(daily, 8) AS average_daily_spending, round(daily * e, 8) AS ltv FROM lv", **_LTV),
-    digits=8,
+    sql("SELECT period, customer_id, spent AS total_spending, days AS actual_lifetime_days, e AS expected_lifetime, daily AS average_daily_spending, daily * e AS ltv FROM lv", **_LTV),
+    digits=None,
 )
 def _(s):
     return customers.customer_ltv(s.orders)
@@ -437,7 +437,7 @@ LAMBDAS = [round(-2 + 0.25 * i, 2) for i in range(17)]
 @query(
     "boxcox_likelihood",
     sql(
-        """SELECT lam, round((lam - 1) * sum(ln(x)) - count(*) / 2.0 * ln(var_pop(CASE WHEN lam = 0 THEN ln(x) ELSE (pow(x, lam) - 1) / lam END)), 3) AS llf
+        """SELECT lam, round((lam - 1) * sum(ln(x)) - count(*) / 2.0 * ln(var_pop(CASE WHEN lam = 0 THEN ln(x) ELSE pow(x, lam) / lam END)), 3) AS llf
  FROM (SELECT greatest(monetary::DOUBLE / 100, 0.000001) AS x FROM rf), (SELECT unnest(["""
         + ", ".join(f"{v}::DOUBLE" for v in LAMBDAS)
         + "]) AS lam) GROUP BY 1",

@@ -28,7 +28,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def query(name: str, oracle: str | None = None, digits: int = 6):
+def query(name: str, oracle: str | None = None, digits: int | None = 6):
     """Register ``fn(shop) -> DataFrame`` under ``name``."""
 
     def register(fn: Callable[[Shop], DataFrame]) -> Callable[[Shop], DataFrame]:
@@ -36,7 +36,8 @@ def query(name: str, oracle: str | None = None, digits: int = 6):
             raise ValueError(f"query {name} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return rounded(fn(shop(spark, sf_dir)), digits)
+            found = fn(shop(spark, sf_dir))
+            return found if digits is None else rounded(found, digits)
 
         QUERIES[name] = run
         if oracle is not None:
