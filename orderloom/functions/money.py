@@ -13,7 +13,8 @@ def dollars(cents: Column | str) -> Column:
 
 def parse_cents(text: Column) -> Column:
     """JSON number text to whole cents, halves away from zero; bad text is an error."""
-    return F.round(text.cast("double")).cast("long")
+    cents = text.cast("double")
+    return F.when(cents < 0, F.ceil(cents - 0.5)).otherwise(F.floor(cents + 0.5))
 
 
 def rounded_ratio(total: Column, count: Column) -> Column:

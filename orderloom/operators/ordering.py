@@ -66,58 +66,106 @@ def with_row_number(df: DataFrame, order: Sequence[str | Column], out: str) -> D
     return counted.withColumn(out, F.col(out) + 1).drop("_one")
 
 
+def _long_form(df: DataFrame, keys: Mapping[str, Column], *carry: str) -> DataFrame:
+    """Rows (metric, value, carried columns) of several columns, so one sort serves all."""
+    entries = [
+        F.struct(F.lit(name).alias("metric"), key.cast("double").alias("value"))
+        for name, key in keys.items()
+    ]
+    return df.select(*carry, F.inline(F.array(*entries))).where("value is not null")
+
+
 def rank_cutoffs(
-    df: DataFrame, value: str, tie_break: str, ranks: Mapping[str, Column], descending: bool = False
+    df: DataFrame, keys: Mapping[str, Column], tie_break: str, ranks: Mapping[str, Column]
 ) -> DataFrame:
-    """One row with the (value, tie break) pair at each wanted 1-based rank.
+    """One row with, per sort key, the (value, tie) pair at each wanted 1-based rank.
 
-    ``ranks`` are expressions over ``n``, the number of rows.
+    ``ranks`` are expressions over ``n``, the number of rows.  The result has a struct
+    column per key with a struct field per rank.
     """
-    keys = df.select(value, tie_break)
-    order = [F.col(value).desc() if descending else F.col(value).asc(), F.col(tie_break).asc()]
-    numbered = with_row_number(keys, order, "rn")
-    n = keys.agg(F.count("*").alias("n"))
-    pair = F.struct(F.col(value).alias("value"), F.col(tie_break).alias("tie"))
-    return numbered.crossJoin(F.broadcast(n)).agg(
-        *[F.max(F.when(F.col("rn") == rank, pair)).alias(name) for name, rank in ranks.items()]
+    numbered = with_row_number(
+        _long_form(df, keys, tie_break), ["metric", "value", tie_break], "rn"
+    )
+    # one row per sort key
+    spans = numbered.groupBy("metric").agg(F.min("rn").alias("first"), F.count("*").alias("n"))
+    pair = F.struct(F.col("value"), F.col(tie_break).alias("tie"))
+    at = F.col("rn") - F.col("first") + 1
+    placed = numbered.join(F.broadcast(spans), "metric")
+    found = [
+        F.max(F.when((F.col("metric") == key) & (at == rank), pair)).alias(f"{key}/{name}")
+        for key in keys
+        for name, rank in ranks.items()
+    ]
+    row = placed.agg(*found)
+    return row.select(
+        *[
+            F.struct(*[F.col(f"`{key}/{name}`").alias(name) for name in ranks]).alias(key)
+            for key in keys
+        ]
     )
 
 
-def value_counts(df: DataFrame, value: str) -> DataFrame:
-    return df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("cnt"))
+def _counted_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct values per column with their count and the number of smaller rows.
 
+    A frequent value is one row here, however many rows have it.
+    """
+    counts = (
+        _long_form(df, {c: F.col(c) for c in columns})
+        .groupBy("metric", "value")
+        .agg(F.count("*").alias("cnt"))
+    )
+    walked = with_prefix(counts, ["metric", "value"], {"_before": "cnt"}, "value-counts")
+    # one row per column
+    spans = walked.groupBy("metric").agg(F.min("_before").alias("_first"), F.sum("cnt").alias("n"))
+    return walked.join(F.broadcast(spans), "metric").select(
+        "metric", "value", "cnt", (F.col("_before") - F.col("_first")).alias("before"), "n"
+    )
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: Mapping[str, float]) -> DataFrame:
-    """One row with exact, linearly interpolated quantiles of one column.
 
-    Works on the distinct values with their counts, so a frequent value is one row.
+def exact_quantiles(df: DataFrame, probabilities: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """One row of exact, linearly interpolated quantiles.
+
+    ``probabilities`` maps a column to {output name: probability}.
     """
-    counted = with_prefix(value_counts(df, value), [value], {"before": "cnt"}, "value-counts")
-    n = counted.agg(F.sum("cnt").alias("n"))
-    placed = counted.crossJoin(F.broadcast(n))
+    placed = _counted_values(df, list(probabilities))
+    wanted = [
+        (column, name, float(p))
+        for column, points in probabilities.items()
+        for name, p in points.items()
+    ]
 
-    def at(position: Column) -> Column:
-        covers = (F.col("before") <= position) & (position < F.col("before") + F.col("cnt"))
-        return F.max(F.when(covers, F.col(value).cast("double")))
+    def place(p: float) -> Column:
+        return (F.col("n") - 1) * F.lit(p)
 
-    picks: list[Column] = [F.max("n").alias("n")]
-    for name, p in probabilities.items():
-        place = (F.col("n") - 1) * F.lit(float(p))
-        picks += [at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}")]
+    def at(column: str, position: Column) -> Column:
+        covers = (F.col("before") <= position) & (position < F.col("before") + F.col("cnt"))
+        return F.max(F.when((F.col("metric") == column) & covers, F.col("value")))
+
+    picks = []
+    for column, name, p in wanted:
+        fraction = place(p) - F.floor(place(p))
+        picks += [
+            at(column, F.floor(place(p))).alias(f"_lo_{name}"),
+            at(column, F.ceil(place(p))).alias(f"_hi_{name}"),
+            F.max(F.when(F.col("metric") == column, fraction)).alias(f"_fr_{name}"),
+        ]
     row = placed.agg(*picks)
-    results = []
-    for name, p in probabilities.items():
-        place = (F.col("n") - 1) * F.lit(float(p))
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        results.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    return row.select(*results)
+    return row.select(
+        *[
+            (
+                F.col(f"_lo_{name}")
+                + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * F.col(f"_fr_{name}")
+            ).alias(name)
+            for _, name, _ in wanted
+        ]
+    )
 
 
-def average_ranks(df: DataFrame, value: str, out: str) -> DataFrame:
-    """Each distinct value with its average rank over ties."""
-    counted = with_prefix(value_counts(df, value), [value], {"before": "cnt"}, "value-counts")
+def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each distinct value of each column with its average rank over ties."""
     rank = F.col("before") + (F.col("cnt") + 1) / 2
-    return counted.select(value, rank.alias(out))
+    return _counted_values(df, columns).select("metric", "value", rank.alias("rank"))
 
 
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -127,9 +175,12 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counted instead.
     """
     ranked = df.select(*columns).dropna()
-    complete = ranked
+    ranks = average_ranks(ranked, columns)
     for column in columns:
-        ranked = ranked.join(average_ranks(complete, column, f"_rank_{column}"), column)
+        own = ranks.where(F.col("metric") == column).select(
+            F.col("value").alias("_value"), F.col("rank").alias(f"_rank_{column}")
+        )
+        ranked = ranked.join(own, F.col(column).cast("double") == F.col("_value")).drop("_value")
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     row = ranked.agg(
         F.count("*").alias("n"),

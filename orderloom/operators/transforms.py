@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,47 +28,57 @@ def boxcox(value: Column, lam: Column | float) -> Column:
     return F.when(near_zero, F.ln(value)).otherwise((F.pow(value, lam) - 1) / lam)
 
 
-def boxcox_likelihood(df: DataFrame, column: str, lambdas: Sequence[float]) -> DataFrame:
-    """Log-likelihood of each lambda: rows (lam, llf).
+def boxcox_likelihood(df: DataFrame, grids: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Log-likelihood per column and lambda: rows (metric, lam, llf).
 
-    Every row is repeated per lambda and combined again before the shuffle, which moves
-    one row per lambda and task.
+    Every row is repeated per candidate and combined again before the shuffle, which
+    moves one row per candidate and task.
     """
-    x = positive(F.col(column))
-    grid = F.explode(F.array(*[F.lit(float(v)) for v in lambdas]))
-    rows = df.where(F.col(column).isNotNull()).select(x.alias("x"), grid.alias("lam"))
+    entries = [
+        F.struct(
+            F.lit(name).alias("metric"),
+            positive(F.col(name)).alias("x"),
+            F.array(*[F.lit(float(v)) for v in grid]).alias("grid"),
+        )
+        for name, grid in grids.items()
+    ]
+    rows = df.select(F.inline(F.array(*entries))).select(
+        "metric", "x", F.ln("x").alias("log_x"), F.explode("grid").alias("lam")
+    )
     # the variance does not need the shift by -1 / lambda, which would cancel digits
-    power = F.when(F.col("lam") == 0, F.ln("x")).otherwise(F.pow("x", "lam") / F.col("lam"))
-    stats = rows.groupBy("lam").agg(
-        F.var_pop(power).alias("v"),
-        F.sum(F.ln("x")).alias("logs"),
-        F.count("*").alias("n"),
+    power = F.when(F.col("lam") == 0, F.col("log_x")).otherwise(F.pow("x", "lam") / F.col("lam"))
+    stats = rows.groupBy("metric", "lam").agg(
+        F.var_pop(power).alias("v"), F.sum("log_x").alias("logs"), F.count("*").alias("n")
     )
     llf = (F.col("lam") - 1) * F.col("logs") - F.col("n") / 2 * F.ln("v")
-    return stats.select("lam", llf.alias("llf"))
+    return stats.select("metric", "lam", llf.alias("llf"))
 
 
-def best_lambda(df: DataFrame, column: str, rounds: int = 4) -> float:
-    """The lambda of greatest likelihood in [-2, 2], to about four digits.
+def best_lambdas(df: DataFrame, columns: Sequence[str], rounds: int = 4) -> dict[str, float]:
+    """The lambda of greatest likelihood in [-2, 2] per column, to about four digits.
 
-    Each round is one aggregation over 41 candidates; a single row comes back.
+    Each round is one aggregation over 41 candidates per column; one row per column
+    comes back.
     """
-    low, high = -2.0, 2.0
-    best = 1.0
+    spans = {name: (-2.0, 2.0) for name in columns}
+    found = {name: 1.0 for name in columns}
     for _ in range(rounds):
-        step = (high - low) / 40
-        candidates = [low + i * step for i in range(41)]
+        grids = {
+            name: [low + i * (high - low) / 40 for i in range(41)]
+            for name, (low, high) in spans.items()
+        }
         top = (
-            boxcox_likelihood(df, column, candidates)
+            boxcox_likelihood(df, grids)
             .where(F.col("llf").isNotNull())
-            .orderBy(F.desc("llf"), F.asc("lam"))
-            .first()
+            .groupBy("metric")
+            .agg(F.max_by("lam", F.struct("llf", -F.col("lam"))).alias("lam"))
         )
-        if top is None:
-            return 1.0
-        best = top["lam"]
-        low, high = max(best - step, -2.0), min(best + step, 2.0)
-    return best
+        for row in top.collect():
+            low, high = spans[row["metric"]]
+            step = (high - low) / 40
+            found[row["metric"]] = row["lam"]
+            spans[row["metric"]] = (max(row["lam"] - step, -2.0), min(row["lam"] + step, 2.0))
+    return found
 
 
 def skewness_report(df: DataFrame, columns: Sequence[str], lambdas: dict[str, float] | None = None) -> DataFrame:

@@ -22,9 +22,11 @@ DOCUMENT = (
     "cart_size string, cart_surcharge string, cart_total_price string, cart_gst string, "
     "order_time string, order_time_verbose string, cart array<string>"
 )
-LINE = "name string, price string, quantity string"
-OPTIONS = "options array<string>"
-OPTION = "name string, value string, price string"
+OPTION = "name: string, value: string, price: string"
+ODD_OPTION = "name string, value string, price string"
+CART = f"""cart array<struct<
+    name: string, price: string, quantity: string, options: array<struct<{OPTION}>>>>"""
+ODD_LINE = "name string, price string, quantity string, options array<string>"
 
 CategoryRule = Callable[[Column], Column]
 no_menu: CategoryRule = by_menu({})
@@ -66,51 +68,82 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _lines(cart: Column, category: CategoryRule) -> Column:
-    """Merged cart lines in identity order.
+def _element(text: Column, parsed: Column, options: Column) -> Column:
+    return F.struct(
+        parsed["name"].alias("item_name"),
+        text.alias("cart_item"),
+        F.coalesce(parsed["quantity"].try_cast("long"), F.lit(1)).alias("quantity"),
+        parse_cents(parsed["price"]).alias("price_cents"),
+        options.alias("options"),
+    )
 
-    Two elements are the same line when their JSON text is equal; ``item_id`` numbers the
-    distinct lines by (name, text), ``item_rank`` the distinct names.
+
+def _elements(texts: Column, items: Column) -> Column:
+    """Cart elements with their fields, in document order.
+
+    One parse reads the fields of the whole cart.  It gives nothing when any element or
+    option is not an object; only such carts are read element by element.
     """
 
-    def element(text: Column) -> Column:
+    def odd(text: Column) -> Column:
         return _bind(
-            F.from_json(text, LINE),
-            lambda parsed: F.struct(
-                parsed["name"].alias("item_name"),
-                text.alias("cart_item"),
-                F.coalesce(parsed["quantity"].try_cast("long"), F.lit(1)).alias("quantity"),
-                parse_cents(parsed["price"]).alias("price_cents"),
+            F.from_json(text, ODD_LINE),
+            lambda p: _element(
+                text, p, F.transform(p["options"], lambda o: F.from_json(o, ODD_OPTION))
             ),
         )
 
-    def number(distinct: Column) -> Column:
-        names = F.transform(distinct, lambda e: F.struct(e["item_name"].alias("n")))
-        # equal lines are rare: only carts that have some are searched for copies
-        merged = F.size(distinct) < F.size(cart)
+    regular = F.zip_with(
+        texts, F.from_json(items, CART)["cart"], lambda text, p: _element(text, p, p["options"])
+    )
+    return F.coalesce(regular, F.transform(texts, odd))
+
+
+def _lines(texts: Column, items: Column, category: CategoryRule) -> Column:
+    """Merged cart lines in identity order.
+
+    Two elements are the same line when their JSON text is equal; ``item_id`` numbers the
+    distinct lines by (name, text), ``item_rank`` the distinct names.
+    """
 
-        def line(e: Column, position: Column, ranked: Column, is_merged: Column) -> Column:
-            same = F.filter(cart, lambda text: text.eqNullSafe(e["cart_item"]))
+    def without_repeats(elements: Column) -> Column:
+        def first_of_equals(e: Column, i: Column) -> Column:
+            return (i == 0) | ~e["cart_item"].eqNullSafe(F.get(elements, i - 1)["cart_item"])
+
+        return F.filter(elements, first_of_equals)
+
+    def number(env: Column) -> Column:
+        lines, ranked, merged = env["lines"], env["ranked"], env["merged"]
+
+        def line(e: Column, position: Column) -> Column:
+            same = F.filter(texts, lambda text: text.eqNullSafe(e["cart_item"]))
+            rank = F.array_position(ranked, F.struct(e["item_name"].alias("n")))
             return F.struct(
                 (position + 1).alias("item_id"),
-                F.array_position(ranked, F.struct(e["item_name"].alias("n"))).cast("int").alias("item_rank"),
+                rank.cast("int").alias("item_rank"),
                 e["item_name"].alias("item_name"),
                 category(e["item_name"]).alias("item_category"),
-                F.when(is_merged, F.size(same)).otherwise(1).alias("copies"),
+                F.when(merged, F.size(same)).otherwise(1).alias("copies"),
                 e["quantity"].alias("quantity"),
                 e["price_cents"].alias("price_cents"),
                 e["cart_item"].alias("cart_item"),
+                e["options"].alias("options"),
             )
 
-        return _bind(
-            F.struct(F.array_distinct(names).alias("ranked"), merged.alias("merged")),
-            lambda env: F.transform(
-                distinct, lambda e, i: line(e, i, env["ranked"], env["merged"])
-            ),
+        return F.transform(lines, line)
+
+    def prepare(elements: Column) -> Column:
+        # equal lines are rare: only carts that have some are searched for copies
+        merged = F.size(F.array_distinct(texts)) < F.size(texts)
+        names = F.transform(elements, lambda e: F.struct(e["item_name"].alias("n")))
+        return F.struct(
+            F.when(merged, without_repeats(elements)).otherwise(elements).alias("lines"),
+            F.array_distinct(names).alias("ranked"),
+            merged.alias("merged"),
         )
 
-    texts = F.array_distinct(cart)
-    return _bind(F.sort_array(F.transform(texts, element)), number)
+    ordered = F.sort_array(_elements(texts, items))
+    return _bind(_bind(ordered, prepare), number)
 
 
 def order_documents(raw: DataFrame, category: CategoryRule = no_menu) -> DataFrame:
@@ -118,10 +151,11 @@ def order_documents(raw: DataFrame, category: CategoryRule = no_menu) -> DataFra
 
     A missing or broken document leaves ``lines`` null; such orders have no lines in any
     later table.  ``quantity`` and ``price_cents`` of a line are those of one copy.
+    ``item_count`` is the number of distinct names, ``line_cents`` the sum of line prices.
     """
     doc = F.col("doc")
     parsed = raw.withColumn("doc", F.from_json("items", DOCUMENT))
-    return parsed.select(
+    orders = parsed.select(
         "order_id",
         "customer_id",
         "ip_addr",
@@ -136,12 +170,26 @@ def order_documents(raw: DataFrame, category: CategoryRule = no_menu) -> DataFra
         parse_cents(doc["cart_gst"]).alias("gst_cents"),
         doc["order_time"].alias("order_time"),
         doc["order_time_verbose"].alias("order_time_verbose"),
-        _lines(doc["cart"], category).alias("lines"),
+        _lines(doc["cart"], F.col("items"), category).alias("lines"),
+    )
+    zero = F.lit(0).cast("long")
+    return orders.withColumns(
+        {
+            "item_count": F.coalesce(F.try_element_at("lines", F.lit(-1))["item_rank"], F.lit(0)),
+            "line_cents": F.coalesce(
+                F.aggregate(
+                    "lines",
+                    zero,
+                    lambda acc, e: acc + F.coalesce(e["price_cents"] * e["copies"], zero),
+                ),
+                zero,
+            ),
+        }
     )
 
 
 def has_lines() -> Column:
-    return F.size("lines") > 0
+    return F.col("item_count") > 0
 
 
 def each_line(orders: DataFrame, keep: Sequence[str | Column], fields: Sequence[str]) -> DataFrame:
@@ -201,7 +249,7 @@ def cart_lines(orders: DataFrame) -> DataFrame:
 
 
 def _option_columns() -> list[Column]:
-    option = F.from_json("option", OPTION)
+    option = F.col("option")
     return [
         option["name"].alias("option_name"),
         option["value"].alias("option_value"),
@@ -211,15 +259,13 @@ def _option_columns() -> list[Column]:
 
 def option_rows(orders: DataFrame) -> DataFrame:
     """One row per option of a merged line, price in cents."""
-    lines = each_line(
-        orders, ["order_id", "date_created"], ["item_id", "item_name", "cart_item"]
-    )
+    lines = each_line(orders, ["order_id", "date_created"], ["item_id", "item_name", "options"])
     options = lines.select(
         "order_id",
         "date_created",
         order_item_id().alias("order_item_id"),
         "item_name",
-        F.explode(F.from_json("cart_item", OPTIONS)["options"]).alias("option"),
+        F.explode("options").alias("option"),
     )
     return options.select(
         "order_item_id", "order_id", "item_name", *_option_columns(), "date_created"
@@ -294,38 +340,77 @@ def fct_order_item_options(orders: DataFrame) -> DataFrame:
     )
 
 
+def _check_semantics(price_semantics: str) -> None:
+    if price_semantics not in ("line", "unit"):
+        raise ValueError(f"price_semantics must be 'line' or 'unit', got {price_semantics!r}")
+
+
+def _amount(e: Column, price_semantics: str) -> Column:
+    cents = e["price_cents"] * e["copies"]
+    return cents if price_semantics == "line" else cents * e["quantity"]
+
+
+def line_sales(orders: DataFrame, price_semantics: str = "line") -> DataFrame:
+    """Sales per merged line, money in cents: for sums, where lines need no grouping."""
+    _check_semantics(price_semantics)
+    lines = each_line(
+        orders,
+        ["order_id", "date_created", "customer_id"],
+        ["item_name", "item_category", "copies", "quantity", "price_cents"],
+    )
+    cents = F.col("price_cents") * F.col("copies")
+    return lines.select(
+        "order_id",
+        "date_created",
+        "customer_id",
+        "item_name",
+        "item_category",
+        (F.col("quantity") * F.col("copies")).alias("quantity_sold"),
+        (cents if price_semantics == "line" else cents * F.col("quantity")).alias("sales_cents"),
+    )
+
+
 def product_sales(orders: DataFrame, price_semantics: str = "line") -> DataFrame:
     """Sales per order and item, money in cents.
 
     ``line``: the cart price is that of the whole line.  ``unit``: it is the price of one
     piece and is multiplied by the quantity.  Grouping stays inside the order row.
     """
-    if price_semantics not in ("line", "unit"):
-        raise ValueError(f"price_semantics must be 'line' or 'unit', got {price_semantics!r}")
+    _check_semantics(price_semantics)
     lines = F.col("lines")
-    names = F.array_distinct(F.transform(lines, lambda e: e["item_name"]))
+    zero = F.lit(0).cast("long")
+
+    def sale(e: Column, quantity: Column, cents: Column) -> Column:
+        return F.struct(
+            e["item_name"].alias("item_name"),
+            e["item_category"].alias("item_category"),
+            quantity.alias("quantity_sold"),
+            cents.alias("sales_cents"),
+        )
 
-    def amount(e: Column) -> Column:
-        if price_semantics == "line":
-            return e["price_cents"] * e["copies"]
-        return e["price_cents"] * e["quantity"] * e["copies"]
+    def single(e: Column) -> Column:
+        cents = F.coalesce(_amount(e, price_semantics), zero)
+        return sale(e, e["quantity"] * e["copies"], cents)
 
-    def total(of: Callable[[Column], Column], name: Column) -> Column:
-        same = F.filter(lines, lambda e: e["item_name"].eqNullSafe(name))
-        return F.aggregate(same, F.lit(0).cast("long"), lambda acc, e: acc + F.coalesce(of(e), F.lit(0)))
+    def combined(rank: Column) -> Column:
+        def total(same: Column, of: Callable[[Column], Column]) -> Column:
+            return F.aggregate(same, zero, lambda acc, e: acc + F.coalesce(of(e), zero))
 
-    def sale(name: Column) -> Column:
-        first = F.filter(lines, lambda e: e["item_name"].eqNullSafe(name))[0]
-        return F.struct(
-            name.alias("item_name"),
-            first["item_category"].alias("item_category"),
-            total(lambda e: e["quantity"] * e["copies"], name).alias("quantity_sold"),
-            total(amount, name).alias("sales_cents"),
+        return _bind(
+            F.filter(lines, lambda e: e["item_rank"] == rank),
+            lambda same: sale(
+                same[0],
+                total(same, lambda e: e["quantity"] * e["copies"]),
+                total(same, lambda e: _amount(e, price_semantics)),
+            ),
         )
 
-    return orders.select(
-        "order_id", "date_created", "customer_id", F.inline(F.transform(names, sale))
+    # most carts name an item once; only the others are grouped
+    ranks = F.sequence(F.lit(1), F.col("item_count"))
+    sales = F.when(F.col("item_count") == F.size(lines), F.transform(lines, single)).when(
+        F.col("item_count") > 0, F.transform(ranks, combined)
     )
+    return orders.select("order_id", "date_created", "customer_id", F.inline(sales))
 
 
 # Older generation of the same tables -------------------------------------------------
@@ -393,14 +478,12 @@ def weighted_options_v1(orders: DataFrame) -> DataFrame:
         lambda e: F.struct(
             e["item_name"].alias("item_name"),
             e["item_rank"].alias("item_rank"),
-            e["cart_item"].alias("cart_item"),
+            e["options"].alias("options"),
             (e["copies"] * named(e["item_name"])).alias("weight"),
         ),
     )
     rows = orders.select("order_id", F.inline(counted)).where(F.col("item_name").isNotNull())
-    options = rows.withColumn(
-        "option", F.explode(F.from_json("cart_item", OPTIONS)["options"])
-    )
+    options = rows.withColumn("option", F.explode("options"))
     return options.select(
         "order_id",
         "item_name",

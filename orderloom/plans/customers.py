@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import whole_days
 from orderloom.operators.ordering import exact_quantiles
-from orderloom.plans.cart import product_sales
+from orderloom.plans.cart import has_lines
 from orderloom.plans.marts import paid_orders
 from orderloom.plans.returns import PERIODS, Periods, between, period_of
 
@@ -28,15 +28,29 @@ def spending_drivers(orders: DataFrame) -> DataFrame:
     )
 
 
+def order_sales(orders: DataFrame) -> DataFrame:
+    """Orders with lines: number of items sold and their money.
+
+    A customer's frequency counts sold items (order and item pairs); both figures are
+    columns of the order table, so no line is read.
+    """
+    return orders.where(has_lines()).select(
+        "customer_id",
+        "date_created",
+        F.col("item_count").alias("sales"),
+        F.col("line_cents").alias("sales_cents"),
+    )
+
+
 def _frequency_money(sales: DataFrame) -> DataFrame:
     return sales.groupBy("customer_id").agg(
-        F.count("*").alias("frequency"), F.sum("sales_cents").alias("cents")
+        F.sum("sales").alias("frequency"), F.sum("sales_cents").alias("cents")
     )
 
 
 def freq_money_corr(orders: DataFrame, span: tuple[str, str] = CORRELATION_SPAN) -> DataFrame:
     """One row: Pearson correlation of sale lines and money over customers."""
-    sales = product_sales(orders).where(between(F.col("date_created"), *span))
+    sales = order_sales(orders).where(between(F.col("date_created"), *span))
     return _frequency_money(sales).agg(
         F.corr("frequency", F.col("cents") / 100).alias("correlation"),
         F.count("*").alias("customers"),
@@ -45,9 +59,9 @@ def freq_money_corr(orders: DataFrame, span: tuple[str, str] = CORRELATION_SPAN)
 
 def top_decile_share(orders: DataFrame, span: tuple[str, str] = CORRELATION_SPAN) -> DataFrame:
     """One row: share of sales of the most frequent tenth of customers."""
-    sales = product_sales(orders).where(between(F.col("date_created"), *span))
+    sales = order_sales(orders).where(between(F.col("date_created"), *span))
     customers = _frequency_money(sales)
-    cut = exact_quantiles(customers, "frequency", {"threshold": 0.9})
+    cut = exact_quantiles(customers, {"frequency": {"threshold": 0.9}})
     top = F.col("frequency") >= F.col("threshold")
     return (
         customers.crossJoin(F.broadcast(cut))
@@ -64,7 +78,7 @@ def top_decile_by_period(orders: DataFrame, periods: Periods = PERIODS) -> DataF
 
     Both periods are counted in one pass, missing ones as 0.
     """
-    sales = product_sales(orders).withColumn("period", period_of(F.col("date_created"), periods))
+    sales = order_sales(orders).withColumn("period", period_of(F.col("date_created"), periods))
     sales = sales.where("period is not null")
 
     def in_period(name: str):
@@ -74,9 +88,9 @@ def top_decile_by_period(orders: DataFrame, periods: Periods = PERIODS) -> DataF
 
     names = [name for name, _, _ in periods]
     customers = sales.groupBy("customer_id").agg(
-        F.count("*").alias("frequency"), *[in_period(name).alias(f"c_{name}") for name in names]
+        F.sum("sales").alias("frequency"), *[in_period(name).alias(f"c_{name}") for name in names]
     )
-    cut = exact_quantiles(customers, "frequency", {"_cut": 0.9})
+    cut = exact_quantiles(customers, {"frequency": {"_cut": 0.9}})
     totals = customers.agg(*[F.sum(f"c_{name}").alias(f"t_{name}") for name in names])
     rows = customers.crossJoin(F.broadcast(cut)).where("frequency >= _cut")
     picked = rows.crossJoin(F.broadcast(totals))
@@ -94,7 +108,7 @@ def customer_ltv(orders: DataFrame, periods: Periods = PERIODS) -> DataFrame:
     Spending per day of the customer's own lifetime, times the mean lifetime of all
     customers in the period.
     """
-    sales = product_sales(orders).withColumn("period", period_of(F.col("date_created"), periods))
+    sales = order_sales(orders).withColumn("period", period_of(F.col("date_created"), periods))
     lifetimes = (
         sales.where("period is not null")
         .groupBy("period", "customer_id")

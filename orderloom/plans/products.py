@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import month_start, quarter_label
-from orderloom.plans.cart import each_line, has_lines, product_sales
+from orderloom.plans.cart import each_line, has_lines, line_sales, product_sales
 from orderloom.plans.star import product_avg_price
 
 
@@ -39,7 +39,7 @@ def price_vs_count(orders: DataFrame) -> DataFrame:
 
 
 def monthly_item_sales(orders: DataFrame, price_semantics: str = "line") -> DataFrame:
-    sales = product_sales(orders, price_semantics)
+    sales = line_sales(orders, price_semantics)
     return sales.groupBy("item_name", month_start(F.col("date_created")).alias("month_year")).agg(
         (F.sum("sales_cents") / 100).alias("total_sales"),
         F.sum("quantity_sold").alias("units_sold"),
@@ -48,7 +48,7 @@ def monthly_item_sales(orders: DataFrame, price_semantics: str = "line") -> Data
 
 def monthly_pivot(orders: DataFrame, items: Sequence[str], price_semantics: str = "line") -> DataFrame:
     """Months as rows, the named items as columns, units sold, missing as 0."""
-    sales = product_sales(orders, price_semantics)
+    sales = line_sales(orders, price_semantics)
     wide = (
         sales.groupBy(month_start(F.col("date_created")).alias("month_year"))
         .pivot("item_name", list(items))
@@ -58,14 +58,14 @@ def monthly_pivot(orders: DataFrame, items: Sequence[str], price_semantics: str
 
 
 def yearly_item_sales(orders: DataFrame, price_semantics: str = "line") -> DataFrame:
-    sales = product_sales(orders, price_semantics)
+    sales = line_sales(orders, price_semantics)
     return sales.groupBy(
         "item_name", F.year("date_created").alias("year"), F.month("date_created").alias("month")
     ).agg((F.sum("sales_cents") / 100).alias("total_sales"))
 
 
 def quarterly_sales(orders: DataFrame, price_semantics: str = "line") -> DataFrame:
-    sales = product_sales(orders, price_semantics)
+    sales = line_sales(orders, price_semantics)
     return sales.groupBy("item_name", quarter_label(F.col("date_created")).alias("quarter")).agg(
         F.sum("sales_cents").alias("sales_cents")
     )
@@ -174,6 +174,6 @@ def dropped_orders(orders: DataFrame) -> DataFrame:
     return orders.agg(
         F.count("*").alias("orders"),
         F.count_if(F.col("lines").isNull()).alias("unreadable"),
-        F.count_if(F.size("lines") == 0).alias("empty"),
+        F.count_if(F.col("lines").isNotNull() & ~has_lines()).alias("empty"),
         F.count_if(has_lines()).alias("with_lines"),
     )

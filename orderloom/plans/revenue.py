@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import month_start, weekday_name, whole_days
-from orderloom.plans.cart import product_sales
+from orderloom.plans.cart import line_sales
 from orderloom.plans.star import opening_hours_dim
 
 SUCCESSFUL = (2,)
@@ -99,7 +99,7 @@ def daily_order_counts(orders: DataFrame) -> DataFrame:
 def daily_sales_with_hours(orders: DataFrame, hours: DataFrame, price_semantics: str = "line") -> DataFrame:
     """Item sales per day beside the dated opening hours."""
     daily = (
-        product_sales(orders, price_semantics)
+        line_sales(orders, price_semantics)
         .groupBy(F.to_date("date_created").alias("date_created"))
         .agg((F.sum("sales_cents") / 100).alias("total_daily_sales"))
     )

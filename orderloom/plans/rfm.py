@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions import scoring
 from orderloom.functions.calendar import whole_days
 from orderloom.operators.ordering import exact_quantiles, rank_cutoffs
-from orderloom.plans.cart import product_sales
+from orderloom.plans.customers import order_sales
 from orderloom.plans.returns import PERIODS, Periods, between
 
 METRICS = ("recency", "frequency", "monetary")
@@ -30,7 +32,7 @@ def rfm_orders(orders: DataFrame) -> DataFrame:
 
 def rfm_period(orders: DataFrame, periods: Periods = PERIODS) -> DataFrame:
     """The same from sale lines, per period, up to the day after the period."""
-    sales = product_sales(orders)
+    sales = order_sales(orders)
     found = [
         F.when(
             between(F.col("date_created"), low, high),
@@ -46,7 +48,7 @@ def rfm_period(orders: DataFrame, periods: Periods = PERIODS) -> DataFrame:
         tagged.groupBy("period", "end", "customer_id")
         .agg(
             F.max("date_created").alias("_last"),
-            F.count("*").alias("frequency"),
+            F.sum("sales").alias("frequency"),
             (F.sum("sales_cents") / 100).alias("monetary"),
         )
         .select(
@@ -65,13 +67,22 @@ def _quarter_bounds() -> dict[str, Column]:
     return {f"q{b}": F.floor(1 + (n - 1) * b / 4).cast("long") for b in (1, 2, 3)}
 
 
-def _quartile_score(value: str, cuts: str, descending: bool) -> Column:
+def _worst_first() -> dict[str, Column]:
+    """Sort keys whose rising order puts the worst customers first."""
+    return {
+        "recency": -F.col("recency"),
+        "frequency": F.col("frequency"),
+        "monetary": F.col("monetary"),
+    }
+
+
+def _quartile_score(key: Column, cuts: str) -> Column:
     """4 for the first bin of the rank order down to 1 for the last."""
 
     def at_or_before(cut: Column) -> Column:
-        v, tie = F.col(value), F.col("customer_id")
-        ahead = (v > cut["value"]) if descending else (v < cut["value"])
-        return ahead | ((v == cut["value"]) & (tie <= cut["tie"]))
+        value = key.cast("double")
+        same = (value == cut["value"]) & (F.col("customer_id") <= cut["tie"])
+        return (value < cut["value"]) | same
 
     score = F.lit(1)
     for bound, points in (("q3", 2), ("q2", 3), ("q1", 4)):
@@ -85,18 +96,14 @@ def rfm_quartile_score(rfm: DataFrame) -> DataFrame:
     Each metric needs only three (value, customer) pairs: they travel as one row, the
     customers are not joined by rank.
     """
-    row = rfm
-    for metric in METRICS:
-        descending = metric == "recency"
-        cuts = rank_cutoffs(rfm, metric, "customer_id", _quarter_bounds(), descending)
-        packed = cuts.select(F.struct("q1", "q2", "q3").alias(f"_{metric}"))
-        row = row.crossJoin(F.broadcast(packed))
-    scored = row.select(
+    keys = _worst_first()
+    cuts = rank_cutoffs(
+        rfm, {f"_{name}": key for name, key in keys.items()}, "customer_id", _quarter_bounds()
+    )
+    scored = rfm.crossJoin(F.broadcast(cuts)).select(
         "customer_id",
         *METRICS,
-        _quartile_score("recency", "_recency", True).alias("r_score"),
-        _quartile_score("frequency", "_frequency", False).alias("f_score"),
-        _quartile_score("monetary", "_monetary", False).alias("m_score"),
+        *[_quartile_score(key, f"_{name}").alias(f"{name[0]}_score") for name, key in keys.items()],
     )
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     segment = scoring.score_text(F.col("r_score"), F.col("f_score"), F.col("m_score"))
@@ -109,13 +116,12 @@ def rfm_quartile_score(rfm: DataFrame) -> DataFrame:
 
 def rfm_quintile_segments(rfm: DataFrame) -> DataFrame:
     """Quintile scores by value, 5 is best, with a segment name and a tier."""
-    row = rfm
-    for metric in METRICS:
-        points = {f"{metric}_{p}": p / 10 for p in (2, 4, 6, 8)}
-        row = row.crossJoin(F.broadcast(exact_quantiles(rfm, metric, points)))
+    fifths = (2, 4, 6, 8)
+    points = {m: {f"_{m}_{p}": p / 10 for p in fifths} for m in METRICS}
+    row = rfm.crossJoin(F.broadcast(exact_quantiles(rfm, points)))
 
     def score(metric: str, low_is_best: bool) -> Column:
-        cuts = [F.col(f"{metric}_{p}") for p in (2, 4, 6, 8)]
+        cuts = [F.col(f"_{metric}_{p}") for p in fifths]
         return scoring.quantile_score(F.col(metric), cuts, low_is_best)
 
     scored = row.select(
@@ -153,22 +159,25 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("count"))
 
 
-def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """Equal-width bins with counts and densities; empty bins are left out."""
-    value = F.col(column).cast("double")
-    span = df.agg(
-        F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(value).alias("_n")
+def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFrame:
+    """Equal-width bins of each column with counts and densities; no empty bins."""
+    entries = [
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns
+    ]
+    values = df.select(F.inline(F.array(*entries))).where("value is not null")
+    # one row per column
+    spans = values.groupBy("metric").agg(
+        F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count("*").alias("_n")
     )
     width = (F.col("_hi") - F.col("_lo")) / bins
-    index = F.floor(F.try_divide(value - F.col("_lo"), width))
+    index = F.floor(F.try_divide(F.col("value") - F.col("_lo"), width))
     bucket = F.least(F.coalesce(index, F.lit(0)), F.lit(bins - 1)).cast("int")
     return (
-        df.where(value.isNotNull())
-        .crossJoin(F.broadcast(span))
-        .groupBy(bucket.alias("bin"), "_lo", width.alias("_width"), "_n")
+        values.join(F.broadcast(spans), "metric")
+        .groupBy("metric", bucket.alias("bin"), "_lo", width.alias("_width"), "_n")
         .agg(F.count("*").alias("count"))
         .select(
-            F.lit(column).alias("metric"),
+            "metric",
             "bin",
             (F.col("_lo") + F.col("bin") * F.col("_width")).alias("bin_start"),
             "count",

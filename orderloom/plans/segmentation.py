@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.operators.transforms import best_lambda, boxcox, positive
+from orderloom.operators.transforms import best_lambdas, boxcox, positive
 from orderloom.plans.rfm import METRICS
 
 SEED = 42
@@ -18,7 +18,7 @@ SEED = 42
 
 def transformed(rfm: DataFrame) -> DataFrame:
     """Cube root of recency, power transforms of frequency and money."""
-    powers = {name: best_lambda(rfm, name) for name in ("frequency", "monetary")}
+    powers = best_lambdas(rfm, ["frequency", "monetary"])
     return rfm.select(
         "*",
         F.cbrt(F.col("recency").cast("double")).alias("recency_t"),
@@ -63,19 +63,27 @@ def elbow_scan(scaled: DataFrame, k_max: int = 19, seed: int = SEED) -> DataFram
     ``scaled`` should be a staged table: every k is a fit over it.
     """
     vector = vector_to_array("scaled")
-    rows = []
-    for k in range(1, k_max + 1):
-        if k == 1:  # one cluster is the mean of all rows; the library starts at two
-            dims = len(METRICS)
-            means = scaled.agg(*[F.avg(vector[i]).alias(f"m{i}") for i in range(dims)]).first()
-            centres = [[means[f"m{i}"] for i in range(dims)]]
-        else:
-            centres = [list(map(float, c)) for c in fit_clusters(scaled, k, seed).clusterCenters()]
-        nearest = F.array_min(F.array(*[_distance(vector, c) for c in centres]))
-        found = scaled.select(nearest.alias("d")).agg(
-            F.sum(F.col("d") * F.col("d")).alias("inertia"), F.avg("d").alias("distance")
+    dims = range(len(METRICS))
+    kept = scaled.select("scaled").persist()
+    try:
+        # one cluster is the mean of all rows; the library starts at two
+        means = kept.agg(*[F.avg(vector[i]).alias(f"m{i}") for i in dims]).first()
+        centres = {1: [[means[f"m{i}"] for i in dims]]}
+        for k in range(2, k_max + 1):
+            model = fit_clusters(kept, k, seed)
+            centres[k] = [list(map(float, c)) for c in model.clusterCenters()]
+        nearest = {
+            k: F.array_min(F.array(*[_distance(vector, c) for c in found]))
+            for k, found in centres.items()
+        }
+        distances = kept.select(*[d.alias(f"d{k}") for k, d in nearest.items()])
+        sums = distances.agg(
+            *[F.sum(F.col(f"d{k}") * F.col(f"d{k}")).alias(f"i{k}") for k in nearest],
+            *[F.avg(f"d{k}").alias(f"a{k}") for k in nearest],
         ).first()
-        rows.append((k, float(found["inertia"]), float(found["distance"])))
+    finally:
+        kept.unpersist()
+    rows = [(k, float(sums[f"i{k}"]), float(sums[f"a{k}"])) for k in nearest]
     schema = T.StructType(
         [
             T.StructField("k", T.IntegerType()),

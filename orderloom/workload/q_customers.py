@@ -410,11 +410,7 @@ def _hist(column: str) -> str:
 
 @query("histogram_rfm", sql(" UNION ALL ".join(_hist(c) for c in rfm.METRICS), rf=_RFM))
 def _(s):
-    base = rfm.rfm_orders(s.orders)
-    first, *rest = [rfm.histogram(base, metric) for metric in rfm.METRICS]
-    for other in rest:
-        first = first.unionByName(other)
-    return first
+    return rfm.histogram(rfm.rfm_orders(s.orders), rfm.METRICS)
 
 
 def _skew(column: str) -> str:
@@ -437,14 +433,14 @@ LAMBDAS = [round(-2 + 0.25 * i, 2) for i in range(17)]
 @query(
     "boxcox_likelihood",
     sql(
-        """SELECT lam, round((lam - 1) * sum(ln(x)) - count(*) / 2.0 * ln(var_pop(CASE WHEN lam = 0 THEN ln(x) ELSE pow(x, lam) / lam END)), 3) AS llf
+        """SELECT 'monetary' AS metric, lam, round((lam - 1) * sum(ln(x)) - count(*) / 2.0 * ln(var_pop(CASE WHEN lam = 0 THEN ln(x) ELSE pow(x, lam) / lam END)), 3) AS llf
  FROM (SELECT greatest(monetary::DOUBLE / 100, 0.000001) AS x FROM rf), (SELECT unnest(["""
         + ", ".join(f"{v}::DOUBLE" for v in LAMBDAS)
-        + "]) AS lam) GROUP BY 1",
+        + "]) AS lam) GROUP BY lam",
         rf=_RFM,
     ),
 )
 def _(s):
     dollars = rfm.rfm_orders(s.orders).withColumn("monetary", F.col("monetary") / 100)
-    found = transforms.boxcox_likelihood(dollars, "monetary", LAMBDAS)
+    found = transforms.boxcox_likelihood(dollars, {"monetary": LAMBDAS})
     return found.withColumn("llf", F.round("llf", 3))

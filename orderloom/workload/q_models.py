@@ -8,8 +8,9 @@ from orderloom.operators import ordering, profile, quality, sampling
 from orderloom.plans import cart, churn, forecast, marts, metrics, rfm, segmentation, star
 from orderloom.scratch import stage_if_possible
 from orderloom.streaming import kpi
+from orderloom.workload import q_star  # noqa: F401  its twins are the tables checked here
 from orderloom.workload.base_sql import sql
-from orderloom.workload.registry import query
+from orderloom.workload.registry import ORACLES, query
 
 AS_OF = "2025-08-01"
 
@@ -216,20 +217,21 @@ def _(s):
 
 @query("churn_probability_histogram")
 def _(s):
-    return rfm.histogram(_value_scores(s), "proba", 30)
+    return rfm.histogram(_value_scores(s), ["proba"], 30)
 
 
 # expected losses with a rule in place of the model, so SQL can follow
 @query(
     "expected_losses_by_rule",
     sql(
-        """SELECT period, customer_id, recency, frequency, monetary, churn, round(proba, 6) AS proba, lt AS lifetime_days_total, total, ly AS lifetime_days_last_year, round(total * proba * 365 / ly, 6) AS expected_value_lost FROM
+        """SELECT period, customer_id, recency, frequency, monetary, churn, round(proba, 3) AS proba, lt AS lifetime_days_total, total, ly AS lifetime_days_last_year, round(total * proba * 365 / ly, 3) AS expected_value_lost FROM
  (SELECT cf.*, 1.0::DOUBLE / (1 + frequency) AS proba FROM cf WHERE period = 'test' AND recency < 40)
  JOIN (SELECT customer_id, date_sub('day', min(date_created), max(date_created)) + 1 AS lt FROM ro GROUP BY 1) USING (customer_id)
  LEFT JOIN (SELECT customer_id, sum(total_cents)::BIGINT AS total, date_sub('day', min(date_created), max(date_created)) + 1 AS ly FROM ro, sn
   WHERE date_created BETWEEN l - INTERVAL 425 DAY AND l - INTERVAL 60 DAY GROUP BY 1) USING (customer_id)""",
         **FEATURES,
     ),
+    digits=3,
 )
 def _(s):
     rule = churn.test_rows(_features(s)).withColumn("proba", 1.0 / (1 + F.col("frequency")))
@@ -363,7 +365,68 @@ def _checks(s):
     ]
 
 
-@query("dq_report")
+def _check_sql() -> str:
+    """The same checks over the twins of the checked tables."""
+
+    def table(name: str) -> str:
+        return f"({ORACLES['stg_orders_v1' if name == 'raw_orders' else name]})"
+
+    rows: list[str] = []
+
+    def row(check: str, name: str, column: str, body: str) -> None:
+        rows.append(f"SELECT '{check}' AS \"check\", '{name}' AS \"table\", '{column}' AS \"column\", {body}")
+
+    def unique(name: str, key: str) -> None:
+        repeated = f"SELECT {key} AS k FROM {table(name)} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+        row("unique", name, key, f"count(*) AS failing_rows, CAST(min(k) AS VARCHAR) AS sample FROM ({repeated})")
+
+    def not_null(name: str, *keys: str) -> None:
+        for key in keys:
+            row("not_null", name, key, f"count(*) FILTER (WHERE {key} IS NULL), NULL FROM {table(name)}")
+
+    def related(name: str, key: str, parent: str) -> None:
+        orphans = f"SELECT c.{key} AS k FROM {table(name)} c WHERE c.{key} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {table(parent)} p WHERE p.{key} = c.{key})"
+        row("relationships", name, key, f"count(*), CAST(min(k) AS VARCHAR) FROM ({orphans})")
+
+    def accepted(name: str, key: str) -> None:
+        wrong = f"SELECT {key} AS k FROM {table(name)} WHERE {key} NOT IN ({', '.join(repr(c) for c in _CATEGORIES)})"
+        row("accepted_values", name, key, f"count(*), min(k) FROM ({wrong})")
+
+    for name, key in [
+        ("raw_orders", "order_id"), ("cart_lines", "order_item_id"),
+        ("fct_order_item_options", "order_item_option_id"), ("fct_order_details", "order_id"),
+        ("fct_product_sales", "order_item_id"), ("customer_churn_threshold", "customer_id"),
+        ("dim_customers", "customer_id"), ("dim_payment_status", "status"),
+        ("dim_products", "item_name"), ("dim_item_options", "item_option_id"),
+        ("item_price_history", "item_price_id"), ("dim_time", "date_key"),
+    ]:
+        unique(name, key)
+        not_null(name, key)
+    not_null("raw_orders", "customer_id", "date_created")
+    not_null("cart_lines", "order_item_ranking")
+    not_null("customer_churn_threshold", "churn_threshold")
+    not_null("dim_payment_status", "status_description")
+    not_null("dim_item_options", "start_date")
+    not_null("item_price_history", "start_date")
+    accepted("cart_lines", "item_category")
+    accepted("dim_products", "item_category")
+    for name, key, parent in [
+        ("line_options", "order_id", "fct_order_details"), ("line_options", "item_name", "dim_products"),
+        ("line_options", "order_item_id", "fct_product_sales"),
+        ("fct_order_details", "customer_id", "dim_customers"),
+        ("fct_order_details", "status", "dim_payment_status"),
+        ("fct_product_sales", "item_name", "dim_products"),
+        ("fct_product_sales", "order_id", "fct_order_details"),
+        ("customer_churn_threshold", "customer_id", "dim_customers"),
+        ("dim_item_options", "item_name", "dim_products"),
+        ("item_price_history", "item_name", "dim_products"),
+    ]:
+        related(name, key, parent)
+    row("ends_after_start", "dim_item_options", "", f"count(*), NULL FROM {table('dim_item_options')} WHERE end_date < start_date")
+    return "\nUNION ALL ".join(rows)
+
+
+@query("dq_report", _check_sql())
 def _(s):
     return quality.report(_checks(s))
 
@@ -428,7 +491,7 @@ def _(s):
 
 
 @query(
-    "metric_items_by_weekday_category",
+    "metric_items_by_category_status",
     sql("SELECT item_category, status, sum(quantity)::BIGINT AS item_quantity, sum(price_cents)::BIGINT / 100.0 AS item_price FROM el JOIN os USING (order_id) GROUP BY 1, 2"),
     digits=2,
 )
@@ -440,7 +503,7 @@ def _(s):
 
 
 @query(
-    "metric_orders_by_favourite",
+    "metric_orders_by_customer_orders",
     sql("""SELECT total_orders, round(sum(total_cents) / 100.0, 2) AS total, sum(cart_size)::BIGINT AS cart_size FROM os
  LEFT JOIN (SELECT customer_id, count(*) AS total_orders FROM os WHERE cart_size > 0 GROUP BY 1) USING (customer_id) GROUP BY 1"""),
     digits=2,
