@@ -26,7 +26,7 @@ OPTION = "name: string, value: string, price: string"
 ODD_OPTION = "name string, value string, price string"
 CART = f"""cart array<struct<
     name: string, price: string, quantity: string, options: array<struct<{OPTION}>>>>"""
-ODD_LINE = "name string, price string, quantity string, options array<string>"
+LINE = f"name string, price string, quantity string, options array<struct<{OPTION}>>"
 
 CategoryRule = Callable[[Column], Column]
 no_menu: CategoryRule = by_menu({})
@@ -68,34 +68,32 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _element(text: Column, parsed: Column, options: Column) -> Column:
+def _element(text: Column, parsed: Column) -> Column:
+    # an option that is no object empties the whole list: read such lists one by one
+    odd_options = F.transform(
+        F.from_json(text, "options array<string>")["options"],
+        lambda option: F.from_json(option, ODD_OPTION),
+    )
     return F.struct(
         parsed["name"].alias("item_name"),
         text.alias("cart_item"),
         F.coalesce(parsed["quantity"].try_cast("long"), F.lit(1)).alias("quantity"),
         parse_cents(parsed["price"]).alias("price_cents"),
-        options.alias("options"),
+        F.coalesce(parsed["options"], odd_options).alias("options"),
     )
 
 
 def _elements(texts: Column, items: Column) -> Column:
     """Cart elements with their fields, in document order.
 
-    One parse reads the fields of the whole cart.  It gives nothing when any element or
-    option is not an object; only such carts are read element by element.
+    One parse reads the fields of the whole cart.  It gives nothing when an element is
+    not an object; only such carts are read element by element.
     """
 
     def odd(text: Column) -> Column:
-        return _bind(
-            F.from_json(text, ODD_LINE),
-            lambda p: _element(
-                text, p, F.transform(p["options"], lambda o: F.from_json(o, ODD_OPTION))
-            ),
-        )
+        return _bind(F.from_json(text, LINE), lambda parsed: _element(text, parsed))
 
-    regular = F.zip_with(
-        texts, F.from_json(items, CART)["cart"], lambda text, p: _element(text, p, p["options"])
-    )
+    regular = F.zip_with(texts, F.from_json(items, CART)["cart"], _element)
     return F.coalesce(regular, F.transform(texts, odd))
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -57,10 +60,13 @@ def _distance(vector: Column, centre: list[float]) -> Column:
     return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g))
 
 
-def elbow_scan(scaled: DataFrame, k_max: int = 19, seed: int = SEED) -> DataFrame:
+def elbow_scan(
+    scaled: DataFrame, k_max: int = 19, seed: int = SEED, parallelism: int = 6
+) -> DataFrame:
     """Inertia and mean distance to the nearest centre for 1 .. k_max clusters.
 
-    ``scaled`` should be a staged table: every k is a fit over it.
+    ``scaled`` should be a staged table: every k is a fit over it.  Some fits run at the
+    same time, as in model selection; all distances are then one aggregation.
     """
     vector = vector_to_array("scaled")
     dims = range(len(METRICS))
@@ -69,9 +75,16 @@ def elbow_scan(scaled: DataFrame, k_max: int = 19, seed: int = SEED) -> DataFram
         # one cluster is the mean of all rows; the library starts at two
         means = kept.agg(*[F.avg(vector[i]).alias(f"m{i}") for i in dims]).first()
         centres = {1: [[means[f"m{i}"] for i in dims]]}
-        for k in range(2, k_max + 1):
+
+
+        def fitted(k: int) -> list[list[float]]:
             model = fit_clusters(kept, k, seed)
-            centres[k] = [list(map(float, c)) for c in model.clusterCenters()]
+            return [list(map(float, c)) for c in model.clusterCenters()]
+
+        with ThreadPool(parallelism) as pool:
+            sizes = range(2, k_max + 1)
+            work = inheritable_thread_target(scaled.sparkSession)(fitted)
+            centres.update(zip(sizes, pool.map(work, sizes)))
         nearest = {
             k: F.array_min(F.array(*[_distance(vector, c) for c in found]))
             for k, found in centres.items()

@@ -533,7 +533,7 @@ def _(s):
     "visit_sessions",
     sql("""SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events, round(sum(value), 6) AS value FROM
  (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM
-  (SELECT *, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS n FROM events)) GROUP BY user_id, sid"""),
+  (SELECT *, CASE WHEN ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS n FROM events)) GROUP BY user_id, sid"""),
 )
 def _(s):
     return kpi.visit_sessions(s.table("events"))
