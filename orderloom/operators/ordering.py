@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.scratch import stage
+from orderloom.scratch import stage, stage_if_possible
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
 
@@ -174,7 +174,7 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ``ml.stat.Correlation`` keeps all rows of one tied value in memory; here ties are
     counted instead.
     """
-    ranked = df.select(*columns).dropna()
+    ranked = stage_if_possible(df.select(*columns).dropna(), "spearman")
     ranks = average_ranks(ranked, columns)
     for column in columns:
         own = ranks.where(F.col("metric") == column).select(

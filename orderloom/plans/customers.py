@@ -9,7 +9,8 @@ from orderloom.functions.calendar import whole_days
 from orderloom.operators.ordering import exact_quantiles
 from orderloom.plans.cart import has_lines
 from orderloom.plans.marts import paid_orders
-from orderloom.plans.returns import PERIODS, Periods, between, period_of
+from orderloom.scratch import stage_if_possible
+from orderloom.plans.returns import PERIODS, Periods, between, in_periods, period_of
 
 # Fixed value: the span of the frequency-money study.
 CORRELATION_SPAN = ("2022-04-06", "2023-03-06")
@@ -42,6 +43,12 @@ def order_sales(orders: DataFrame) -> DataFrame:
     )
 
 
+def _in_periods(orders: DataFrame, periods: Periods) -> DataFrame:
+    ts = F.col("date_created")
+    kept = order_sales(orders).where(in_periods(ts, periods))
+    return kept.withColumn("period", period_of(ts, periods))
+
+
 def _frequency_money(sales: DataFrame) -> DataFrame:
     return sales.groupBy("customer_id").agg(
         F.sum("sales").alias("frequency"), F.sum("sales_cents").alias("cents")
@@ -60,7 +67,7 @@ def freq_money_corr(orders: DataFrame, span: tuple[str, str] = CORRELATION_SPAN)
 def top_decile_share(orders: DataFrame, span: tuple[str, str] = CORRELATION_SPAN) -> DataFrame:
     """One row: share of sales of the most frequent tenth of customers."""
     sales = order_sales(orders).where(between(F.col("date_created"), *span))
-    customers = _frequency_money(sales)
+    customers = stage_if_possible(_frequency_money(sales), "frequency-money")
     cut = exact_quantiles(customers, {"frequency": {"threshold": 0.9}})
     top = F.col("frequency") >= F.col("threshold")
     return (
@@ -78,8 +85,7 @@ def top_decile_by_period(orders: DataFrame, periods: Periods = PERIODS) -> DataF
 
     Both periods are counted in one pass, missing ones as 0.
     """
-    sales = order_sales(orders).withColumn("period", period_of(F.col("date_created"), periods))
-    sales = sales.where("period is not null")
+    sales = _in_periods(orders, periods)
 
     def in_period(name: str):
         return F.coalesce(
@@ -90,6 +96,7 @@ def top_decile_by_period(orders: DataFrame, periods: Periods = PERIODS) -> DataF
     customers = sales.groupBy("customer_id").agg(
         F.sum("sales").alias("frequency"), *[in_period(name).alias(f"c_{name}") for name in names]
     )
+    customers = stage_if_possible(customers, "frequency-periods")
     cut = exact_quantiles(customers, {"frequency": {"_cut": 0.9}})
     totals = customers.agg(*[F.sum(f"c_{name}").alias(f"t_{name}") for name in names])
     rows = customers.crossJoin(F.broadcast(cut)).where("frequency >= _cut")
@@ -108,9 +115,8 @@ def customer_ltv(orders: DataFrame, periods: Periods = PERIODS) -> DataFrame:
     Spending per day of the customer's own lifetime, times the mean lifetime of all
     customers in the period.
     """
-    sales = order_sales(orders).withColumn("period", period_of(F.col("date_created"), periods))
     lifetimes = (
-        sales.where("period is not null")
+        _in_periods(orders, periods)
         .groupBy("period", "customer_id")
         .agg(
             F.min("date_created").alias("_first"),

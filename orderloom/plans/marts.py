@@ -56,14 +56,33 @@ def order_gaps(paid: DataFrame) -> DataFrame:
     return following.withColumn("interval_days", days)
 
 
+def _mean_plus_std(n: Column, total: Column, squares: Column) -> Column:
+    """Mean plus sample deviation from sums of whole days; null below two gaps."""
+    mean = total / n
+    spread = F.greatest((squares - total * total / n) / (n - 1), F.lit(0.0))
+    return F.when(n > 1, mean + F.sqrt(spread))
+
+
 def thresholds(gaps: DataFrame) -> DataFrame:
     """Mean plus one standard deviation of a customer's gaps, or of all gaps when the
-    customer has fewer than two."""
-    limit = F.avg("interval_days") + F.stddev_samp("interval_days")
-    own = gaps.groupBy("customer_id").agg(limit.alias("own"))
-    overall = gaps.agg(limit.alias("overall"))
-    return own.crossJoin(F.broadcast(overall)).select(
-        "customer_id", F.coalesce("own", "overall").alias("churn_threshold")
+    customer has fewer than two.
+
+    Sums of whole days are exact and can be added up again, so the figure over all gaps
+    comes from the customer rows and the gaps are computed once.
+    """
+    days = F.col("interval_days").cast("double")
+    sums = gaps.groupBy("customer_id").agg(
+        F.count(days).cast("double").alias("n"),
+        F.coalesce(F.sum(days), F.lit(0.0)).alias("s"),
+        F.coalesce(F.sum(days * days), F.lit(0.0)).alias("q"),
+    )
+    overall = sums.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+    fallback = overall.select(
+        _mean_plus_std(F.col("n"), F.col("s"), F.col("q")).alias("fallback")
+    )
+    own = _mean_plus_std(F.col("n"), F.col("s"), F.col("q"))
+    return sums.crossJoin(F.broadcast(fallback)).select(
+        "customer_id", F.coalesce(own, "fallback").alias("churn_threshold")
     )
 
 

@@ -18,6 +18,7 @@ from orderloom.functions.risk import (
     wilson_bounds,
 )
 from orderloom.plans.marts import order_gaps, paid_orders, thresholds
+from orderloom.scratch import stage_if_possible
 
 START = "2022-07-01"
 SMOOTHING = 0.005
@@ -33,9 +34,10 @@ def order_repeat_label(orders: DataFrame, start: str = START) -> DataFrame:
     The next order counts when its gap is below the customer's threshold.  A last order
     that is still within the threshold at the end of the data is unknown and left out.
     """
-    gaps = order_gaps(paid_orders(orders))
-    latest = paid_orders(orders).agg(F.max("order_time").alias("_latest"))
-    limits = thresholds(gaps.select("customer_id", "interval_days"))
+    # thresholds need all gaps before the first label: keep the sorted result
+    gaps = stage_if_possible(order_gaps(paid_orders(orders)), "gaps")
+    latest = gaps.agg(F.max("order_time").alias("_latest"))
+    limits = thresholds(gaps)
     rows = (
         gaps.where(_since(start))
         .join(limits, "customer_id", "left")

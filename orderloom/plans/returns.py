@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.calendar import whole_days
 from orderloom.functions.risk import Z_95, risk_class, wilson_bounds
 from orderloom.operators.neighbours import with_next
-from orderloom.plans.cart import product_sales
+from orderloom.plans.cart import has_lines, product_sales
 
 # The two analysed years and the span of sales looked at.
 PERIODS = (("2022_2023", "2022-03-06", "2023-03-06"), ("2023_2024", "2023-03-07", "2024-03-06"))
@@ -34,26 +35,33 @@ def period_of(ts: Column, periods: Periods) -> Column:
     return name
 
 
+def in_periods(ts: Column, periods: Periods) -> Column:
+    """True inside any period: plain ranges, which the table scan can use."""
+    return reduce(lambda a, b: a | b, [between(ts, low, high) for _, low, high in periods])
+
+
 def sale_returns(
-    sales: DataFrame, span: tuple[str, str] = SPAN, unit: str = "line", days: int = RETURN_DAYS
+    orders: DataFrame, span: tuple[str, str] = SPAN, unit: str = "line", days: int = RETURN_DAYS
 ) -> DataFrame:
-    """Sales in the span with a flag whether the customer came back in time.
+    """Sold items in the span with a flag whether the customer came back in time.
 
-    ``line``: the next sale line of the customer decides, in the order (time, order,
-    item); lines of one order share its time, so only the last one can count.
-    ``order``: the customer's next order decides for all lines of an order.
+    ``line``: the next sold item of the customer decides, in the order (time, order,
+    item); items of one order share its time, so only the last one can count.
+    ``order``: the customer's next order decides for all items of an order.
     """
-    kept = sales.where(between(F.col("date_created"), *span))
+    kept = orders.where(between(F.col("date_created"), *span))
     if unit == "line":
+        sold = product_sales(kept).select("order_id", "customer_id", "date_created", "item_name")
         following = with_next(
-            kept, "customer_id", ["date_created", "order_id", "item_name"], "next_date"
+            sold, "customer_id", ["date_created", "order_id", "item_name"], "next_date"
         )
     elif unit == "order":
-        visits = kept.groupBy("customer_id", "order_id", "date_created").agg(
-            F.collect_list("item_name").alias("_items")
+        items = F.array_distinct(F.transform("lines", lambda e: e["item_name"]))
+        visits = kept.where(has_lines()).select(
+            "order_id", "customer_id", "date_created", items.alias("items")
         )
         ahead = with_next(visits, "customer_id", ["date_created", "order_id"], "next_date")
-        following = ahead.select("*", F.explode("_items").alias("item_name")).drop("_items")
+        following = ahead.select("*", F.explode("items").alias("item_name")).drop("items")
     else:
         raise ValueError(f"unit must be 'line' or 'order', got {unit!r}")
     gap = whole_days(F.col("date_created"), F.col("next_date"))
@@ -66,13 +74,9 @@ def item_return_probability(
     periods: Periods = PERIODS,
     span: tuple[str, str] = SPAN,
     unit: str = "line",
-    price_semantics: str = "line",
 ) -> DataFrame:
     """Per period and item: sales, returns, base and updated probability, bounds, class."""
-    sales = product_sales(orders, price_semantics).select(
-        "order_id", "customer_id", "date_created", "item_name"
-    )
-    flagged = sale_returns(sales, span, unit).withColumn(
+    flagged = sale_returns(orders, span, unit).withColumn(
         "period", period_of(F.col("date_created"), periods)
     )
     counts = (
