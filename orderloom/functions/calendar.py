@@ -6,9 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# English names, Monday and January first.
+WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+MONTHS = [
+    "January", "February", "March", "April", "May", "June", "July", "August", "September",
+    "October", "November", "December",
+]
+
+
 def whole_days(start: Column, end: Column) -> Column:
-    """Full 24-hour days between two timestamps: a 47-hour gap is 1 day."""
-    return F.timestamp_diff("DAY", start, end)
+    """Full 24-hour days between two zone-free timestamps: a 47-hour gap is 1 day."""
+    return F.extract(F.lit("DAY"), end - start).cast("long")
 
 
 def sunday_week(day: Column) -> Column:
@@ -22,11 +30,11 @@ def iso_weekday(day: Column) -> Column:
 
 
 def weekday_name(day: Column) -> Column:
-    return F.date_format(day, "EEEE")
+    return F.element_at(F.array(*[F.lit(name) for name in WEEKDAYS]), iso_weekday(day))
 
 
 def month_name(day: Column) -> Column:
-    return F.date_format(day, "MMMM")
+    return F.element_at(F.array(*[F.lit(name) for name in MONTHS]), F.month(day))
 
 
 def month_start(ts: Column) -> Column:
@@ -34,7 +42,15 @@ def month_start(ts: Column) -> Column:
 
 
 def quarter_label(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-'Q'q")
+    return F.concat(F.year(ts).cast("string"), F.lit("-Q"), F.quarter(ts).cast("string"))
+
+
+def hour_text(ts: Column) -> Column:
+    return F.lpad(F.hour(ts).cast("string"), 2, "0")
+
+
+def clock_text(ts: Column) -> Column:
+    return F.concat(hour_text(ts), F.lit(":"), F.lpad(F.minute(ts).cast("string"), 2, "0"))
 
 
 def calendar_columns(day: Column) -> list[Column]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from orderloom.functions.calendar import clock_text
+
 ASAP = "ASAP"
 
 
@@ -20,7 +22,7 @@ def requested_time(verbose: Column, created: Column) -> Column:
     parsed = F.coalesce(
         F.try_to_timestamp(last, F.lit("h:mm")), F.try_to_timestamp(marked, F.lit("h:mma"))
     )
-    return F.when(asap, F.date_format(created, "HH:mm")).otherwise(F.date_format(parsed, "HH:mm"))
+    return F.when(asap, clock_text(created)).otherwise(clock_text(parsed))
 
 
 def requested_time_full(verbose: Column, created: Column) -> Column:

@@ -149,7 +149,8 @@ def order_documents(raw: DataFrame, category: CategoryRule = no_menu) -> DataFra
 
     A missing or broken document leaves ``lines`` null; such orders have no lines in any
     later table.  ``quantity`` and ``price_cents`` of a line are those of one copy.
-    ``item_count`` is the number of distinct names, ``line_cents`` the sum of line prices.
+    ``item_count`` is the number of distinct names (null without a readable cart) and
+    ``line_cents`` the sum of line prices.
     """
     doc = F.col("doc")
     parsed = raw.withColumn("doc", F.from_json("items", DOCUMENT))
@@ -173,7 +174,10 @@ def order_documents(raw: DataFrame, category: CategoryRule = no_menu) -> DataFra
     zero = F.lit(0).cast("long")
     return orders.withColumns(
         {
-            "item_count": F.coalesce(F.try_element_at("lines", F.lit(-1))["item_rank"], F.lit(0)),
+            "item_count": F.coalesce(
+                F.try_element_at("lines", F.lit(-1))["item_rank"],
+                F.when(F.col("lines").isNotNull(), F.lit(0)),
+            ),
             "line_cents": F.coalesce(
                 F.aggregate(
                     "lines",
@@ -190,6 +194,17 @@ def has_lines() -> Column:
     return F.col("item_count") > 0
 
 
+def item_names() -> Column:
+    """Distinct item names of an order; reads only the names."""
+    return F.array_distinct(F.col("lines.item_name"))
+
+
+def _slim_lines(orders: DataFrame, keep: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """Orders with only the named fields in their lines."""
+    lines = F.arrays_zip(*[F.col(f"lines.{field}") for field in fields])
+    return orders.select(*keep, lines.alias("lines"))
+
+
 def each_line(orders: DataFrame, keep: Sequence[str | Column], fields: Sequence[str]) -> DataFrame:
     """One row per merged line with only the named line fields.
 
@@ -348,21 +363,25 @@ def _amount(e: Column, price_semantics: str) -> Column:
     return cents if price_semantics == "line" else cents * e["quantity"]
 
 
-def line_sales(orders: DataFrame, price_semantics: str = "line") -> DataFrame:
-    """Sales per merged line, money in cents: for sums, where lines need no grouping."""
+def line_sales(
+    orders: DataFrame, price_semantics: str = "line", fields: Sequence[str] = ("item_name",)
+) -> DataFrame:
+    """Sales per merged line, money in cents: for sums, where lines need no grouping.
+
+    ``fields`` are the line fields wanted beside quantity and money.
+    """
     _check_semantics(price_semantics)
     lines = each_line(
         orders,
         ["order_id", "date_created", "customer_id"],
-        ["item_name", "item_category", "copies", "quantity", "price_cents"],
+        [*fields, "copies", "quantity", "price_cents"],
     )
     cents = F.col("price_cents") * F.col("copies")
     return lines.select(
         "order_id",
         "date_created",
         "customer_id",
-        "item_name",
-        "item_category",
+        *fields,
         (F.col("quantity") * F.col("copies")).alias("quantity_sold"),
         (cents if price_semantics == "line" else cents * F.col("quantity")).alias("sales_cents"),
     )
@@ -408,7 +427,12 @@ def product_sales(orders: DataFrame, price_semantics: str = "line") -> DataFrame
     sales = F.when(F.col("item_count") == F.size(lines), F.transform(lines, single)).when(
         F.col("item_count") > 0, F.transform(ranks, combined)
     )
-    return orders.select("order_id", "date_created", "customer_id", F.inline(sales))
+    slim = _slim_lines(
+        orders.where(has_lines()),
+        ["order_id", "date_created", "customer_id", "item_count"],
+        ["item_name", "item_category", "item_rank", "copies", "quantity", "price_cents"],
+    )
+    return slim.select("order_id", "date_created", "customer_id", F.inline(sales))
 
 
 # Older generation of the same tables -------------------------------------------------
@@ -480,7 +504,8 @@ def weighted_options_v1(orders: DataFrame) -> DataFrame:
             (e["copies"] * named(e["item_name"])).alias("weight"),
         ),
     )
-    rows = orders.select("order_id", F.inline(counted)).where(F.col("item_name").isNotNull())
+    slim = _slim_lines(orders, ["order_id"], ["item_name", "item_rank", "copies", "options"])
+    rows = slim.select("order_id", F.inline(counted)).where(F.col("item_name").isNotNull())
     options = rows.withColumn("option", F.explode("options"))
     return options.select(
         "order_id",

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from orderloom.functions.calendar import whole_days
 from orderloom.operators.ordering import with_prefix
 from orderloom.operators.sampling import exact_sample, in_train_part
+from orderloom.scratch import stage_if_possible
 
 # Year ends that split the training windows, the days watched for churn.
 SPLITS = ("2020-12-31", "2021-12-31")
@@ -79,6 +80,7 @@ def churn_features(
         )
         .where("frequency > 0")
     )
+    customers = stage_if_possible(customers, "windows")  # read for the ends and the result
     # one row per window
     newest = customers.groupBy("period").agg(F.max("_latest").alias("_newest"))
     recency = whole_days(F.col("_latest"), F.col("_newest"))

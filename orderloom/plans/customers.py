@@ -130,6 +130,7 @@ def customer_ltv(orders: DataFrame, periods: Periods = PERIODS) -> DataFrame:
             (whole_days(F.col("_first"), F.col("_last")) + 1).alias("actual_lifetime_days"),
         )
     )
+    lifetimes = stage_if_possible(lifetimes, "lifetimes")  # read for the means and the result
     # one row per period
     means = lifetimes.groupBy("period").agg(F.avg("actual_lifetime_days").alias("expected_lifetime"))
     per_day = F.col("total_spending") / F.col("actual_lifetime_days")

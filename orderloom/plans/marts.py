@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.calendar import whole_days
 from orderloom.functions.money import dollars
 from orderloom.operators.neighbours import with_next
-from orderloom.plans.cart import each_line, has_lines
+from orderloom.plans.cart import each_line, has_lines, item_names
 
 PAID_STATUSES = (1, 2)
 
@@ -39,7 +39,7 @@ def paid_order_details(orders: DataFrame) -> DataFrame:
 
 def paid_orders(orders: DataFrame) -> DataFrame:
     """Paid orders with the distinct names of their items in one row."""
-    items = F.array_distinct(F.transform("lines", lambda e: e["item_name"]))
+    items = item_names()
     return orders.where(is_paid() & has_lines()).select(
         "order_id",
         "customer_id",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.calendar import month_start, quarter_label
 from orderloom.plans.cart import each_line, has_lines, line_sales, product_sales
 from orderloom.plans.star import product_avg_price
+from orderloom.scratch import stage_if_possible
 
 
 def top_items(orders: DataFrame, n: int = 5) -> DataFrame:
@@ -78,7 +79,8 @@ def portfolio_matrix(orders: DataFrame, price_semantics: str = "line") -> DataFr
     numbers with their medians over all rows.  Tables joined with a broadcast here have
     one row, or one row per quarter.
     """
-    summary = quarterly_sales(orders, price_semantics)
+    # one row per item and quarter, read for the market, the growth and the result
+    summary = stage_if_possible(quarterly_sales(orders, price_semantics), "quarters")
     market = summary.groupBy("quarter").agg(F.sum("sales_cents").alias("market_cents"))
     latest = market.agg(F.max("quarter").alias("last"))
     previous = (
@@ -173,7 +175,7 @@ def dropped_orders(orders: DataFrame) -> DataFrame:
     """Orders that no line table shows, because their cart is empty or unreadable."""
     return orders.agg(
         F.count("*").alias("orders"),
-        F.count_if(F.col("lines").isNull()).alias("unreadable"),
-        F.count_if(F.col("lines").isNotNull() & ~has_lines()).alias("empty"),
+        F.count_if(F.col("item_count").isNull()).alias("unreadable"),
+        F.count_if(F.col("item_count") == 0).alias("empty"),
         F.count_if(has_lines()).alias("with_lines"),
     )

@@ -50,26 +50,41 @@ def cohort_retention(orders: DataFrame) -> DataFrame:
     return counts.withColumn("retention_rate", F.col("customers") / size)
 
 
-def _with_first_flag(paid: DataFrame) -> DataFrame:
-    first = paid.groupBy("customer_id").agg(
-        F.min(F.struct("order_time", "order_id")).alias("_first")
+def _first_and_rest(paid: DataFrame, value: str) -> DataFrame:
+    """One row per kind of order: number and sum of a value over first and later orders.
+
+    The first order of a customer is found while its values are summed, so the orders
+    are read and grouped once.
+    """
+    place = F.struct("order_time", "order_id")
+    customers = paid.groupBy("customer_id").agg(
+        F.min_by(value, place).alias("first"),
+        F.sum(value).alias("total"),
+        F.count(value).alias("n"),
+    )
+    has_first = F.col("first").isNotNull().cast("long")
+    sums = customers.agg(
+        F.sum("first").alias("new_total"),
+        F.sum(has_first).alias("new_n"),
+        F.sum("total").alias("all_total"),
+        F.sum("n").alias("all_n"),
     )
-    returning = F.struct("order_time", "order_id") != F.col("_first")
-    kind = F.when(returning, "returning").otherwise("new")
-    return paid.join(first, "customer_id").withColumn("kind", kind).drop("_first")
+    kinds = {
+        "new": (F.col("new_total"), F.col("new_n")),
+        "returning": (F.col("all_total") - F.col("new_total"), F.col("all_n") - F.col("new_n")),
+        "all": (F.col("all_total"), F.col("all_n")),
+    }
+    rows = [
+        F.struct(F.lit(kind).alias("kind"), total.alias("total"), n.alias("n"))
+        for kind, (total, n) in kinds.items()
+    ]
+    return sums.select(F.inline(F.array(*rows))).where("n > 0")
 
 
 def time_between_orders(gaps: DataFrame) -> DataFrame:
     """Mean days to the next order: overall, after a first order, after later orders."""
-    kinds = _with_first_flag(gaps.where("interval_days is not null"))
-    by_kind = kinds.groupBy("kind").agg(
-        F.sum("interval_days").alias("days"), F.count("*").alias("intervals")
-    )
-    overall = by_kind.agg(
-        F.lit("all").alias("kind"), F.sum("days").alias("days"), F.sum("intervals").alias("intervals")
-    )
-    return by_kind.unionByName(overall).select(
-        "kind", "intervals", (F.col("days") / F.col("intervals")).alias("avg_days_between")
+    return _first_and_rest(gaps, "interval_days").select(
+        "kind", F.col("n").alias("intervals"), (F.col("total") / F.col("n")).alias("avg_days_between")
     )
 
 
@@ -79,9 +94,11 @@ def orders_per_customer(orders: DataFrame) -> DataFrame:
 
 
 def aov_new_vs_returning(paid: DataFrame) -> DataFrame:
-    kinds = _with_first_flag(paid)
-    return kinds.groupBy("kind").agg(
-        (F.avg("price_cents") / 100).alias("avg_order_value"), F.count("*").alias("orders")
+    kinds = _first_and_rest(paid, "price_cents").where("kind <> 'all'")
+    return kinds.select(
+        "kind",
+        (F.col("total") / F.col("n") / 100).alias("avg_order_value"),
+        F.col("n").alias("orders"),
     )
 
 

@@ -80,6 +80,7 @@ def item_retention(
             F.count_if("next_repeat_purchase").alias("item_order_count_next_repeat"),
         )
     )
+    counts = stage_if_possible(counts, "item-counts")  # read for the median and the result
     if not keep_zero:
         counts = counts.where("item_order_count_next_repeat > 0")
     n, k = F.col("item_order_count"), F.col("item_order_count_next_repeat")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from orderloom.functions.calendar import whole_days
 from orderloom.functions.risk import Z_95, risk_class, wilson_bounds
 from orderloom.operators.neighbours import with_next
-from orderloom.plans.cart import has_lines, product_sales
+from orderloom.scratch import stage_if_possible
+from orderloom.plans.cart import has_lines, item_names
 
 # The two analysed years and the span of sales looked at.
 PERIODS = (("2022_2023", "2022-03-06", "2023-03-06"), ("2023_2024", "2023-03-07", "2024-03-06"))
@@ -49,17 +50,15 @@ def sale_returns(
     item); items of one order share its time, so only the last one can count.
     ``order``: the customer's next order decides for all items of an order.
     """
-    kept = orders.where(between(F.col("date_created"), *span))
+    visits = orders.where(between(F.col("date_created"), *span) & has_lines()).select(
+        "order_id", "customer_id", "date_created", item_names().alias("items")
+    )
     if unit == "line":
-        sold = product_sales(kept).select("order_id", "customer_id", "date_created", "item_name")
+        sold = visits.select("*", F.explode("items").alias("item_name")).drop("items")
         following = with_next(
             sold, "customer_id", ["date_created", "order_id", "item_name"], "next_date"
         )
     elif unit == "order":
-        items = F.array_distinct(F.transform("lines", lambda e: e["item_name"]))
-        visits = kept.where(has_lines()).select(
-            "order_id", "customer_id", "date_created", items.alias("items")
-        )
         ahead = with_next(visits, "customer_id", ["date_created", "order_id"], "next_date")
         following = ahead.select("*", F.explode("items").alias("item_name")).drop("items")
     else:
@@ -84,6 +83,7 @@ def item_return_probability(
         .groupBy("period", F.col("item_name").alias("item"))
         .agg(F.count("*").alias("total_sales"), F.count_if("returned").alias("return_counts"))
     )
+    counts = stage_if_possible(counts, "return-counts")  # read for the medians and the result
     n, k = F.col("total_sales"), F.col("return_counts")
     updated = (k + PRIOR * 0.5) / (n + PRIOR)
     rated = counts.withColumns({"base_probability": k / n, "updated_probability": updated})

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.functions.calendar import month_start, weekday_name, whole_days
+from orderloom.functions.calendar import hour_text, month_start, weekday_name
 from orderloom.plans.cart import line_sales
 from orderloom.plans.star import opening_hours_dim
 
@@ -41,19 +41,19 @@ def revenue_by_month(orders: DataFrame, ts: str = "date_paid") -> DataFrame:
 
 
 def revenue_by_hour(orders: DataFrame) -> DataFrame:
-    hour = F.date_format("date_created", "HH")
+    hour = hour_text(F.col("date_created"))
     return revenue_by(orders, {"time": hour}, statuses=SUCCESSFUL, scale=100)
 
 
 def revenue_by_hour_year(orders: DataFrame) -> DataFrame:
-    parts = {"year": F.year("date_created"), "time": F.date_format("date_created", "HH")}
+    parts = {"year": F.year("date_created"), "time": hour_text(F.col("date_created"))}
     return revenue_by(orders, parts, statuses=SUCCESSFUL, scale=100)
 
 
 def revenue_by_hour_weekday(orders: DataFrame) -> DataFrame:
     parts = {
         "day_of_week": weekday_name(F.col("date_created")),
-        "time": F.date_format("date_created", "HH"),
+        "time": hour_text(F.col("date_created")),
     }
     return revenue_by(orders, parts, statuses=SUCCESSFUL, scale=100)
 
@@ -99,7 +99,7 @@ def daily_order_counts(orders: DataFrame) -> DataFrame:
 def daily_sales_with_hours(orders: DataFrame, hours: DataFrame, price_semantics: str = "line") -> DataFrame:
     """Item sales per day beside the dated opening hours."""
     daily = (
-        line_sales(orders, price_semantics)
+        line_sales(orders, price_semantics, [])
         .groupBy(F.to_date("date_created").alias("date_created"))
         .agg((F.sum("sales_cents") / 100).alias("total_daily_sales"))
     )
@@ -112,8 +112,6 @@ def revenue_anomalies(orders: DataFrame, days: int = 28, width: float = 2.0) ->
 
     The window runs over one row per calendar day, so its size is bounded by the calendar.
     """
-    from pyspark.sql import Window
-
     daily = orders.groupBy(F.to_date("date_created").alias("day")).agg(
         F.sum("total_cents").alias("revenue_cents")
     )
@@ -138,6 +136,3 @@ def revenue_anomalies(orders: DataFrame, days: int = 28, width: float = 2.0) ->
         .drop("days_before")
     )
 
-
-def lifetime_days(first: Column, last: Column) -> Column:
-    return whole_days(first, last) + 1

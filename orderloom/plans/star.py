@@ -9,7 +9,7 @@ from orderloom.functions.calendar import calendar_columns, iso_weekday, weekday_
 from orderloom.functions.keys import surrogate_key
 from orderloom.functions.money import dollars, dollars_text, rounded_ratio
 from orderloom.functions.status import status_description
-from orderloom.plans.cart import each_line, has_lines, option_rows, weighted_options_v1
+from orderloom.plans.cart import each_line, has_lines, item_names, option_rows, weighted_options_v1
 
 AsOf = str | Column | None
 
@@ -28,7 +28,7 @@ def _favourites(orders: DataFrame) -> DataFrame:
     """
     named = orders.select(
         "customer_id",
-        F.explode(F.array_distinct(F.transform("lines", lambda e: e["item_name"]))).alias("item_name"),
+        F.explode(item_names()).alias("item_name"),
     )
     counts = named.groupBy("customer_id", "item_name").agg(F.count("*").alias("n"))
     place = F.dense_rank().over(Window.partitionBy("customer_id").orderBy(F.desc("n")))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.functions.calendar import weekday_name
+
 OPENING_HOURS = T.StructType(
     [
         T.StructField("date", T.StringType()),
@@ -39,7 +41,7 @@ def holiday_hours(orders: DataFrame) -> DataFrame:
         F.when(january, 1400).alias("close_time"),
         F.when(january, "Short day").otherwise("Closed").alias("special_note"),
     )
-    first = days.groupBy(F.date_format(day, "EEEE").alias("name"), F.weekday(day).alias("n")).agg(
+    first = days.groupBy(weekday_name(day).alias("name"), F.weekday(day).alias("n")).agg(
         F.count("*").alias("seen")
     )
     usual = first.select(

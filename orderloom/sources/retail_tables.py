@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.functions.calendar import clock_text
 from orderloom.functions.categories import by_last_word
 
 # Words the part names of the given tables are made of.
@@ -111,7 +112,7 @@ def raw_orders(spark: SparkSession, root: str) -> DataFrame:
         F.lit(',"cart_gst":'),
         _text(F.floor(total / 11)),
         F.lit(',"order_time":"'),
-        F.date_format(created, "HH:mm"),
+        clock_text(created),
         F.lit('"'),
         _request(key),
         F.lit(',"cart":['),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -85,8 +85,6 @@ def daily_alerts(closed_days: DataFrame, days: int = 28, width: float = 2.0) ->
 
     ``closed_days`` has one row per day (window_start, revenue).
     """
-    from pyspark.sql import Window
-
     before = Window.orderBy("window_start").rowsBetween(-days, -1)
     mean, spread = F.avg("revenue").over(before), F.stddev_samp("revenue").over(before)
     scored = closed_days.select(
