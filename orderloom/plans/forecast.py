@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import whole_days
+from orderloom.operators.neighbours import with_next
 from orderloom.operators.sampling import in_train_part
 from orderloom.plans.questions import new_customers_by_month
 from orderloom.plans.returns import PERIODS, Periods
@@ -79,28 +80,23 @@ def first_order_features(orders: DataFrame, days: int = 60) -> DataFrame:
 
     Customers whose first order is too late to tell are left out.
     """
-    latest = orders.agg(F.max("date_created").alias("_latest"))
-    place = F.struct("date_created", "order_id", "total_cents", "cart_size")
-    firsts = orders.groupBy("customer_id").agg(F.min(place).alias("first"))
-    opening = firsts.select("customer_id", F.col("first.date_created").alias("_start"), "first")
-    later = (
-        orders.select("customer_id", "order_id", "date_created")
-        .join(opening.select("customer_id", "_start", F.col("first.order_id").alias("_id")), "customer_id")
-        .where((F.col("order_id") != F.col("_id")) & (whole_days(F.col("_start"), F.col("date_created")) <= days))
-        .groupBy("customer_id")
-        .agg(F.count("*").alias("_later"))
-    )
+    slim = orders.select("customer_id", "order_id", "date_created", "total_cents", "cart_size")
+    latest = slim.agg(F.max("date_created").alias("_latest"))
+    ahead = with_next(slim, "customer_id", ["date_created", "order_id"], "next_date")
+    place = F.struct("date_created", "order_id", "total_cents", "cart_size", "next_date")
+    firsts = ahead.groupBy("customer_id").agg(F.min(place).alias("first"))
+    start = F.col("first.date_created")
+    soon = whole_days(start, F.col("first.next_date")) <= days
     return (
-        opening.join(later, "customer_id", "left")
-        .crossJoin(F.broadcast(latest))
-        .where(whole_days(F.col("_start"), F.col("_latest")) > days)
+        firsts.crossJoin(F.broadcast(latest))
+        .where(whole_days(start, F.col("_latest")) > days)
         .select(
             "customer_id",
             (F.col("first.total_cents") / 100).alias("first_total"),
             F.coalesce(F.col("first.cart_size"), F.lit(0)).alias("first_cart_size"),
-            F.hour("_start").alias("first_hour"),
-            F.weekday("_start").alias("first_weekday"),
-            F.when(F.col("_later") > 0, 1).otherwise(0).alias("retained"),
+            F.hour(start).alias("first_hour"),
+            F.weekday(start).alias("first_weekday"),
+            F.when(soon, 1).otherwise(0).alias("retained"),
         )
     )
 
