@@ -91,6 +91,11 @@ def customer_churn_threshold(orders: DataFrame) -> DataFrame:
     return thresholds(gaps)
 
 
+def paid_lines_with_threshold(orders: DataFrame) -> DataFrame:
+    """Paid cart lines with the churn threshold of their customer."""
+    return paid_order_details(orders).join(customer_churn_threshold(orders), "customer_id", "left")
+
+
 def churn_threshold_v1(orders: DataFrame) -> DataFrame:
     """Older form: every paid order whose status is not 10."""
     kept = orders.where(F.col("date_paid").isNotNull() & (F.col("status") != 10) & has_lines())

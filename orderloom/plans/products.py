@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.functions.calendar import month_start, quarter_label
+from orderloom.functions.calendar import calendar_columns, month_start, quarter_label
 from orderloom.plans.cart import each_line, has_lines, line_sales, product_sales
 from orderloom.plans.star import product_avg_price
 from orderloom.scratch import stage_if_possible
@@ -156,7 +156,10 @@ def orders_with_dims(orders: DataFrame, customers: DataFrame, statuses: DataFram
 
 
 def sales_with_dims(orders: DataFrame, price_semantics: str = "line") -> DataFrame:
-    """Sales per order and item with the item's mean price and the day."""
+    """Sales per order and item with the item's mean price and the calendar of the day.
+
+    Calendar columns follow from the date, so no calendar table is joined.
+    """
     sales = product_sales(orders, price_semantics)
     products = product_avg_price(orders).select("item_name", "average_price")
     return sales.join(products, "item_name", "left").select(
@@ -164,7 +167,7 @@ def sales_with_dims(orders: DataFrame, price_semantics: str = "line") -> DataFra
         "customer_id",
         "item_name",
         "item_category",
-        F.to_date("date_created").alias("date_key"),
+        *calendar_columns(F.to_date("date_created")),
         "quantity_sold",
         (F.col("sales_cents") / 100).alias("total_sales"),
         "average_price",

@@ -17,7 +17,7 @@ from orderloom.functions.risk import (
     smoothed,
     wilson_bounds,
 )
-from orderloom.plans.marts import order_gaps, paid_orders, thresholds
+from orderloom.plans.marts import order_gaps, paid_order_details, paid_orders, thresholds
 from orderloom.scratch import stage_if_possible
 
 START = "2022-07-01"
@@ -59,6 +59,13 @@ def order_repeat_label(orders: DataFrame, start: str = START) -> DataFrame:
     )
 
 
+def labelled_lines(orders: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Paid lines of the labelled orders with the label; every labelled order stays."""
+    lines = paid_order_details(orders).select("order_id", "item_tracking_id", "item", "quantity")
+    labels = labelled.select("customer_id", "order_id", "order_time", "next_repeat_purchase")
+    return lines.join(labels, "order_id", "right")
+
+
 def _order_items(labelled: DataFrame) -> DataFrame:
     return labelled.select(
         "customer_id", "order_id", "next_repeat_purchase", F.explode("items").alias("item")

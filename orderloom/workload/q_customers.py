@@ -62,6 +62,14 @@ def _(s):
     return retention.order_repeat_label(s.orders).drop("items")
 
 
+@query(
+    "labelled_lines",
+    ret("SELECT order_id, item_id AS item_tracking_id, item_name AS item, quantity, lab.customer_id, lab.order_time, rep AS next_repeat_purchase FROM lab LEFT JOIN (SELECT order_id, item_id, item_name, quantity FROM pl) USING (order_id)"),
+)
+def _(s):
+    return retention.labelled_lines(s.orders, _labelled(s))
+
+
 _IR = "SELECT item, n AS item_order_count, k AS item_order_count_next_repeat, round(p, 6) AS retention_proba, round(lo, 6) AS ci_lower, round(hi, 6) AS ci_upper, lvl AS churn_risk_level FROM ir"
 
 

@@ -225,7 +225,9 @@ def _(s):
 
 @query(
     "sales_with_dims",
-    sql("""SELECT order_id, customer_id, ps.item_name, item_category, date_created::DATE AS date_key, quantity_sold, sales_cents / 100.0 AS total_sales, average_price
+    sql("""SELECT order_id, customer_id, ps.item_name, item_category, date_created::DATE AS date_key, CAST(day(date_created) AS INTEGER) AS day, CAST(month(date_created) AS INTEGER) AS month,
+ CAST(year(date_created) AS INTEGER) AS year, strftime(date_created, '%A') AS day_of_week, strftime(date_created, '%B') AS month_name, CAST(dayofweek(date_created) + 1 AS INTEGER) AS weekday_index,
+ CAST(strftime(date_created, '%U') AS INTEGER) AS week_of_year, CAST(quarter(date_created) AS INTEGER) AS quarter, quantity_sold, sales_cents / 100.0 AS total_sales, average_price
  FROM ps JOIN (SELECT item_name, round(sum(price_cents)::DOUBLE / count(*) / 100, 6) AS average_price FROM el GROUP BY 1) USING (item_name)"""),
 )
 def _(s):

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderloom.plans import cart, marts, star
+from orderloom.plans import cart, marts, pipeline, star
 from orderloom.workload.base_sql import half_up, sql
-from orderloom.workload.registry import query
+from orderloom.workload.registry import ORACLES, query
 
 AS_OF = "2025-08-01"
 
@@ -275,6 +275,15 @@ def _(s):
     return marts.churn_threshold_v1(s.orders)
 
 
+@query(
+    "paid_lines_with_threshold",
+    sql("""SELECT order_id, customer_id, order_cents/100.0 AS order_price, item_id AS item_tracking_id, item_name AS item, item_category AS category,
+ quantity, price_cents/100.0 AS item_price, order_time, round(churn_threshold, 6) AS churn_threshold FROM pl LEFT JOIN th USING (customer_id)"""),
+)
+def _(s):
+    return marts.paid_lines_with_threshold(s.orders)
+
+
 @query(
     "order_details_v1",
     sql(f"SELECT order_id, customer_id, ip_addr, {_ORDER} FROM os"),
@@ -326,3 +335,21 @@ def _(s):
 )
 def _(s):
     return star.total_sales_by_item(s.orders)
+
+
+_COUNTED = [
+    "cart_lines", "line_options", "fct_order_details", "fct_product_sales", "fct_order_item_options",
+    "dim_customers", "dim_products", "dim_payment_status", "dim_item_options", "dim_time",
+    "orders_with_hours", "paid_order_details", "customer_churn_threshold", "item_price_history",
+]
+
+
+@query(
+    "model_row_counts",
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", count(*) AS rows FROM ({ORACLES[name]})"
+        for table, name in [*((n, n) for n in _COUNTED), ("opening_hours", "opening_hours_dim")]
+    ),
+)
+def _(s):
+    return pipeline.row_counts(pipeline.model_tables(s.orders, s.hours, AS_OF))
