@@ -15,7 +15,8 @@ SUMMED = {
     "items": ["item_quantity", "item_price"],
     "options": ["option_price"],
     "option_counts": ["count", "avg_option_price"],
-    "orders": ["total", "cart_size", "cart_surcharge", "cart_total_price", "cart_gst"],
+    "orders": ["total", "status", "cart_size", "cart_surcharge", "cart_total_price", "cart_gst"],
+    "staged_orders": ["order_id", "customer_id", "total", "status"],
     "item_totals": [],
 }
 # Links from the many side to the one side.
@@ -23,6 +24,7 @@ LINKS = {
     ("items", "orders"): "order_id",
     ("options", "orders"): "order_id",
     ("orders", "customers"): "customer_id",
+    ("staged_orders", "orders"): "order_id",
     ("items", "item_totals"): "item_name",
     ("option_counts", "item_totals"): "item_name",
 }
@@ -35,6 +37,15 @@ def report_tables(orders: DataFrame, as_of=None) -> dict[str, DataFrame]:
         "options": cart.item_options_v1(orders),
         "option_counts": star.item_options_analysis(orders),
         "orders": cart.order_details_v1(orders),
+        "staged_orders": orders.select(
+            "order_id",
+            "customer_id",
+            "ip_addr",
+            "date_created",
+            "date_paid",
+            F.col("total_cents").alias("total"),
+            "status",
+        ),
         "item_totals": star.total_sales_by_item(orders),
     }
 

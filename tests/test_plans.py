@@ -211,7 +211,7 @@ def test_metric_needs_a_many_to_one_path(spark):
     with pytest.raises(ValueError):
         metrics.metric(tables, "orders", ["total"], ["items.item_name"])
     with pytest.raises(ValueError):
-        metrics.metric(tables, "orders", ["status"], ["orders.status"])
+        metrics.metric(tables, "orders", ["order_id"], ["orders.status"])
     found = dicts(metrics.metric(tables, "items", ["item_quantity"], ["customers.total_orders"]), "total_orders")
     assert [(r["total_orders"], r["item_quantity"]) for r in found] == [(1, 1), (2, 2)]
 
