@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_CATEGORY = "Kitchen"
@@ -27,3 +27,21 @@ def by_last_word(words: Mapping[str, Sequence[str]], default: str = DEFAULT_CATE
     """A rule that looks only at the last word of the item name."""
     base = by_menu(words, default)
     return lambda name: base(F.element_at(F.split(name, " "), -1))
+
+
+def from_table(menu: DataFrame, default: str = DEFAULT_CATEGORY, limit: int = 10_000):
+    """A rule from a menu table (position, item_name, item_category).
+
+    The lowest position of a name wins.  A menu is part of the expression, so its size is
+    checked: a table above ``limit`` rows is no menu and is refused.
+    """
+    rows = menu.select("position", "item_name", "item_category").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"the menu has more than {limit} rows")
+    first: dict[str, str] = {}
+    for row in sorted(rows, key=lambda r: r["position"]):
+        first.setdefault(row["item_name"], row["item_category"])
+    lists: dict[str, list[str]] = {}
+    for name, category in first.items():
+        lists.setdefault(category, []).append(name)
+    return by_menu(lists, default)

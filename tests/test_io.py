@@ -135,3 +135,18 @@ def test_daily_alerts(spark):
     rows = [(start + timedelta(days=i), 100.0 + i % 2) for i in range(30)] + [(start + timedelta(days=30), 900.0)]
     frame = spark.createDataFrame(rows, "window_start timestamp_ntz, revenue double")
     assert [r["window_start"].day for r in kpi.daily_alerts(frame).where("revenue > 500").collect()] == [31]
+
+
+def test_menu_file(spark, tmp_path):
+    from orderloom.functions.categories import from_table
+    from orderloom.plans import star
+    from orderloom.sources.menu import read_menu
+
+    path = tmp_path / "menu.csv"
+    path.write_text("position,item_name,item_category\n2,cake,Hot Drinks\n1,cake,Food\n3,tea,Hot Drinks\n")
+    menu = read_menu(spark, str(path))
+    frame = orders(spark, [{"cart": [item("cake"), item("tea"), item("pie")]}], category=from_table(menu))
+    found = {r["item_name"]: r["item_category"] for r in star.dim_products(frame).collect()}
+    assert found == {"cake": "Food", "tea": "Hot Drinks", "pie": "Kitchen"}
+    with pytest.raises(ValueError):
+        from_table(menu, limit=2)
