@@ -134,7 +134,7 @@ def _(s):
 
 
 _REVENUE = """, tot AS (SELECT cohort, CAST(sum(CASE WHEN step > 0 THEN live ELSE 0 END) AS BIGINT) AS t FROM walk GROUP BY 1)
-SELECT inc AS repeat_increase, round(sp, 6) AS avg_spending_per_order, ps0 AS period_sales, round(inc * sp, 6) AS extra_revenue, round(inc * sp / ps0, 6) AS revenue_increase FROM
+SELECT inc AS repeat_increase, round(sp, 4) AS avg_spending_per_order, ps0 AS period_sales, round(inc * sp, 4) AS extra_revenue, round(inc * sp / ps0, 4) AS revenue_increase FROM
  (SELECT (SELECT t FROM tot WHERE cohort = 'after') - (SELECT t FROM tot WHERE cohort = 'before') AS inc,
   (SELECT avg(m) / 100 FROM (SELECT avg(order_cents) AS m FROM po WHERE customer_id IN (SELECT customer_id FROM ai) GROUP BY customer_id)) AS sp,
   (SELECT sum(order_cents)::BIGINT / 100.0 FROM po WHERE order_time >= TIMESTAMP '2022-07-01') AS ps0)"""
@@ -143,7 +143,7 @@ SELECT inc AS repeat_increase, round(sp, 6) AS avg_spending_per_order, ps0 AS pe
 _REMOVAL = _recursive(_REMOVAL_START)
 
 
-@query("removal_revenue", _REMOVAL[: _REMOVAL.rindex("\nSELECT cohort")] + _REVENUE)
+@query("removal_revenue", _REMOVAL[: _REMOVAL.rindex("\nSELECT cohort")] + _REVENUE, digits=4)
 def _(s):
     return retention.removal_revenue(s.orders, _labelled(s), _items(s), _impact(s))
 

@@ -104,11 +104,12 @@ def _(s):
 
 @query(
     "revenue_anomalies",
-    sql(f"""SELECT day, revenue_cents, round(m, 6) AS mean_before, round(sd, 6) AS std_before, CASE WHEN revenue_cents < m - 2.0*sd THEN 'drop' ELSE 'spike' END AS kind FROM
+    sql(f"""SELECT day, revenue_cents, round(m, 3) AS mean_before, round(sd, 3) AS std_before, CASE WHEN revenue_cents < m - 2.0*sd THEN 'drop' ELSE 'spike' END AS kind FROM
  (SELECT day, revenue_cents, avg(revenue_cents) OVER w AS m, stddev_samp(revenue_cents) OVER w AS sd, count(*) OVER w AS n FROM
    (SELECT d AS day, COALESCE(c, 0)::BIGINT AS revenue_cents FROM (SELECT {_DAYS} AS d) LEFT JOIN (SELECT date_created::DATE AS d, sum(total_cents)::BIGINT AS c FROM ro GROUP BY 1) USING (d))
   WINDOW w AS (ORDER BY day ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING))
  WHERE n = 28 AND (revenue_cents < m - 2.0*sd OR revenue_cents > m + 2.0*sd)"""),
+    digits=3,
 )
 def _(s):
     return revenue.revenue_anomalies(s.orders)
