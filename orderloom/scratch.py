@@ -29,9 +29,8 @@ def shared_root(spark: SparkSession) -> str | None:
     return _local_roots[app]
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a frame that reads the written copy."""
-    spark = df.sparkSession
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path of its own under the shared folder."""
     root = shared_root(spark)
     if root is None:
         raise RuntimeError(
@@ -39,7 +38,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
             "folder that every executor can reach"
         )
     app = spark.sparkContext.applicationId
-    path = f"{root}/orderloom/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{root}/orderloom/{app}/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once and return a frame that reads the written copy."""
+    spark = df.sparkSession
+    path = new_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
