@@ -8,10 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm import sql_twins
 from orderloom.llm.common import table
+from orderloom.llm.decontamination import contaminated_documents
 from orderloom.llm.mixing import mix_sources
 from orderloom.llm.ngram_join import near_duplicate_components
 from orderloom.llm.quality_rules import judge_documents
 from orderloom.llm.sharding import shard_documents
+from orderloom.llm.tokens import (
+    token_counts,
+    token_digests,
+    vocabulary_path,
+    write_token_files,
+)
+from orderloom.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +36,24 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_path(spark, "token-files")
+    write_token_files(
+        table(spark, sf_dir, "documents"), out, vocabulary_path("word_bpe_49k.json"), end_id=1
+    )
+    return token_digests(spark, out)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -36,6 +62,9 @@ QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_quality_rules": op3_quality_rules,
+    "op4_token_counts": op4_token_counts,
+    "op5_decontamination": op5_decontamination,
+    "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
 }
 
