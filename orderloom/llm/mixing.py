@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.scratch import stage
+
 MAX_RATE = 500.0  # a larger mean is split into equal parts that are drawn apart
 
 
@@ -85,12 +87,13 @@ def mix_sources(
     upper limit: beyond 500 a count is the sum of draws of equal rates.  Column names that
     start with ``_copy``, ``_rate`` or ``_order`` are reserved.  Empty tables give no rows.
 
-    The rates, one row per source, are joined without a hint: Spark broadcasts them if
-    they are measured to be small, else a source with a third of all rows is split by the
-    skew join.  The one wide shuffle is the global order itself.
+    The rates, one row per source, are written first, so that their size is known when
+    the join is planned: a small table is broadcast and the documents stay where they are,
+    else a source with a third of all rows is split by the skew join.  The one wide shuffle
+    is the global order itself.
     """
     columns = docs.columns
-    rates = source_rates(docs, weights, source)
+    rates = stage(source_rates(docs, weights, source), "source-rates")
     rated = docs.join(rates, docs[source].eqNullSafe(rates["_source"])).select(
         *[docs[c] for c in columns], "_rate"
     )
