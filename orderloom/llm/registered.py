@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderloom.llm import sql_twins
 from orderloom.llm.common import table
 from orderloom.llm.decontamination import contaminated_documents
+from orderloom.llm.importance import resample
 from orderloom.llm.mixing import mix_sources
 from orderloom.llm.ngram_join import near_duplicate_components
 from orderloom.llm.quality_rules import judge_documents
@@ -19,6 +20,7 @@ from orderloom.llm.tokens import (
     vocabulary_path,
     write_token_files,
 )
+from orderloom.llm.toxicity import toxic_documents
 from orderloom.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +48,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_path(spark, "token-files")
     write_token_files(
@@ -64,6 +74,8 @@ QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op5_decontamination": op5_decontamination,
+    "op7_quality_resampling": op7_quality_resampling,
+    "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
 }
