@@ -274,7 +274,6 @@ def clean_documents(
 
     The verdict follows from the text alone, so documents go by the digest of their text.
     """
-    bad = overlaps(docs, items, overlap, text=text, **names).select(
-        F.col("digest").alias("_digest")
-    ).distinct()
+    found = overlaps(docs, items, overlap, text=text, **names)
+    bad = stage(found.select(F.col("digest").alias("_digest")).distinct(), "contaminated")
     return docs.join(bad, F.md5(docs[text]) == bad["_digest"], "left_anti")

@@ -333,8 +333,8 @@ def near_duplicate_components(
 
 
 def one_of_each_group(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4,
-    threshold: Threshold = Threshold(),
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
+    threshold: Threshold = Threshold(80),
 ) -> DataFrame:
     """The documents that stay: of each component the row with the smallest id.
 
@@ -350,4 +350,5 @@ def one_of_each_group(
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row")
     stays = rows.groupBy("component").agg(F.min(place).alias("first"))
     goes = rows.join(stays, "component").where("_row != first._row").select("_row")
+    goes = stage(goes, "duplicates")
     return kept.join(goes, "_row", "left_anti").select(*docs.columns)

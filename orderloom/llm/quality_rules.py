@@ -196,7 +196,7 @@ def judge_documents(
         F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(host).alias("_of")
     )
     measured = stage(text_measures(own).drop("text"), "measures")
-    bad = rejected_hosts(measured, "_of", rules)
+    bad = stage(rejected_hosts(measured, "_of", rules), "rejected-hosts")
     failed = base_failed(rules)
     joined = measured.join(bad, F.col("_of").eqNullSafe(F.col("_host")), "left")
     return joined.select(
@@ -220,7 +220,7 @@ def keep_documents(
         "_doc", F.col(f"_doc.{text}").alias("text"), F.col(f"_doc.{host}").alias("_of")
     )
     measured = stage(text_measures(own).drop("text"), "measured-documents")
-    bad = rejected_hosts(measured, "_of", rules)
+    bad = stage(rejected_hosts(measured, "_of", rules), "rejected-hosts")
     good = measured.where(~base_failed(rules))
     joined = good.join(bad, F.col("_of").eqNullSafe(F.col("_host")), "left_anti")
     return joined.select("_doc.*")

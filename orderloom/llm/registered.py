@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm import sql_twins
@@ -12,6 +13,7 @@ from orderloom.llm.decontamination import contaminated_documents
 from orderloom.llm.importance import resample
 from orderloom.llm.mixing import mix_sources
 from orderloom.llm.ngram_join import near_duplicate_components
+from orderloom.llm.personal_data import private_documents
 from orderloom.llm.quality_rules import judge_documents
 from orderloom.llm.sharding import shard_documents
 from orderloom.llm.tokens import (
@@ -48,6 +50,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -74,10 +80,12 @@ QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op5_decontamination": op5_decontamination,
+    "op6_personal_data": op6_personal_data,
     "op7_quality_resampling": op7_quality_resampling,
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
