@@ -81,34 +81,33 @@ def mix_sources(
 
     A document appears k times, k drawn from the Poisson distribution whose mean is its
     source's rate by a number that depends on key and seed only.  The result has the
-    columns of ``docs`` and ``_copy`` (0 to k - 1), ``_rate`` and ``_order``; it is range
-    partitioned and sorted by ``_order``, a hash of seed, key and copy.  Rows that repeat
-    a key get the same k.  A null key or source is a value like others.  Rates have no
-    upper limit: beyond 500 a count is the sum of draws of equal rates.  Column names that
-    start with ``_copy``, ``_rate`` or ``_order`` are reserved.  Empty tables give no rows.
+    columns of ``docs`` and ``_copy`` (0 to k - 1), ``_rate`` and ``_order``, each left out
+    if ``docs`` has a column of that name; it is range partitioned and sorted by the order,
+    a hash of seed, key and copy.  Rows that repeat a key get the same k.  A null key or
+    source is a value like others.  Rates have no upper limit: beyond MAX_RATE a count is
+    the sum of draws of equal rates.  Empty tables give no rows.
 
     The rates, one row per source, are written first, so that their size is known when
     the join is planned: a small table is broadcast and the documents stay where they are,
     else a source with a third of all rows is split by the skew join.  The one wide shuffle
     is the global order itself.
     """
-    columns = docs.columns
     rates = stage(source_rates(docs, weights, source), "source-rates")
-    rated = docs.join(rates, docs[source].eqNullSafe(rates["_source"])).select(
-        *[docs[c] for c in columns], "_rate"
-    )
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    of, own = F.col(f"_doc.`{source}`"), F.col(f"_doc.`{key}`")
+    rated = packed.join(rates, of.eqNullSafe(F.col("_source"))).drop("_source")
     parts = F.greatest(F.ceil(F.col("_rate") / F.lit(MAX_RATE)), F.lit(1)).cast("int")
     each = F.col("_rate") / parts
     draws = F.transform(
         F.sequence(F.lit(1), parts),
-        lambda i: poisson_count(unit(F.lit(seed), F.col(key), i), each),
+        lambda i: poisson_count(unit(F.lit(seed), own, i), each),
     )
     drawn = F.aggregate(draws, F.lit(0), lambda a, b: a + b)
-    copies = rated.withColumn("_k", F.when(F.col("_rate") > 0, drawn).otherwise(0)).where("_k > 0")
-    exploded = copies.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-    order = unit(F.lit(f"order{seed}"), F.col(key), F.col("_copy"))
-    return (
-        exploded.withColumn("_order", order)
-        .select(*columns, "_copy", "_rate", "_order")
-        .orderBy("_order", key, "_copy")
+    counted = rated.withColumn("_k", F.when(F.col("_rate") > 0, drawn).otherwise(0))
+    copies = counted.where("_k > 0").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0), F.col("_k") - 1))
     )
+    order = unit(F.lit(f"order{seed}"), own, F.col("_copy"))
+    mixed = copies.withColumn("_order", order).orderBy("_order", own, "_copy")
+    added = [c for c in ("_copy", "_rate", "_order") if c not in docs.columns]
+    return mixed.select("_doc.*", *added)

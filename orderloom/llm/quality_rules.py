@@ -217,7 +217,7 @@ def keep_documents(
     """The documents that pass, with their own columns."""
     plain = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
     own = plain.select(
-        "_doc", F.col(f"_doc.{text}").alias("text"), F.col(f"_doc.{host}").alias("_of")
+        "_doc", F.col(f"_doc.`{text}`").alias("text"), F.col(f"_doc.`{host}`").alias("_of")
     )
     measured = stage(text_measures(own).drop("text"), "measured-documents")
     bad = stage(rejected_hosts(measured, "_of", rules), "rejected-hosts")
