@@ -1,4 +1,4 @@
-"""The next event of the same customer, also when one customer has a third of all rows."""
+"""The next event of the same customer, whatever share of all rows a customer has."""
 
 from __future__ import annotations
 
@@ -7,43 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
+from orderloom.operators.ordering import partition_of, sorted_copy
 
 
-def with_next(
-    df: DataFrame,
-    key: str,
-    order: Sequence[str],
-    out: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Add the first order column of the next row within ``key``.
+def with_next(df: DataFrame, key: str, order: Sequence[str], out: str) -> DataFrame:
+    """Add the first order column of the next row within ``key``, as a plain ``lead`` would.
 
-    ``order`` starts with a timestamp and is unique within the key.  Keys with at most
-    ``hot_rows`` rows are one window each.  Larger ones are cut into days: a window per
-    day, and the last row of a day looks up the first row of the key's next day.  The
-    list of large keys has at most rows / hot_rows entries, which bounds the broadcast.
+    ``order`` is unique within the key; nulls come first in it, and the null key is a key.
+    The rows are range-partitioned by key and order and written once.  Inside a range the
+    next row is the next in file order; the last row of a range looks at the first row of
+    the following range, of which there is one row per range.  So a key of any size is
+    spread over as many ranges as it fills, and no list of large keys is needed.
     """
     first = order[0]
-    hot = (
-        df.groupBy(key)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    sliced = df.join(F.broadcast(hot), key, "left").withColumn(
-        "_slice", F.when(F.col("_hot"), F.to_date(first))
-    )
-    within = Window.partitionBy(key, "_slice").orderBy(*order)
-    by_slice = sliced.withColumn(out, F.lead(first).over(within))
-    starts = sliced.where("_hot").groupBy(key, "_slice").agg(F.min(first).alias("_start"))
-    following = starts.select(
-        key,
-        "_slice",
-        F.lead("_start").over(Window.partitionBy(key).orderBy("_slice")).alias("_following"),
-    )
-    return (
-        by_slice.join(following, [key, "_slice"], "left")
-        .withColumn(out, F.coalesce(out, "_following"))
-        .drop("_hot", "_slice", "_following")
+    rows = sorted_copy(df, [key, *order], "next-event").withColumn("_part", partition_of())
+    head = F.struct(F.col(key).alias("key"), F.col(first).alias("at"))
+    # one row per range
+    heads = rows.groupBy("_part").agg(F.min_by(head, "_at").alias("_head"))
+    beyond = heads.select("_part", F.lead("_head").over(Window.orderBy("_part")).alias("_beyond"))
+    inside = Window.partitionBy("_part").orderBy("_at")
+    after = F.coalesce(F.lead(head).over(inside), F.col("_beyond"))
+    joined = rows.join(F.broadcast(beyond), "_part").withColumn("_next", after)
+    return joined.select(
+        *df.columns, F.when(F.col("_next.key").eqNullSafe(F.col(key)), F.col("_next.at")).alias(out)
     )

@@ -13,11 +13,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.scratch import stage, stage_if_possible
+from orderloom.scratch import stage
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
+def sorted_copy(df: DataFrame, order: Sequence[str | Column], label: str) -> DataFrame:
+    """A written copy in global order with the place of each row in ``_at``."""
+    return stage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), label)
+
+
+def partition_of() -> Column:
+    """The range a row of a sorted copy was written in."""
+    return F.shiftright("_at", _POSITION_BITS)
+
+
 def with_prefix(
     df: DataFrame, order: Sequence[str | Column], amounts: Mapping[str, str], label: str = "sorted"
 ) -> DataFrame:
@@ -27,10 +37,7 @@ def with_prefix(
     itself.  ``order`` should be unique per row: then no value, however frequent, has to
     fit in one partition.
     """
-    ids = F.monotonically_increasing_id()
-    written = stage(df.orderBy(*order).withColumn("_at", ids), label)
-    part = F.shiftright("_at", _POSITION_BITS)
-    rows = written.withColumn("_part", part)
+    rows = sorted_copy(df, order, label).withColumn("_part", partition_of())
     sums = rows.groupBy("_part").agg(
         *[F.sum(source).alias(f"_sum_{out}") for out, source in amounts.items()]
     )
@@ -174,7 +181,7 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ``ml.stat.Correlation`` keeps all rows of one tied value in memory; here ties are
     counted instead.
     """
-    ranked = stage_if_possible(df.select(*columns).dropna(), "spearman")
+    ranked = stage(df.select(*columns).dropna(), "spearman")
     ranks = average_ranks(ranked, columns)
     for column in columns:
         own = ranks.where(F.col("metric") == column).select(

@@ -68,6 +68,17 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _scalar(text: Column, value: Column, field: str) -> Column:
+    """A text field of an object; null where the document holds an object or a list there.
+
+    The parser gives the JSON text of such a value.  Only a value that looks like it is
+    parsed again, as a text may also begin with a bracket.
+    """
+    shapes = [F.from_json(text, f"`{field}` {kind}")[field] for kind in ("struct<_:string>", "array<string>")]
+    nested = shapes[0].isNotNull() | shapes[1].isNotNull()
+    return F.when(value.rlike(r"^\s*[{\[]") & nested, F.lit(None)).otherwise(value)
+
+
 def _element(text: Column, parsed: Column) -> Column:
     # an option that is no object empties the whole list: read such lists one by one
     odd_options = F.transform(
@@ -75,10 +86,10 @@ def _element(text: Column, parsed: Column) -> Column:
         lambda option: F.from_json(option, ODD_OPTION),
     )
     return F.struct(
-        parsed["name"].alias("item_name"),
+        _scalar(text, parsed["name"], "name").alias("item_name"),
         text.alias("cart_item"),
         F.coalesce(parsed["quantity"].try_cast("long"), F.lit(1)).alias("quantity"),
-        parse_cents(parsed["price"]).alias("price_cents"),
+        parse_cents(_scalar(text, parsed["price"], "price")).alias("price_cents"),
         F.coalesce(parsed["options"], odd_options).alias("options"),
     )
 
@@ -152,7 +163,7 @@ def order_documents(raw: DataFrame, category: CategoryRule = no_menu) -> DataFra
     ``item_count`` is the number of distinct names (null without a readable cart) and
     ``line_cents`` the sum of line prices.
     """
-    doc = F.col("doc")
+    doc, items = F.col("doc"), F.col("items")
     parsed = raw.withColumn("doc", F.from_json("items", DOCUMENT))
     orders = parsed.select(
         "order_id",
@@ -163,12 +174,12 @@ def order_documents(raw: DataFrame, category: CategoryRule = no_menu) -> DataFra
         F.col("total").alias("total_cents"),
         "status",
         status_description(F.col("status"), F.col("date_created")).alias("status_description"),
-        doc["cart_size"].cast("long").alias("cart_size"),
-        parse_cents(doc["cart_surcharge"]).alias("surcharge_cents"),
-        parse_cents(doc["cart_total_price"]).alias("cart_total_cents"),
-        parse_cents(doc["cart_gst"]).alias("gst_cents"),
-        doc["order_time"].alias("order_time"),
-        doc["order_time_verbose"].alias("order_time_verbose"),
+        _scalar(items, doc["cart_size"], "cart_size").cast("long").alias("cart_size"),
+        parse_cents(_scalar(items, doc["cart_surcharge"], "cart_surcharge")).alias("surcharge_cents"),
+        parse_cents(_scalar(items, doc["cart_total_price"], "cart_total_price")).alias("cart_total_cents"),
+        parse_cents(_scalar(items, doc["cart_gst"], "cart_gst")).alias("gst_cents"),
+        _scalar(items, doc["order_time"], "order_time").alias("order_time"),
+        _scalar(items, doc["order_time_verbose"], "order_time_verbose").alias("order_time_verbose"),
         _lines(doc["cart"], F.col("items"), category).alias("lines"),
     )
     zero = F.lit(0).cast("long")
@@ -266,7 +277,9 @@ def _option_columns() -> list[Column]:
     return [
         option["name"].alias("option_name"),
         option["value"].alias("option_value"),
-        parse_cents(option["price"]).alias("option_price_cents"),
+        parse_cents(F.when(~option["price"].rlike(r"^\s*[{\[]"), option["price"])).alias(
+            "option_price_cents"
+        ),
     ]
 
 

@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 from orderloom.functions.calendar import whole_days
 from orderloom.operators.ordering import with_prefix
 from orderloom.operators.sampling import exact_sample, in_train_part
-from orderloom.scratch import stage_if_possible
+from orderloom.scratch import stage
 
-# Year ends that split the training windows, the days watched for churn.
+# Year ends that split the training windows, the days watched for churn,
+# the recency up to which customers are scored, and (in _periods) the nine windows.
 SPLITS = ("2020-12-31", "2021-12-31")
 WATCH_DAYS = 60
 MAX_RECENCY = 40
@@ -80,7 +81,7 @@ def churn_features(
         )
         .where("frequency > 0")
     )
-    customers = stage_if_possible(customers, "windows")  # read for the ends and the result
+    customers = stage(customers, "windows")  # read for the ends and the result
     # one row per window
     newest = customers.groupBy("period").agg(F.max("_latest").alias("_newest"))
     recency = whole_days(F.col("_latest"), F.col("_newest"))
@@ -125,29 +126,69 @@ def _pipeline(classifier) -> Pipeline:
 
 @dataclass(frozen=True)
 class Boosting:
+    """``patience``: rounds without a gain on the validation rows after which the search for
+    the best length ends; None keeps all rounds."""
+
     rounds: int = 20
     rate: float = 0.05
     depth: int = 5
+    patience: int | None = 10
 
 
 AUC_MODEL = Boosting()
-VALUE_MODEL = Boosting(rounds=100, rate=0.01, depth=7)
+VALUE_MODEL = Boosting(rounds=100, rate=0.01, depth=7, patience=None)
+
+
+def best_length(losses: list[float], patience: int) -> int:
+    """Number of rounds with the least loss seen before ``patience`` rounds without gain."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            break
+    return best + 1
 
 
 def fit_boosted(rows: DataFrame, setting: Boosting = AUC_MODEL, seed: int = 42) -> PipelineModel:
-    """Boosted trees; rounds stop early when the validation rows no longer gain."""
-    return _pipeline(
-        GBTClassifier(
-            labelCol="churn",
-            weightCol="weight",
-            validationIndicatorCol="is_validation",
-            maxIter=setting.rounds,
-            stepSize=setting.rate,
-            maxDepth=setting.depth,
-            maxBins=64,
-            seed=seed,
-        )
-    ).fit(rows)
+    """Boosted trees on the rows that are not for validation.
+
+    With patience, all rounds are fitted, the loss after each round is taken on the
+    validation rows, and the model is fitted again with the best number of rounds.
+    """
+    train = rows.where(~F.col("is_validation"))
+
+    def fit(rounds: int) -> PipelineModel:
+        return _pipeline(
+            GBTClassifier(
+                labelCol="churn",
+                weightCol="weight",
+                maxIter=rounds,
+                stepSize=setting.rate,
+                maxDepth=setting.depth,
+                maxBins=64,
+                seed=seed,
+            )
+        ).fit(train)
+
+    model = fit(setting.rounds)
+    if setting.patience is None:
+        return model
+    held = rows.where("is_validation")
+    if held.isEmpty():
+        return model
+    prepared = PipelineModel(model.stages[:-1]).transform(held)
+    length = best_length(model.stages[-1].evaluateEachIteration(prepared), setting.patience)
+    return model if length == setting.rounds else fit(length)
+
+
+def boosting_length(model: PipelineModel, name: str, setting: Boosting, spark) -> DataFrame:
+    """One row: rounds asked for, trees held, whether validation chose the length."""
+    trees = model.stages[-1].getNumTrees
+    chosen = setting.patience is not None
+    fits = 1 <= trees <= setting.rounds if chosen else trees == setting.rounds
+    schema = "model string, rounds int, trees int, validated boolean, length_fits boolean"
+    return spark.createDataFrame([(name, setting.rounds, trees, chosen, fits)], schema)
 
 
 def fit_forest(rows: DataFrame, trees: int = 20, seed: int = 42) -> PipelineModel:

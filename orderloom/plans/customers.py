@@ -9,7 +9,7 @@ from orderloom.functions.calendar import whole_days
 from orderloom.operators.ordering import exact_quantiles
 from orderloom.plans.cart import has_lines
 from orderloom.plans.marts import paid_orders
-from orderloom.scratch import stage_if_possible
+from orderloom.scratch import stage
 from orderloom.plans.returns import PERIODS, Periods, between, in_periods, period_of
 
 # Fixed value: the span of the frequency-money study.
@@ -67,7 +67,7 @@ def freq_money_corr(orders: DataFrame, span: tuple[str, str] = CORRELATION_SPAN)
 def top_decile_share(orders: DataFrame, span: tuple[str, str] = CORRELATION_SPAN) -> DataFrame:
     """One row: share of sales of the most frequent tenth of customers."""
     sales = order_sales(orders).where(between(F.col("date_created"), *span))
-    customers = stage_if_possible(_frequency_money(sales), "frequency-money")
+    customers = stage(_frequency_money(sales), "frequency-money")
     cut = exact_quantiles(customers, {"frequency": {"threshold": 0.9}})
     top = F.col("frequency") >= F.col("threshold")
     return (
@@ -96,7 +96,7 @@ def top_decile_by_period(orders: DataFrame, periods: Periods = PERIODS) -> DataF
     customers = sales.groupBy("customer_id").agg(
         F.sum("sales").alias("frequency"), *[in_period(name).alias(f"c_{name}") for name in names]
     )
-    customers = stage_if_possible(customers, "frequency-periods")
+    customers = stage(customers, "frequency-periods")
     cut = exact_quantiles(customers, {"frequency": {"_cut": 0.9}})
     totals = customers.agg(*[F.sum(f"c_{name}").alias(f"t_{name}") for name in names])
     rows = customers.crossJoin(F.broadcast(cut)).where("frequency >= _cut")
@@ -130,7 +130,7 @@ def customer_ltv(orders: DataFrame, periods: Periods = PERIODS) -> DataFrame:
             (whole_days(F.col("_first"), F.col("_last")) + 1).alias("actual_lifetime_days"),
         )
     )
-    lifetimes = stage_if_possible(lifetimes, "lifetimes")  # read for the means and the result
+    lifetimes = stage(lifetimes, "lifetimes")  # read for the means and the result
     # one row per period
     means = lifetimes.groupBy("period").agg(F.avg("actual_lifetime_days").alias("expected_lifetime"))
     per_day = F.col("total_spending") / F.col("actual_lifetime_days")

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import whole_days
-from orderloom.operators.neighbours import with_next
 from orderloom.operators.sampling import in_train_part
 from orderloom.plans.questions import new_customers_by_month
 from orderloom.plans.returns import PERIODS, Periods
@@ -82,11 +81,18 @@ def first_order_features(orders: DataFrame, days: int = 60) -> DataFrame:
     """
     slim = orders.select("customer_id", "order_id", "date_created", "total_cents", "cart_size")
     latest = slim.agg(F.max("date_created").alias("_latest"))
-    ahead = with_next(slim, "customer_id", ["date_created", "order_id"], "next_date")
-    place = F.struct("date_created", "order_id", "total_cents", "cart_size", "next_date")
-    firsts = ahead.groupBy("customer_id").agg(F.min(place).alias("first"))
+    place = F.struct("date_created", "order_id", "total_cents", "cart_size")
+    firsts = slim.groupBy("customer_id").agg(F.min(place).alias("first"))
     start = F.col("first.date_created")
-    soon = whole_days(start, F.col("first.next_date")) <= days
+    # the next order is soon if any other is; the first itself counts one
+    near = whole_days(start, F.col("date_created")) <= days
+    firsts = (
+        slim.select("customer_id", "date_created")
+        .join(firsts, "customer_id")
+        .groupBy("customer_id", "first")
+        .agg(F.count_if(near).alias("near"))
+    )
+    soon = F.col("near") > 1
     return (
         firsts.crossJoin(F.broadcast(latest))
         .where(whole_days(start, F.col("_latest")) > days)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.calendar import calendar_columns, month_start, quarter_label
 from orderloom.plans.cart import each_line, has_lines, line_sales, product_sales
 from orderloom.plans.star import product_avg_price
-from orderloom.scratch import stage_if_possible
+from orderloom.scratch import stage
 
 
 def top_items(orders: DataFrame, n: int = 5) -> DataFrame:
@@ -80,7 +80,7 @@ def portfolio_matrix(orders: DataFrame, price_semantics: str = "line") -> DataFr
     one row, or one row per quarter.
     """
     # one row per item and quarter, read for the market, the growth and the result
-    summary = stage_if_possible(quarterly_sales(orders, price_semantics), "quarters")
+    summary = stage(quarterly_sales(orders, price_semantics), "quarters")
     market = summary.groupBy("quarter").agg(F.sum("sales_cents").alias("market_cents"))
     latest = market.agg(F.max("quarter").alias("last"))
     previous = (

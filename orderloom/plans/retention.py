@@ -18,7 +18,7 @@ from orderloom.functions.risk import (
     wilson_bounds,
 )
 from orderloom.plans.marts import order_gaps, paid_order_details, paid_orders, thresholds
-from orderloom.scratch import stage_if_possible
+from orderloom.scratch import stage
 
 START = "2022-07-01"
 SMOOTHING = 0.005
@@ -35,7 +35,7 @@ def order_repeat_label(orders: DataFrame, start: str = START) -> DataFrame:
     that is still within the threshold at the end of the data is unknown and left out.
     """
     # thresholds need all gaps before the first label: keep the sorted result
-    gaps = stage_if_possible(order_gaps(paid_orders(orders)), "gaps")
+    gaps = stage(order_gaps(paid_orders(orders)), "gaps")
     latest = gaps.agg(F.max("order_time").alias("_latest"))
     limits = thresholds(gaps)
     rows = (
@@ -87,7 +87,7 @@ def item_retention(
             F.count_if("next_repeat_purchase").alias("item_order_count_next_repeat"),
         )
     )
-    counts = stage_if_possible(counts, "item-counts")  # read for the median and the result
+    counts = stage(counts, "item-counts")  # read for the median and the result
     if not keep_zero:
         counts = counts.where("item_order_count_next_repeat > 0")
     n, k = F.col("item_order_count"), F.col("item_order_count_next_repeat")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.calendar import whole_days
 from orderloom.functions.risk import Z_95, risk_class, wilson_bounds
 from orderloom.operators.neighbours import with_next
-from orderloom.scratch import stage_if_possible
+from orderloom.scratch import stage
 from orderloom.plans.cart import has_lines, item_names
 
 # The two analysed years and the span of sales looked at.
@@ -53,16 +53,16 @@ def sale_returns(
     visits = orders.where(between(F.col("date_created"), *span) & has_lines()).select(
         "order_id", "customer_id", "date_created", item_names().alias("items")
     )
+    if unit not in ("line", "order"):
+        raise ValueError(f"unit must be 'line' or 'order', got {unit!r}")
+    ahead = with_next(visits, "customer_id", ["date_created", "order_id"], "next_date")
+    following = ahead.select("*", F.explode("items").alias("item_name"))
     if unit == "line":
-        sold = visits.select("*", F.explode("items").alias("item_name")).drop("items")
-        following = with_next(
-            sold, "customer_id", ["date_created", "order_id", "item_name"], "next_date"
+        last = F.col("item_name") == F.array_max("items")
+        following = following.withColumn(
+            "next_date", F.when(last, F.col("next_date")).otherwise(F.col("date_created"))
         )
-    elif unit == "order":
-        ahead = with_next(visits, "customer_id", ["date_created", "order_id"], "next_date")
-        following = ahead.select("*", F.explode("items").alias("item_name")).drop("items")
-    else:
-        raise ValueError(f"unit must be 'line' or 'order', got {unit!r}")
+    following = following.drop("items")
     gap = whole_days(F.col("date_created"), F.col("next_date"))
     returned = F.coalesce((gap > 0) & (gap <= days), F.lit(False))
     return following.withColumn("returned", returned)
@@ -83,7 +83,7 @@ def item_return_probability(
         .groupBy("period", F.col("item_name").alias("item"))
         .agg(F.count("*").alias("total_sales"), F.count_if("returned").alias("return_counts"))
     )
-    counts = stage_if_possible(counts, "return-counts")  # read for the medians and the result
+    counts = stage(counts, "return-counts")  # read for the medians and the result
     n, k = F.col("total_sales"), F.col("return_counts")
     updated = (k + PRIOR * 0.5) / (n + PRIOR)
     rated = counts.withColumns({"base_probability": k / n, "updated_probability": updated})

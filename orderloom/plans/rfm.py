@@ -12,7 +12,7 @@ from orderloom.functions.calendar import whole_days
 from orderloom.operators.ordering import exact_quantiles, rank_cutoffs
 from orderloom.plans.customers import order_sales
 from orderloom.plans.returns import PERIODS, Periods, between, in_periods
-from orderloom.scratch import stage_if_possible
+from orderloom.scratch import stage
 
 METRICS = ("recency", "frequency", "monetary")
 
@@ -97,7 +97,7 @@ def rfm_quartile_score(rfm: DataFrame) -> DataFrame:
     Each metric needs only three (value, customer) pairs: they travel as one row, the
     customers are not joined by rank.
     """
-    rfm = stage_if_possible(rfm, "rfm")  # read for the ranks and again for the scores
+    rfm = stage(rfm, "rfm")  # read for the ranks and again for the scores
     keys = _worst_first()
     cuts = rank_cutoffs(
         rfm, {f"_{name}": key for name, key in keys.items()}, "customer_id", _quarter_bounds()
@@ -118,7 +118,7 @@ def rfm_quartile_score(rfm: DataFrame) -> DataFrame:
 
 def rfm_quintile_segments(rfm: DataFrame) -> DataFrame:
     """Quintile scores by value, 5 is best, with a segment name and a tier."""
-    rfm = stage_if_possible(rfm, "rfm")  # read for the quantiles and again for the scores
+    rfm = stage(rfm, "rfm")  # read for the quantiles and again for the scores
     fifths = (2, 4, 6, 8)
     points = {m: {f"_{m}_{p}": p / 10 for p in fifths} for m in METRICS}
     row = rfm.crossJoin(F.broadcast(exact_quantiles(rfm, points)))

@@ -1,12 +1,14 @@
 """Written intermediate tables in the folder that all executors share.
 
-The folder is the one the cluster names in ``spark.checkpoint.dir``.  Only a local
-session without that setting gets a folder of its own.  A staged table is a Parquet
-file set, so losing an executor loses nothing that later stages read.
+The folder is the one named in ``spark.checkpoint.dir``.  A session on one machine that
+names none (``local`` master, as in tests) gets a folder of its own; anywhere else a job
+that stages a table stops with a message.  A staged table is a Parquet file set, so losing
+an executor loses nothing that later stages read.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,14 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 _local_roots: dict[str, str] = {}
 
 
-def shared_root(spark: SparkSession) -> str | None:
-    """Folder for staged tables, or None on a cluster that names none."""
+def shared_root(spark: SparkSession) -> str:
+    """Folder for staged tables."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        return None
+    if not re.match(r"local(\[|$)", context.master):
+        raise RuntimeError(
+            "this job writes an intermediate table: set spark.checkpoint.dir to a "
+            "folder that every executor can reach"
+        )
     app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="orderloom-")
@@ -31,14 +36,8 @@ def shared_root(spark: SparkSession) -> str | None:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path of its own under the shared folder."""
-    root = shared_root(spark)
-    if root is None:
-        raise RuntimeError(
-            "this job writes an intermediate table: set spark.checkpoint.dir to a "
-            "folder that every executor can reach"
-        )
     app = spark.sparkContext.applicationId
-    return f"{root}/orderloom/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/orderloom/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -49,6 +48,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_if_possible(df: DataFrame, label: str) -> DataFrame:
-    """Like ``stage``, but keeps the lazy plan where no shared folder is named."""
-    return stage(df, label) if shared_root(df.sparkSession) else df
+def drop_staged(spark: SparkSession) -> None:
+    """Remove what this application staged; for the end of a job."""
+    folder = f"{shared_root(spark)}/orderloom/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

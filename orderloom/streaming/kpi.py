@@ -71,24 +71,98 @@ def write_windows(
     return writer.trigger(availableNow=True).start() if once else writer.start()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows a running or finished query dropped because they came after the watermark."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+def write_late_counts(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    window: str = "1 hour",
+    event_type: str = "purchase",
+    late: str = LATE,
+    once: bool = True,
+) -> StreamingQuery:
+    """Count, per micro-batch, the raw rows that ``revenue_kpi`` drops as late.
+
+    A row is late when its window has ended by the watermark, which is the greatest time
+    of the batches before, less ``late``.  Each batch writes one row (batch, max_ts, late)
+    to its own folder, so a batch that is repeated writes the same row again.
+    """
+
+    def count(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        seen = _late_table(spark, path, number)
+        mark = seen.agg((F.max("max_ts") - F.expr(f"INTERVAL {late}")).alias("mark"))
+        ends = F.window(F.col("ts"), window)["end"]
+        dropped = (F.col("event_type") == event_type) & (ends <= F.col("mark"))
+        row = batch.crossJoin(F.broadcast(mark)).agg(
+            F.lit(number).cast("long").alias("batch"),
+            F.max("ts").alias("max_ts"),
+            F.count_if(dropped).alias("late"),
+        )
+        row.coalesce(1).write.mode("overwrite").parquet(f"{path}/rows-{number}")
+
+    writer = events.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start() if once else writer.start()
+
+
+_LATE_ROW = "batch long, max_ts timestamp_ntz, late long"
+
+
+def _late_table(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """Rows of the batches so far; one row per batch."""
+    if before == 0:
+        return spark.createDataFrame([], _LATE_ROW)
+    rows = spark.read.schema(_LATE_ROW).parquet(f"{path}/rows-*")
+    return rows if before is None else rows.where(F.col("batch") < before)
+
+
+def late_rows(spark: SparkSession, path: str) -> int:
+    """All rows dropped as late since ``write_late_counts`` began to count in ``path``."""
+    return _late_table(spark, path).agg(F.coalesce(F.sum("late"), F.lit(0))).first()[0]
 
 
 def daily_alerts(closed_days: DataFrame, days: int = 28, width: float = 2.0) -> DataFrame:
-    """Days whose revenue leaves the band of the days before; for ``foreachBatch``.
+    """Days whose revenue leaves the band of the ``days`` days before.
 
-    ``closed_days`` has one row per day (window_start, revenue).
+    ``closed_days`` has one row per day (window_start, revenue) of the whole history that
+    counts.  Days without a row have revenue 0, and a day with fewer than ``days`` days
+    before it raises nothing.  The window runs over one row per calendar day.
     """
-    before = Window.orderBy("window_start").rowsBetween(-days, -1)
-    mean, spread = F.avg("revenue").over(before), F.stddev_samp("revenue").over(before)
-    scored = closed_days.select(
-        "window_start", "revenue", mean.alias("mean_before"), spread.alias("std_before")
+    daily = closed_days.select(F.to_date("window_start").alias("day"), "revenue")
+    span = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    calendar = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
+    filled = calendar.join(daily, "day", "left").fillna(0.0, ["revenue"])
+    before = Window.orderBy("day").rowsBetween(-days, -1)
+    scored = filled.select(
+        F.col("day").cast("timestamp_ntz").alias("window_start"),
+        "revenue",
+        F.avg("revenue").over(before).alias("mean_before"),
+        F.stddev_samp("revenue").over(before).alias("std_before"),
+        F.count("*").over(before).alias("_days"),
     )
     gap = F.abs(F.col("revenue") - F.col("mean_before"))
-    return scored.where(gap > width * F.col("std_before"))
+    far = gap > width * F.col("std_before")
+    return scored.where((F.col("_days") == days) & far).drop("_days")
+
+
+def write_daily_alerts(
+    closed: DataFrame, history: str, alerts: str, checkpoint: str,
+    days: int = 28, width: float = 2.0, once: bool = True,
+) -> StreamingQuery:
+    """Alerts over a stream of closed days, which are stored with the days before them.
+
+    Each batch appends its days to ``history`` (in a folder of its own, so a repeated
+    batch changes nothing), judges its days with the stored ones, and writes the alerts.
+    """
+
+    def judge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.select("window_start", "revenue")
+        fresh.write.mode("overwrite").parquet(f"{history}/days-{number}")
+        stored = spark.read.schema(fresh.schema).parquet(f"{history}/days-*")
+        new = spark.read.schema(fresh.schema).parquet(f"{history}/days-{number}")
+        found = daily_alerts(stored, days, width).join(new.select("window_start"), "window_start")
+        found.write.mode("overwrite").parquet(f"{alerts}/days-{number}")
+
+    writer = closed.writeStream.outputMode("append").foreachBatch(judge)
+    writer = writer.option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start() if once else writer.start()

@@ -40,9 +40,9 @@ def ret(body: str, **extra: str) -> str:
 def _labelled(s):
     """The labelled orders, staged: several registered queries start from them."""
     if not hasattr(s, "labelled"):
-        from orderloom.scratch import stage_if_possible
+        from orderloom.scratch import stage
 
-        s.labelled = stage_if_possible(retention.order_repeat_label(s.orders), "labelled")
+        s.labelled = stage(retention.order_repeat_label(s.orders), "labelled")
     return s.labelled
 
 

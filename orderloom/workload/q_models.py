@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators import ordering, profile, quality, sampling
 from orderloom.plans import cart, churn, forecast, marts, metrics, rfm, segmentation, star
-from orderloom.scratch import stage_if_possible
+from orderloom.scratch import stage
 from orderloom.streaming import kpi
 from orderloom.workload import q_star  # noqa: F401  its twins are the tables checked here
 from orderloom.workload.base_sql import sql
@@ -27,7 +27,7 @@ def _scaled(s):
     return _once(
         s,
         "scaled",
-        lambda: stage_if_possible(segmentation.scale(segmentation.transformed(base)), "scaled"),
+        lambda: stage(segmentation.scale(segmentation.transformed(base)), "scaled"),
     )
 
 
@@ -35,7 +35,7 @@ def _clustered(s):
     return _once(
         s,
         "clustered",
-        lambda: stage_if_possible(segmentation.assign_clusters(_scaled(s)), "clustered"),
+        lambda: stage(segmentation.assign_clusters(_scaled(s)), "clustered"),
     )
 
 
@@ -77,7 +77,7 @@ FEATURES = {
 
 
 def _features(s):
-    return _once(s, "features", lambda: stage_if_possible(churn.churn_features(s.orders), "churn"))
+    return _once(s, "features", lambda: stage(churn.churn_features(s.orders), "churn"))
 
 
 @query("churn_features", sql("SELECT * FROM cf", **FEATURES))
@@ -174,7 +174,7 @@ def _value_scores(s):
     return _once(
         s,
         "value_scores",
-        lambda: stage_if_possible(
+        lambda: stage(
             churn.score(_value_model(s), churn.test_rows(_features(s))), "scores"
         ),
     )
@@ -194,7 +194,24 @@ def _(s):
 
 @query("churn_class_report")
 def _(s):
-    return churn.class_report(churn.confusion(_value_scores(s), F.col("proba") >= 0.4))
+    return churn.class_report(churn.confusion(_value_scores(s), F.col("proba") >= 0.5))
+
+
+@query("value_model_report")
+def _(s):
+    flagged = _value_scores(s).withColumn("flag", (F.col("proba") >= 0.4).cast("double"))
+    report = churn.binary_report(churn.confusion(flagged, F.col("flag")))
+    return report.crossJoin(F.broadcast(churn.roc_auc(flagged, "flag")))
+
+
+@query(
+    "boosting_lengths",
+    "SELECT * FROM (VALUES ('auc', 20, true, true), ('value', 100, false, true)) t(model, rounds, validated, length_fits)",
+)
+def _(s):
+    auc = churn.boosting_length(_boosted(s), "auc", churn.AUC_MODEL, s.spark)
+    value = churn.boosting_length(_value_model(s), "value", churn.VALUE_MODEL, s.spark)
+    return auc.unionAll(value).drop("trees")
 
 
 @query("churn_roc_points")
@@ -207,12 +224,25 @@ def _(s):
     return churn.feature_importance(_boosted(s), s.spark)
 
 
+def _forest(s):
+    return _once(s, "forest", lambda: churn.fit_forest(churn.training_rows(_features(s))))
+
+
 @query("forest_report")
 def _(s):
-    model = _once(s, "forest", lambda: churn.fit_forest(churn.training_rows(_features(s))))
-    scored = churn.score(model, churn.test_rows(_features(s)))
+    scored = churn.score(_forest(s), churn.test_rows(_features(s)))
     counts = churn.confusion(scored, F.col("proba") > 0.5)
-    return churn.binary_report(counts).crossJoin(F.broadcast(churn.roc_auc(scored)))
+    train = churn.training_rows(_features(s)).where(~F.col("is_validation"))
+    fitted = churn.confusion(churn.score(_forest(s), train), F.col("proba") > 0.5)
+    own = churn.binary_report(fitted).select(F.col("accuracy").alias("train_accuracy"))
+    report = churn.binary_report(counts).crossJoin(F.broadcast(churn.roc_auc(scored)))
+    return report.crossJoin(F.broadcast(own))
+
+
+@query("forest_class_report")
+def _(s):
+    scored = churn.score(_forest(s), churn.test_rows(_features(s)))
+    return churn.class_report(churn.confusion(scored, F.col("proba") > 0.5))
 
 
 @query("churn_probability_histogram")
@@ -241,7 +271,7 @@ def _(s):
 def _campaign(s):
     def make():
         segments = rfm.rfm_quintile_segments(rfm.rfm_orders(s.orders))
-        return stage_if_possible(
+        return stage(
             churn.campaign_list(s.orders, _value_scores(s), segments), "campaign"
         )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from orderloom.plans import cart, marts, pipeline, star
 from orderloom.workload.base_sql import half_up, sql
 from orderloom.workload.registry import ORACLES, query
@@ -69,7 +71,6 @@ def _(s):
 
 
 def _sales_v1(orders, semantics):
-    from pyspark.sql import functions as F
 
     from orderloom.functions.money import dollars
 
@@ -218,7 +219,6 @@ def _(s):
  LEFT JOIN (SELECT date_created::DATE AS date_key, count(*) AS n FROM ro GROUP BY 1) USING (date_key)"""),
 )
 def _(s):
-    from pyspark.sql import functions as F
 
     days = s.orders.groupBy(F.to_date("date_created").alias("date_key")).agg(F.count("*").alias("orders"))
     return star.dim_time_between(s.spark).join(days, "date_key", "left").fillna(0, ["orders"])
@@ -353,3 +353,40 @@ _COUNTED = [
 )
 def _(s):
     return pipeline.row_counts(pipeline.model_tables(s.orders, s.hours, AS_OF))
+
+
+# documents as no table has them: broken, missing, an object or a list for a scalar
+_ODD = {
+    1: '{"cart_size":1,"cart":[',
+    2: None,
+    3: '{"cart_size":1,"cart_total_price":{"x":1},"cart":[{"name":"Latte","price":{"x":1}}]}',
+    4: '{"cart_size":1,"cart_total_price":500,"cart":[{"name":["Latte"],"price":500}]}',
+    5: '{"cart_size":1,"cart_total_price":500,"cart":[{"name":"[Latte","price":500}]}',
+}
+
+
+@query(
+    "odd_documents",
+    """SELECT CAST(o_orderkey % 6 AS BIGINT) AS kind, count(*) AS orders,
+ count(*) * CASE WHEN o_orderkey % 6 < 3 THEN 1 ELSE 0 END AS unreadable,
+ count(*) * CASE WHEN o_orderkey % 6 < 3 THEN 0 ELSE 1 END AS lines,
+ count(*) * CASE WHEN o_orderkey % 6 = 5 THEN 1 WHEN o_orderkey % 6 = 3 THEN 1 ELSE 0 END AS names,
+ CAST(count(*) * CASE WHEN o_orderkey % 6 > 3 THEN 500 ELSE 0 END AS BIGINT) AS price_cents,
+ CAST(count(*) * CASE WHEN o_orderkey % 6 > 3 THEN 500 ELSE 0 END AS BIGINT) AS total_cents
+ FROM orders WHERE o_orderkey % 6 > 0 GROUP BY o_orderkey % 6""",
+)
+def _(s):
+    kind = F.col("order_id") % 6
+    document = F.lit(None).cast("string")
+    for number, text in _ODD.items():
+        document = F.when(kind == number, F.lit(text)).otherwise(document)
+    odd = cart.order_documents(s.raw.where(kind > 0).withColumn("items", document))
+    line = F.get("lines", F.lit(0))
+    return odd.groupBy(kind.alias("kind")).agg(
+        F.count("*").alias("orders"),
+        F.count_if(F.col("lines").isNull()).alias("unreadable"),
+        F.coalesce(F.sum(F.when(F.col("lines").isNotNull(), F.size("lines"))), F.lit(0)).alias("lines"),
+        F.count(line["item_name"]).alias("names"),
+        F.coalesce(F.sum(line["price_cents"]), F.lit(0)).alias("price_cents"),
+        F.coalesce(F.sum("cart_total_cents"), F.lit(0)).alias("total_cents"),
+    )

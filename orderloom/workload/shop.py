@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.plans import cart
-from orderloom.scratch import stage_if_possible
+from orderloom.scratch import stage
 from orderloom.sources import retail_tables
 from orderloom.sources.opening_hours import holiday_hours
 
@@ -26,12 +26,12 @@ class Shop:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return stage_if_possible(retail_tables.raw_orders(self.spark, self.sf_dir), "raw-orders")
+        return stage(retail_tables.raw_orders(self.spark, self.sf_dir), "raw-orders")
 
     @cached_property
     def orders(self) -> DataFrame:
         documents = cart.order_documents(self.raw, retail_tables.category_of)
-        return stage_if_possible(documents, "orders")
+        return stage(documents, "orders")
 
     @cached_property
     def hours(self) -> DataFrame:

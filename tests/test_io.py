@@ -70,7 +70,6 @@ class FakeSession:
 def test_shared_folder_is_the_named_one():
     assert scratch.shared_root(FakeSession("yarn", "hdfs:///shared/")) == "hdfs:///shared"
     assert scratch.shared_root(FakeSession("local[2]", "/named")) == "/named"
-    assert scratch.shared_root(FakeSession("yarn", None)) is None
     own = scratch.shared_root(FakeSession("local[2]", None))
     assert own and own == scratch.shared_root(FakeSession("local[2]", None))
 
@@ -81,12 +80,11 @@ def test_staged_table_is_a_written_copy(spark):
     assert scratch.shared_root(spark) in staged.inputFiles()[0]
 
 
-def test_staging_needs_a_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr(scratch, "shared_root", lambda session: None)
+def test_staging_needs_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.stage(spark.range(1), "ids")
-    frame = spark.range(1)
-    assert scratch.stage_if_possible(frame, "ids") is frame
+        scratch.shared_root(FakeSession("spark://host:7077", None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_root(FakeSession("local-cluster[2,1,1024]", None))
 
 
 def _events(spark, path, rows):
@@ -119,22 +117,63 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     _events(spark, source, [_event(2, 5), _event(3, 900)])
     query = kpi.write_windows(kpi.revenue_kpi(kpi.read_events(spark, source)), out, state)
     query.awaitTermination(120)
-    assert kpi.late_rows(query) == 1
     starts = [r["window_start"].hour for r in spark.read.parquet(out).collect()]
     assert starts == [10]
 
 
+def test_late_raw_rows_are_counted(spark, tmp_path):
+    """Several late rows of one window are several, a late row of an open window is none."""
+    source, counts, state = (str(tmp_path / n) for n in ("in", "counts", "c"))
+    _events(spark, source, [_event(1, 600), _event(2, 590)])
+
+    def run():
+        kpi.write_late_counts(kpi.read_events(spark, source), counts, state).awaitTermination(120)
+        return kpi.late_rows(spark, counts)
+
+    assert run() == 0
+    late = [_event(3, 5), _event(4, 6), _event(5, 7), _event(6, 8, "view"), _event(7, 541)]
+    _events(spark, source, [*late, _event(8, 900)])
+    assert run() == 3
+    _events(spark, source, [_event(9, 601), _event(10, 850)])
+    assert run() == 4 == kpi.late_rows(spark, counts)
+
+
 def test_sessions(spark):
     frame = spark.createDataFrame([_event(1, 0), _event(2, 29), _event(3, 60), _event(4, 10, user=2)], kpi.EVENTS)
     found = sorted((r["user_id"], r["events"]) for r in kpi.visit_sessions(frame).collect())
     assert found == [(1, 1), (1, 2), (2, 1)]
 
 
-def test_daily_alerts(spark):
+def _days(spark, money, first=0):
     start = datetime(2024, 1, 1)
-    rows = [(start + timedelta(days=i), 100.0 + i % 2) for i in range(30)] + [(start + timedelta(days=30), 900.0)]
-    frame = spark.createDataFrame(rows, "window_start timestamp_ntz, revenue double")
-    assert [r["window_start"].day for r in kpi.daily_alerts(frame).where("revenue > 500").collect()] == [31]
+    rows = [(start + timedelta(days=first + i), float(m)) for i, m in enumerate(money) if m is not None]
+    return spark.createDataFrame(rows, "window_start timestamp_ntz, revenue double")
+
+
+def test_daily_alerts(spark):
+    frame = _days(spark, [100 + i % 2 for i in range(30)] + [900])
+    assert [r["window_start"].day for r in kpi.daily_alerts(frame).collect()] == [31]
+
+
+def test_no_alert_before_28_days(spark):
+    early = _days(spark, [100, 101, 5000] + [100 + i % 2 for i in range(25)])
+    assert kpi.daily_alerts(early).collect() == []
+    gap = _days(spark, [100 + i % 2 for i in range(29)] + [None, 100])  # a day without sales
+    assert [r["revenue"] for r in kpi.daily_alerts(gap).collect()] == [0.0]
+
+
+def test_streamed_alerts_know_the_days_before(spark, tmp_path):
+    source, history, alerts, state = (str(tmp_path / n) for n in ("in", "days", "alerts", "c"))
+    money = [100 + i % 3 for i in range(40)]
+    money[35] = 900
+    schema = "window_start timestamp_ntz, revenue double"
+    for first in range(0, 40, 10):
+        _days(spark, money[first : first + 10], first).coalesce(1).write.mode("append").parquet(source)
+        days = spark.readStream.schema(schema).parquet(source)
+        kpi.write_daily_alerts(days, history, alerts, state).awaitTermination(120)
+    got = sorted(r["window_start"] for r in spark.read.parquet(f"{alerts}/days-*").collect())
+    want = sorted(r["window_start"] for r in kpi.daily_alerts(_days(spark, money)).collect())
+    assert got == want == [datetime(2024, 2, 5)]
 
 
 def test_menu_file(spark, tmp_path):

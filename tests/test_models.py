@@ -89,6 +89,28 @@ def test_models_learn_the_rule(spark, features, fit):
     assert weights["recency"] < 0.2
 
 
+def test_boosting_boosts_on_overlapping_classes(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(2000):
+        frequency, recency = rng.randint(1, 20), rng.randint(0, 39)
+        gone = rng.random() < 1 / (1 + 2.718 ** (0.3 * frequency - 0.05 * recency - 1))
+        rows.append(("p1", i, recency, frequency, rng.randint(100, 9000), int(gone)))
+    schema = "period string, customer_id long, recency long, frequency long, monetary long, churn int"
+    train = churn.training_rows(spark.createDataFrame(rows, schema)).cache()
+    chosen = churn.fit_boosted(train, churn.Boosting(rounds=15, rate=0.1, depth=3))
+    assert 1 < chosen.stages[-1].getNumTrees <= 15
+    whole = churn.fit_boosted(train, churn.Boosting(rounds=8, rate=0.1, depth=3, patience=None))
+    assert whole.stages[-1].getNumTrees == 8
+    assert churn.score(whole, train).select("proba").distinct().count() > 20
+
+
+def test_best_length_waits():
+    assert churn.best_length([5, 4, 3, 4, 5, 2], 2) == 3
+    assert churn.best_length([5, 4, 3, 4, 5, 2], 4) == 6
+    assert churn.best_length([1.0], 10) == 1
+
+
 def test_reports(spark):
     rows = [(1, 1)] * 3 + [(0, 1)] * 1 + [(1, 0)] * 2 + [(0, 0)] * 4
     counts = churn.confusion(spark.createDataFrame(rows, "churn int, p int"), F.col("p"))
