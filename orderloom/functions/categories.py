@@ -29,19 +29,28 @@ def by_last_word(words: Mapping[str, Sequence[str]], default: str = DEFAULT_CATE
     return lambda name: base(F.element_at(F.split(name, " "), -1))
 
 
-def from_table(menu: DataFrame, default: str = DEFAULT_CATEGORY, limit: int = 10_000):
-    """A rule from a menu table (position, item_name, item_category).
+def first_positions(menu: DataFrame) -> DataFrame:
+    """One category per name of a menu table (position, item_name, item_category).
 
-    The lowest position of a name wins.  A menu is part of the expression, so its size is
-    checked: a table above ``limit`` rows is no menu and is refused.
+    The lowest position of a name wins, then the first category in order.
     """
-    rows = menu.select("position", "item_name", "item_category").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"the menu has more than {limit} rows")
-    first: dict[str, str] = {}
-    for row in sorted(rows, key=lambda r: r["position"]):
-        first.setdefault(row["item_name"], row["item_category"])
-    lists: dict[str, list[str]] = {}
-    for name, category in first.items():
-        lists.setdefault(category, []).append(name)
-    return by_menu(lists, default)
+    place = F.min(F.struct("position", "item_category"))
+    named = menu.where(F.col("item_name").isNotNull()).groupBy("item_name").agg(place.alias("_first"))
+    return named.select("item_name", F.col("_first.item_category").alias("item_category"))
+
+
+def with_menu(lines: DataFrame, menu: DataFrame, default: str = DEFAULT_CATEGORY) -> DataFrame:
+    """Lines with the category of a menu table of any size, joined by item name.
+
+    Names outside the menu get the default.  A frequent name does not need the menu to be
+    small: Spark broadcasts it if it is, else splits the name's lines.
+    """
+    plain = lines.drop("item_category")
+    joined = plain.join(first_positions(menu), "item_name", "left")
+    category = F.coalesce("item_category", F.lit(default)).alias("item_category")
+    return joined.select(*[category if c == "item_category" else c for c in _kept(lines)])
+
+
+def _kept(lines: DataFrame) -> list[str]:
+    names = list(lines.columns)
+    return names if "item_category" in names else [*names, "item_category"]

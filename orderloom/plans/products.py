@@ -47,15 +47,22 @@ def monthly_item_sales(orders: DataFrame, price_semantics: str = "line") -> Data
     )
 
 
-def monthly_pivot(orders: DataFrame, items: Sequence[str], price_semantics: str = "line") -> DataFrame:
-    """Months as rows, the named items as columns, units sold, missing as 0."""
-    sales = line_sales(orders, price_semantics)
+def monthly_pivot(
+    orders: DataFrame, items: Sequence[str], price_semantics: str = "line", rest: str = "other items"
+) -> DataFrame:
+    """Months as rows, the named items as columns, units sold, missing as 0.
+
+    Units of items that are not named are in the column ``rest``.
+    """
+    named = F.when(F.col("item_name").isin(list(items)), F.col("item_name")).otherwise(rest)
+    sales = line_sales(orders, price_semantics).withColumn("_item", named)
+    columns = [*items, rest]
     wide = (
         sales.groupBy(month_start(F.col("date_created")).alias("month_year"))
-        .pivot("item_name", list(items))
+        .pivot("_item", columns)
         .agg(F.sum("quantity_sold"))
     )
-    return wide.fillna(0, list(items))
+    return wide.fillna(0, columns)
 
 
 def yearly_item_sales(orders: DataFrame, price_semantics: str = "line") -> DataFrame:

@@ -23,14 +23,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_orders_by_month(orders: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_orders_by_month(
+    orders: DataFrame, path: str, mode: str = "overwrite", slices: int = 16
+) -> None:
     """Order table in month folders, so period jobs read only their months.
 
     The months are spread over tasks by month and order, not by month alone: one busy
-    month does not end up in one task.
+    month does not end up in one task.  ``slices`` is the number of tasks a month may
+    spread over: about the gigabytes of the largest month.
     """
     month = F.date_format("date_created", "yyyy-MM")
-    spread = F.pmod(F.xxhash64("order_id"), F.lit(16))
+    spread = F.pmod(F.xxhash64("order_id"), F.lit(slices))
     (
         orders.withColumn("order_month", month)
         .repartition("order_month", spread)

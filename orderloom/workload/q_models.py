@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators import ordering, profile, quality, sampling
@@ -502,6 +505,43 @@ def _(s):
     return profile.profile(s.table("orders").select(*[c for c, _, _ in _PROFILED]), exact=True)
 
 
+# columns of every given table
+_COLUMNS = {
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount "
+    "l_tax l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
+}
+
+
+@query(
+    "profile_all_tables",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls,
+ count(DISTINCT {c}) AS distinct_values FROM {t}"""
+        for t, columns in _COLUMNS.items()
+        for c in columns.split()
+    ),
+)
+def _(s):
+    parts = []
+    for name in _COLUMNS:
+        found = profile.profile(s.table(name), exact=True).withColumn("table", F.lit(name))
+        parts.append(found.select("table", "column", "rows", "nulls", "distinct_values"))
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query("table_profile_estimated")
 def _(s):
     return profile.profile(s.orders.drop("lines"))

@@ -155,13 +155,47 @@ def _(s):
         "SELECT date_trunc('month', date_created)::DATE AS month_year, "
         + ", ".join(
             f"""COALESCE(sum(quantity_sold) FILTER (WHERE item_name = '{name}'), 0)::BIGINT AS "{name}\""""
-            for name in ITEM_NAMES
+            for name in ITEM_NAMES[:-3]
         )
-        + " FROM ps GROUP BY 1"
+        + """, COALESCE(sum(quantity_sold) FILTER (WHERE item_name IS NULL OR item_name NOT IN ("""
+        + ", ".join(f"'{name}'" for name in ITEM_NAMES[:-3])
+        + """)), 0)::BIGINT AS "other items" FROM ps GROUP BY 1"""
     ),
 )
 def _(s):
-    return products.monthly_pivot(s.orders, ITEM_NAMES)
+    return products.monthly_pivot(s.orders, ITEM_NAMES[:-3])
+
+
+@query(
+    "menu_categories",
+    sql(
+        """SELECT CASE WHEN length(item_name) % 4 = 0 THEN 'Kitchen' ELSE 'Length ' || length(item_name) END AS item_category,
+ count(DISTINCT item_name) AS items, sum(quantity_sold)::BIGINT AS units FROM ps GROUP BY 1"""
+    ),
+)
+def _(s):
+    from pyspark.sql import functions as F
+
+    from orderloom.functions.categories import with_menu
+
+    sales = products.line_sales(s.orders, "line")
+    # a menu of the names that occur, each twice, without those of some lengths
+    names = sales.select("item_name").distinct().where(F.length("item_name") % 4 != 0)
+    entries = [
+        F.struct(F.lit(2).alias("position"), F.lit("A second entry").alias("item_category")),
+        F.struct(
+            F.lit(1).alias("position"),
+            F.concat(F.lit("Length "), F.length("item_name").cast("string")).alias("item_category"),
+        ),
+    ]
+    menu = names.select("item_name", F.inline(F.array(*entries)))
+    return (
+        with_menu(sales, menu)
+        .groupBy("item_category")
+        .agg(
+            F.count_distinct("item_name").alias("items"), F.sum("quantity_sold").alias("units")
+        )
+    )
 
 
 @query(

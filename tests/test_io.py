@@ -9,6 +9,7 @@ from shapes import T0, item, orders, raw
 
 from orderloom import scratch
 from orderloom.sources import raw_orders, sinks
+from orderloom.plans import cart
 from orderloom.streaming import kpi
 
 
@@ -177,15 +178,18 @@ def test_streamed_alerts_know_the_days_before(spark, tmp_path):
 
 
 def test_menu_file(spark, tmp_path):
-    from orderloom.functions.categories import from_table
-    from orderloom.plans import star
+    from orderloom.functions.categories import with_menu
     from orderloom.sources.menu import read_menu
 
     path = tmp_path / "menu.csv"
-    path.write_text("position,item_name,item_category\n2,cake,Hot Drinks\n1,cake,Food\n3,tea,Hot Drinks\n")
+    rows = "".join(f"{i},filler {i},Filler\n" for i in range(3, 12_000))
+    path.write_text("position,item_name,item_category\n2,cake,Hot Drinks\n1,cake,Food\n3,tea,Hot Drinks\n" + rows)
     menu = read_menu(spark, str(path))
-    frame = orders(spark, [{"cart": [item("cake"), item("tea"), item("pie")]}], category=from_table(menu))
-    found = {r["item_name"]: r["item_category"] for r in star.dim_products(frame).collect()}
-    assert found == {"cake": "Food", "tea": "Hot Drinks", "pie": "Kitchen"}
-    with pytest.raises(ValueError):
-        from_table(menu, limit=2)
+    lines = cart.each_line(
+        orders(spark, [{"cart": [item("cake"), item("tea"), item("pie")]}]), ["order_id"], ["item_name", "item_category"]
+    )
+    found = with_menu(lines, menu)
+    assert found.columns == lines.columns
+    assert {r["item_name"]: r["item_category"] for r in found.collect()} == {
+        "cake": "Food", "tea": "Hot Drinks", "pie": "Kitchen",
+    }
