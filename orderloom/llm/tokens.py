@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +21,8 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import whole_text
 
 PIECE = 1 << 18  # characters that are taken apart at a time
-KEPT = 300_000  # distinct words whose ids a task remembers
+KEPT = 300_000  # distinct pre-tokens whose counts a task remembers
+KEPT_IDS = 800_000  # distinct words whose ids a worker process remembers
 
 # The pattern that parts a text before byte-level merges.
 PRE_TOKENS = (
@@ -193,6 +197,17 @@ def token_counts(
 # ---------------------------------------------------------------- ids
 
 
+def kept_encoder(path: str) -> WordEncoder:
+    """The encoder of this worker process, which Spark uses for one task after another.
+
+    Tasks get their code by value, so it is kept in a module of its own.
+    """
+    store = sys.modules.setdefault("_orderloom_kept", types.ModuleType("_orderloom_kept"))
+    if path not in store.__dict__:
+        store.__dict__[path] = WordEncoder(path)
+    return store.__dict__[path]
+
+
 class WordEncoder:
     """Ids of texts for vocabularies that never merge across white space.
 
@@ -202,50 +217,101 @@ class WordEncoder:
     """
 
     odd = regex.compile("[\x1c-\x1f]")
+    # on other code points the library's lower case may differ from Python's
+    foldable = regex.compile("[\x00-\u012f\u0131-\u024f]+")
 
     def __init__(self, path: str):
         self.library = load_tokenizer(path)
+        vocabulary = self.library.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for text, i in vocabulary.items() if text.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
+        self.entries = 0
+        self.flat = np.empty(1 << 16, np.int32)
         self.start = np.empty(1 << 14, np.int64)
         self.length = np.empty(1 << 14, np.int64)
         self.used = 0
+        self._add([",", "."], *self._plain([",", "."]))
 
-    def _learn(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        at, total = len(self.index), int(lengths.sum())
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        at, total = self.entries, len(ids)
         while len(self.start) < at + len(words):
             self.start = np.concatenate([self.start, self.start])
             self.length = np.concatenate([self.length, self.length])
         while len(self.flat) < self.used + total:
             self.flat = np.concatenate([self.flat, self.flat])
-        self.flat[self.used : self.used + total] = [i for ids in encoded for i in ids]
+        self.flat[self.used : self.used + total] = ids
         self.length[at : at + len(words)] = lengths
         self.start[at : at + len(words)] = self.used + np.cumsum(lengths) - lengths
         self.used += total
+        self.entries += len(words)
         self.index.update(zip(words, range(at, at + len(words))))
 
-    def _look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words in a row, and the number of ids of each word."""
-        index = self.index
-        try:
-            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            if len(index) > KEPT:
-                self._forget()
-                index = self.index
-            self._learn(list({w for w in words if w not in index}))
-            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        return np.array([i for ids in encoded for i in ids], np.int32), lengths
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, encoded as one text: a token that ends a word says so."""
+        whole = self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(whole.ids, np.int32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):  # the library parts a word that Python calls letters
+            return self._plain(words)
+        return ids, np.diff(ends, prepend=0)
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words.  Words in another case, or with a comma or a full stop behind
+        letters, follow from the same word without, which alone is encoded."""
+        index, stems, marked = self.index, {}, []
+        for word in words:
+            stem = word.lower() if self.foldable.fullmatch(word) else word
+            if stem[-1] in ",." and stem[:-1].isalpha():
+                marked.append((word, stem[:-1], stem[-1]))
+                stem = stem[:-1]
+            stems[word] = stem
+        fresh = {stem for stem in stems.values() if stem not in index}
+        letters = [w for w in fresh if w.isalpha()]
+        for at in range(0, len(letters), 2000):
+            some = letters[at : at + 2000]
+            self._add(some, *self._letters(some))
+        others = [w for w in fresh if not w.isalpha()]
+        if others:
+            self._add(others, *self._plain(others))
+        for word, stem in stems.items():
+            if word not in index:
+                index[word] = index[stem]
+        if marked:
+            own = np.fromiter((index[m[1]] for m in marked), np.int64, len(marked))
+            sign = np.fromiter((index[m[2]] for m in marked), np.int64, len(marked))
+            both = np.column_stack([own, sign]).ravel()
+            ids, lengths = self._gather(both)
+            self._add([m[0] for m in marked], ids, lengths[0::2] + lengths[1::2])
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self.length[at]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         places = np.arange(total) + np.repeat(self.start[at] - (ends - lengths), lengths)
         return self.flat[places], lengths
 
+    def _look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row, and the number of ids of each word."""
+        if len(self.index) > KEPT_IDS:
+            self._forget()
+        look = self.index.get
+        at = np.fromiter(map(look, words, itertools.repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unknown = [words[i] for i in missing.tolist()]
+            self._learn(list(set(unknown)))
+            at[missing] = np.fromiter(map(look, unknown), np.int64, len(unknown))
+        return self._gather(at)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         out: list[np.ndarray] = []
@@ -367,7 +433,7 @@ def write_token_files(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder = WordEncoder(path)
+        encoder = kept_encoder(path)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         if shared:
             shared.precompute_compress(level=level)
