@@ -34,20 +34,25 @@ def unique(df: DataFrame, table: str, *columns: str) -> DataFrame:
     return _row(repeated, "unique", table, name, F.count("*"), F.min(text))
 
 
-def not_null(df: DataFrame, table: str, *columns: str) -> DataFrame:
-    """All columns in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    entries = [
-        F.struct(
-            F.lit("not_null").alias("check"),
-            F.lit(table).alias("table"),
-            F.lit(c).alias("column"),
-            F.col(c).alias("failing_rows"),
-            F.lit(None).cast("string").alias("sample"),
+def not_null(df: DataFrame, table: str, *columns: str, key: str | None = None) -> DataFrame:
+    """All columns in one pass; the sample is the least ``key`` of a row with a null."""
+    shown = F.lit(None).cast("string") if key is None else F.col(key).cast("string")
+    aggregates, entries = [], []
+    for i, c in enumerate(columns):
+        missing = F.col(c).isNull()
+        aggregates += [
+            F.count_if(missing).alias(f"_n{i}"), F.min(F.when(missing, shown)).alias(f"_s{i}")
+        ]
+        entries.append(
+            F.struct(
+                F.lit("not_null").alias("check"),
+                F.lit(table).alias("table"),
+                F.lit(c).alias("column"),
+                F.col(f"_n{i}").alias("failing_rows"),
+                F.col(f"_s{i}").alias("sample"),
+            )
         )
-        for c in columns
-    ]
-    return counts.select(F.inline(F.array(*entries)))
+    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
 
 
 def accepted_values(df: DataFrame, table: str, column: str, values: Sequence) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import calendar_columns, month_start, quarter_label
+from orderloom.operators.ordering import exact_quantiles
 from orderloom.plans.cart import each_line, has_lines, line_sales, product_sales
 from orderloom.plans.star import product_avg_price
 from orderloom.scratch import stage
@@ -124,8 +125,9 @@ def portfolio_matrix(orders: DataFrame, price_semantics: str = "line") -> DataFr
             "growth_rate",
         )
     )
-    medians = rows.agg(
-        F.median("relative_market_share").alias("_share"), F.median("growth_rate").alias("_growth")
+    rows = stage(rows, "portfolio")  # read for the medians and the result
+    medians = exact_quantiles(
+        rows, {"relative_market_share": {"_share": 0.5}, "growth_rate": {"_growth": 0.5}}
     )
     big = F.col("relative_market_share") >= F.col("_share")
     growing = F.col("growth_rate") >= F.col("_growth")

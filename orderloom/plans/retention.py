@@ -17,6 +17,7 @@ from orderloom.functions.risk import (
     smoothed,
     wilson_bounds,
 )
+from orderloom.operators.ordering import exact_quantiles
 from orderloom.plans.marts import order_gaps, paid_order_details, paid_orders, thresholds
 from orderloom.scratch import stage
 
@@ -100,7 +101,7 @@ def item_retention(
         lower.alias("ci_lower"),
         upper.alias("ci_upper"),
     )
-    middle = rated.agg(F.median("retention_proba").alias("_median"))
+    middle = exact_quantiles(rated, {"retention_proba": {"_median": 0.5}})
     level = risk_class(F.col("ci_lower"), F.col("ci_upper"), F.col("_median"))
     return (
         rated.crossJoin(F.broadcast(middle)).withColumn("churn_risk_level", level).drop("_median")
@@ -127,10 +128,9 @@ def high_risk_impact(labelled: DataFrame, items: DataFrame) -> DataFrame:
             F.count_if(~F.col("next_repeat_purchase")).alias("unretained_orders"),
         )
     )
-    rest = items.where("churn_risk_level <> 'High'").agg(
-        F.percentile("retention_proba", F.lit(0.25)).alias("q25"),
-        F.median("retention_proba").alias("retention_after"),
-        F.percentile("retention_proba", F.lit(0.75)).alias("q75"),
+    rest = exact_quantiles(
+        items.where("churn_risk_level <> 'High'"),
+        {"retention_proba": {"q25": 0.25, "retention_after": 0.5, "q75": 0.75}},
     )
     kept = F.col("affected_orders") - F.col("unretained_orders")
     return touched.crossJoin(F.broadcast(rest)).select(

@@ -468,8 +468,8 @@ def _(s):
     "dq_on_tables",
     sql("""SELECT 'unique' AS "check", 'lineitem' AS "table", 'l_orderkey, l_linenumber' AS "column", count(*) AS failing_rows, min(k) AS sample FROM
  (SELECT l_orderkey || ', ' || l_linenumber AS k FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
- UNION ALL SELECT 'not_null', 'events', 'value', count(*) FILTER (WHERE value IS NULL), NULL FROM events
- UNION ALL SELECT 'not_null', 'events', 'user_id', count(*) FILTER (WHERE user_id IS NULL), NULL FROM events
+ UNION ALL SELECT 'not_null', 'events', 'value', count(*) FILTER (WHERE value IS NULL), min(CAST(event_id AS VARCHAR)) FILTER (WHERE value IS NULL) FROM events
+ UNION ALL SELECT 'not_null', 'events', 'user_id', count(*) FILTER (WHERE user_id IS NULL), min(CAST(event_id AS VARCHAR)) FILTER (WHERE user_id IS NULL) FROM events
  UNION ALL SELECT 'accepted_values', 'orders', 'o_orderstatus', count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')), min(o_orderstatus) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) FROM orders
  UNION ALL SELECT 'relationships', 'events', 'user_id', count(*), CAST(min(user_id) AS VARCHAR) FROM events WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_nationkey FROM customer WHERE c_nationkey IS NOT NULL)
  UNION ALL SELECT 'positive_quantity', 'lineitem', '', count(*), NULL FROM lineitem WHERE l_quantity <= 0"""),
@@ -480,7 +480,7 @@ def _(s):
     return q.report(
         [
             q.unique(lines, "lineitem", "l_orderkey", "l_linenumber"),
-            q.not_null(events, "events", "value", "user_id"),
+            q.not_null(events, "events", "value", "user_id", key="event_id"),
             q.accepted_values(s.table("orders"), "orders", "o_orderstatus", ["F", "O"]),
             q.relationship(events, "events", "user_id", s.table("customer"), "c_nationkey"),
             q.must_be_empty(lines.where("l_quantity <= 0"), "lineitem", "positive_quantity"),
