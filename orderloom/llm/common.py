@@ -26,6 +26,29 @@ def staged_with_row(df: DataFrame, label: str, row: str = "_row") -> DataFrame:
     return stage(df.withColumn(row, F.monotonically_increasing_id()), label)
 
 
+def least_hashed(df: DataFrame, hashed: Column, most: int, total: int) -> DataFrame:
+    """The ``most`` rows with the least hash; ``total`` is about the number of rows.
+
+    Of a large table only the rows with a hash below eight times the share wanted are
+    compared, so that what meets in one task is bounded, however many tasks there were.
+    """
+    wide = 1 << 30
+    bound = wide if total <= 8 * most else -(-wide * 8 * most // total)
+    near = df.withColumn("_hash", F.pmod(hashed, F.lit(wide))).where(F.col("_hash") < bound)
+    return near.orderBy("_hash", *df.columns).limit(most).drop("_hash")
+
+
+def stage_small_batches(df: DataFrame, label: str, most: int = 8 << 20) -> DataFrame:
+    """Write ``df`` with Arrow batches of at most ``most`` bytes, for rows with long texts."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(name)
+    conf.set(name, most)
+    try:
+        return stage(df, label)
+    finally:
+        conf.set(name, before)
+
+
 def summed_counts(
     df: DataFrame, count: Callable[[pa.RecordBatch, np.ndarray], None], cells: int
 ) -> np.ndarray:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import summed_counts, whole_text
+from orderloom.llm.common import least_hashed, summed_counts, whole_text
 from orderloom.llm.mixing import unit
 from orderloom.llm.textscan import NOT_ALNUM, SPACE, WordHasher, ngrams
 from orderloom.operators.ordering import with_row_number
@@ -43,7 +43,7 @@ def feature_reader() -> Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray
 
 def _target_sample(labels: DataFrame, key: str, label: str) -> DataFrame:
     chosen = labels.where(F.col(label) == 1).select(F.col(key).alias("_target")).distinct()
-    return chosen.orderBy(F.xxhash64("_target"), "_target").limit(TARGET_DOCS)
+    return least_hashed(chosen, F.xxhash64("_target"), TARGET_DOCS, labels.count())
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> np.ndarray:

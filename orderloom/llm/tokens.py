@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import whole_text
+from orderloom.llm.common import least_hashed, whole_text
 
 PIECE = 1 << 18  # characters that are taken apart at a time
 KEPT = 300_000  # distinct pre-tokens whose counts a task remembers
@@ -387,8 +387,10 @@ def _train(docs: DataFrame, path: str, end_id: int, dtype: str, dictionary_bytes
                 trained = b""
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([trained], pa.binary())})
 
+    total = docs.count()
     short = docs.where(F.octet_length("text").between(1, SAMPLE_BYTES))
-    sample = short.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS).select("text")
+    hashed = F.xxhash64("doc_id", "text")
+    sample = least_hashed(short.select("doc_id", "text"), hashed, SAMPLE_DOCS, total).select("text")
     found = sample.coalesce(1).mapInArrow(train, "dictionary binary").collect()
     return bytes(max((r["dictionary"] for r in found), key=len, default=b""))
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import whole_text
+from orderloom.llm.common import least_hashed, whole_text
 from orderloom.llm.textscan import NOT_ALNUM, WordHasher, ngrams
 
 SAMPLE_ROWS = 16_000  # labelled rows the model is fitted on, at most
@@ -111,7 +111,7 @@ def train(
     )
     hashed = F.xxhash64("_id")
     # a generous number of ids, as some have no document or a long one
-    ids = known.orderBy(hashed, "_id").limit(2 * SAMPLE_ROWS)
+    ids = least_hashed(known, hashed, 2 * SAMPLE_ROWS, labels.count())
     own = docs.select(F.col(key).alias("_key"), F.lower(whole_text(text)).alias("text"))
     short = own.where(F.octet_length("text") <= SAMPLE_BYTES)
     sample = (
