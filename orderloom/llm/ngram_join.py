@@ -25,7 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import bitmap, in_bitmap, staged_with_row, summed_counts, whole_text
+from orderloom.llm.common import (
+    bitmap,
+    in_bitmap,
+    stage_small_batches,
+    staged_with_row,
+    summed_counts,
+    whole_text,
+)
 from orderloom.llm.components import components
 from orderloom.llm.textscan import (
     LOWER,
@@ -42,6 +49,7 @@ from orderloom.scratch import stage
 
 SKETCH_BITS = 20
 WANTED_BITS = 22
+PARTNERS = 512
 
 
 @dataclass(frozen=True)
@@ -132,39 +140,48 @@ def shingle_rows(
     )
 
 
-def _overlaps(pairs: DataFrame, size: int) -> DataFrame:
-    """Add ``overlap``, the shared shingles of ``text_a`` and ``text_b``."""
+def _overlaps(texts: DataFrame, size: int) -> DataFrame:
+    """Rows (a, b, na, nb, overlap) from rows (a, salt, b, na, nb, text).
+
+    The rows of an (a, salt) are together and in order, the first with the text of a and
+    no b.  Its set is kept while the rows of its partners go by.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SPACE, LOWER)
-
-        def sets(column: pa.Array) -> list[np.ndarray]:
-            found = []
-            for lo, hi, hashes, rows in hasher.blocks(column):
-                grams, owner = shingles(hashes, rows, hi - lo, size)
-                found += np.split(grams, bounds_of(owner, hi - lo)[1:-1])
-            return found
-
+        first, own = None, np.empty(0, np.uint64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                both = [
-                    len(np.intersect1d(a, b, assume_unique=True))
-                    for a, b in zip(sets(part["text_a"]), sets(part["text_b"]))
-                ]
+            lefts, rights = batch["a"].to_numpy(), batch["b"].is_null().to_numpy(False)
+            places, both = [], []
+            for lo, hi, hashes, rows in hasher.blocks(batch["text"]):
+                grams, owner = shingles(hashes, rows, hi - lo, size)
+                bounds = bounds_of(owner, hi - lo)
+                for row in range(lo, hi):
+                    found = grams[bounds[row - lo] : bounds[row - lo + 1]]
+                    if rights[row]:
+                        first, own = lefts[row], found.copy()
+                    elif first == lefts[row]:
+                        places.append(row)
+                        both.append(len(np.intersect1d(own, found, assume_unique=True)))
+            if places:
+                kept = batch.take(pa.array(places))
                 yield pa.RecordBatch.from_arrays(
-                    [part["a"], part["b"], part["na"], part["nb"], pa.array(both, pa.int64())],
+                    [kept["a"], kept["b"], kept["na"], kept["nb"], pa.array(both, pa.int64())],
                     names=["a", "b", "na", "nb", "overlap"],
                 )
 
-    return pairs.mapInArrow(count, "a long, b long, na long, nb long, overlap long")
+    return texts.mapInArrow(count, "a long, b long, na long, nb long, overlap long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, threshold: Threshold) -> DataFrame:
-    """The pairs (a, b) that reach the threshold, counted over whole texts.
+def _verified(
+    pairs: DataFrame, docs: DataFrame, size: int, threshold: Threshold, label: str
+) -> DataFrame:
+    """The pairs (a, b) that reach the threshold, counted over whole texts; written.
 
     Only the texts of rows in a pair move: a bitmap of fixed size lets through those and
-    a few others before the shuffle, the join then drops the others.
+    a few others before the shuffle, the join then drops the others.  The text of a goes
+    once to each salted part of at most about PARTNERS of its pairs, so neither the text
+    of a hub is copied per pair, nor do all its pairs meet in one task.
     """
     mark = F.xxhash64("row")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("row"))
@@ -177,13 +194,25 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, threshold: Threshold
                 yield batch.select(["row", "text"]).filter(pa.array(hit))
 
     marked = docs.select(F.col("_row").alias("row"), "text").withColumn("mark", mark)
-    texts = marked.mapInArrow(pick, "row long, text string")
-    texts = stage(texts, "pair-texts")
-    first = pairs.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
-    joined = first.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
-    counted = _overlaps(joined.select("a", "b", "na", "nb", "text_a", "text_b"), size)
+    texts = stage(marked.mapInArrow(pick, "row long, text string"), f"{label}-texts")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(PARTNERS)).alias("parts"))
+    salted = pairs.join(parts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")))
+    hubs = salted.select("a", "salt", "na").distinct()
+    none = F.lit(None).cast("long")
+    firsts = hubs.join(texts.withColumnRenamed("row", "a"), "a").select(
+        "a", "salt", none.alias("b"), "na", none.alias("nb"), "text"
+    )
+    others = salted.join(texts.withColumnRenamed("row", "b"), "b").select(
+        "a", "salt", "b", "na", "nb", "text"
+    )
+    together = (
+        firsts.unionAll(others)
+        .repartition("a", "salt")
+        .sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    )
     linked = threshold.holds(F.col("overlap"), F.col("na"), F.col("nb"))
-    return counted.where(linked).select("a", "b")
+    counted = _overlaps(together, size).where(linked).select("a", "b")
+    return stage_small_batches(counted, label)
 
 
 def _star_links(entries: DataFrame, docs: DataFrame, size: int, threshold: Threshold) -> DataFrame:
@@ -209,7 +238,7 @@ def _star_links(entries: DataFrame, docs: DataFrame, size: int, threshold: Thres
     pairs = best.select(
         "best.a", F.col("node").alias("b"), "best.na", F.col("n").alias("nb")
     )
-    return _verified(stage(pairs, "star-pairs"), docs, size, threshold)
+    return _verified(stage(pairs, "star-pairs"), docs, size, threshold, "star-links")
 
 
 def _product_pairs(entries: DataFrame, stars: DataFrame, threshold: Threshold) -> DataFrame:
@@ -289,10 +318,9 @@ def jaccard_rows(
         ),
         "entries",
     )
-    stars = stage(_star_links(entries, docs, size, threshold), "star-links")
+    stars = _star_links(entries, docs, size, threshold)
     pairs = stage(_product_pairs(entries, stars, threshold), "product-pairs")
-    links = stars.unionAll(_verified(pairs, docs, size, threshold))
-    links = stage(links, "jaccard-links")
+    links = stars.unionAll(_verified(pairs, docs, size, threshold, "product-links"))
     groups = components(links, "a", "b")
     of_class = classes.join(groups, "node", "left").select(
         "s1", "s2", F.coalesce("component", "node").alias("component")
@@ -341,9 +369,10 @@ def one_of_each_group(
     Rows with a null id come last, equal ids are told apart by their place in the table.
     Texts without words all stay.
     """
-    kept = staged_with_row(docs, "near-duplicates")
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    kept = staged_with_row(packed, "near-duplicates")
     plain = kept.select(
-        "_row", F.col(key).alias("doc_id"), whole_text(text).alias("text")
+        "_row", F.col(f"_doc.`{key}`").alias("doc_id"), whole_text(f"_doc.`{text}`").alias("text")
     )
     rows, _ = jaccard_rows(plain, size, threshold)
     rows = stage(rows.where("component is not null"), "jaccard-rows")
@@ -351,4 +380,4 @@ def one_of_each_group(
     stays = rows.groupBy("component").agg(F.min(place).alias("first"))
     goes = rows.join(stays, "component").where("_row != first._row").select("_row")
     goes = stage(goes, "duplicates")
-    return kept.join(goes, "_row", "left_anti").select(*docs.columns)
+    return kept.join(goes, "_row", "left_anti").select("_doc.*")
