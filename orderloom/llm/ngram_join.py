@@ -3,10 +3,10 @@
 The incidence matrix A has a row per distinct shingle set and a column per n-gram.  The
 columns are ordered from rare to frequent.  A row's leading block are its first
 |x| - ceil(t |x|) + 1 columns in that order: two rows that reach the threshold t share
-columns there, because of the sizes alone.  The product of the leading blocks is
-accumulated per pair, and a pair is dropped when its count, plus all that could follow
-behind the shorter leading block, cannot reach the overlap that the two sizes ask for.
-The remaining pairs are counted over whole rows.
+columns there, because of the sizes alone.  The product of the leading blocks gives a cell
+to a pair only where the columns that are left behind the shared one can still reach the
+overlap that the two sizes ask for.  The overlaps of these pairs are accumulated over whole
+rows, block by block of a row's partners, and those below the bound are dropped.
 
 A group of m near copies would fill m * m / 2 cells.  Each row is first linked to the
 most central row it shares a leading column with (a star), counted exactly; the product is
@@ -73,9 +73,16 @@ class Threshold:
         behind = F.floor((F.greatest(n, m) * self.percent + 99) / 100) - 1
         return F.greatest(self.least_overlap(n, m) - behind, F.lit(1))
 
+    def most_apart(self, n: Column, m: Column) -> Column:
+        """Columns that rows of these sizes may have in one of them only."""
+        return n + m - 2 * self.least_overlap(n, m)
+
     def lead_length(self, n: np.ndarray) -> np.ndarray:
         return n - (n * self.percent + 99) // 100 + 1
 
+    def lead_of(self, n: Column) -> Column:
+        return n - F.floor((n * self.percent + 99) / 100) + 1
+
 
 def column_levels(docs: DataFrame, size: int) -> np.ndarray:
     """How frequent the columns of each cell of a fixed-size sketch are, in powers of two.
@@ -173,10 +180,8 @@ def _overlaps(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(count, "a long, b long, na long, nb long, overlap long")
 
 
-def _verified(
-    pairs: DataFrame, docs: DataFrame, size: int, threshold: Threshold, label: str
-) -> DataFrame:
-    """The pairs (a, b) that reach the threshold, counted over whole texts; written.
+def _counted(pairs: DataFrame, docs: DataFrame, size: int, label: str) -> DataFrame:
+    """The pairs with their overlap, counted over whole texts; written.
 
     Only the texts of rows in a pair move: a bitmap of fixed size lets through those and
     a few others before the shuffle, the join then drops the others.  The text of a goes
@@ -210,13 +215,16 @@ def _verified(
         .repartition("a", "salt")
         .sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     )
-    linked = threshold.holds(F.col("overlap"), F.col("na"), F.col("nb"))
-    counted = _overlaps(together, size).where(linked).select("a", "b")
-    return stage_small_batches(counted, label)
+    return stage_small_batches(_overlaps(together, size), label)
+
+
+def _linked(counted: DataFrame, threshold: Threshold) -> DataFrame:
+    holds = threshold.holds(F.col("overlap"), F.col("na"), F.col("nb"))
+    return counted.where(holds).select("a", "b")
 
 
-def _star_links(entries: DataFrame, docs: DataFrame, size: int, threshold: Threshold) -> DataFrame:
-    """Each row's link to the most central row it shares columns with, where it holds.
+def _star_counts(entries: DataFrame, docs: DataFrame, size: int, threshold: Threshold) -> DataFrame:
+    """Each row's overlap with the most central row it shares columns with.
 
     Central is the row with the greatest share of its leading block in other rows, so a
     group's links meet in few rows.  Rows are ordered by (share, id), which makes the
@@ -238,54 +246,68 @@ def _star_links(entries: DataFrame, docs: DataFrame, size: int, threshold: Thres
     pairs = best.select(
         "best.a", F.col("node").alias("b"), "best.na", F.col("n").alias("nb")
     )
-    return _verified(stage(pairs, "star-pairs"), docs, size, threshold, "star-links")
+    return _counted(stage(pairs, "star-pairs"), docs, size, "star-counts")
 
 
-def _product_pairs(entries: DataFrame, stars: DataFrame, threshold: Threshold) -> DataFrame:
-    """Pairs of rows in different stars whose counts in the leading blocks suffice."""
+def _product_pairs(entries: DataFrame, counted: DataFrame, threshold: Threshold) -> DataFrame:
+    """Pairs of rows in different stars that can share enough of their leading blocks.
+
+    A pair that shares k columns shares one that has k - 1 more behind it in both blocks.
+    The first column that two rows share begins a run: the columns before it differ.  So a
+    cell is made only at the beginning of a run with enough room behind it, which drops no
+    pair, instead of once per shared column.  Two rows that were counted against the same
+    hub are at least as far apart as their distances to it differ.
+    """
+    stars = _linked(counted, threshold)
     up = stars.select(F.col("b").alias("node"), F.col("a").alias("up"))
     # two steps up the forest; what is left apart only costs work
     top = up.join(up.select(F.col("node").alias("up"), F.col("up").alias("above")), "up", "left")
     root = top.select("node", F.coalesce("above", "up").alias("root"))
+    apart = counted.select(
+        F.col("b").alias("node"),
+        F.col("a").alias("hub"),
+        (F.col("na") + F.col("nb") - 2 * F.col("overlap")).alias("far"),
+    )
+    known = apart.join(root, "node", "left")
     rooted = stage(
-        entries.join(root, "node", "left").select(
-            "gram", "node", "n", "c", F.coalesce("root", "node").alias("root")
+        entries.join(known, "node", "left").select(
+            "gram", "node", "n", "c", "room", "before",
+            F.coalesce("root", "node").alias("root"),
+            F.coalesce("hub", "node").alias("hub"),
+            F.coalesce("far", F.lit(0)).alias("far"),
         ),
         "rooted",
-    )
+    )
     by_root = rooted.groupBy("gram", "root").agg(F.count("*").alias("rows"))
     main = by_root.groupBy("gram").agg(F.max(F.struct("rows", "root")).alias("main"))
     placed = rooted.join(main, "gram").select(
-        "gram", "node", "n", "c", "root", (F.col("root") == F.col("main.root")).alias("main")
-    )
-    a = placed.where(~F.col("main")).select(
-        "gram",
-        *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "c", "root")],
-    )
-    b = placed.select(
-        "gram", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "c", "root", "main")]
-    )
+        "gram", "node", "n", "c", "root", "before", "room", "hub", "far",
+        (F.col("root") == F.col("main.root")).alias("main"),
+    )
+    names = ("node", "n", "c", "root", "before", "room", "hub", "far")
+    a = placed.where(~F.col("main")).select("gram", *[F.col(c).alias(f"{c}_a") for c in names])
+    b = placed.select("gram", "main", *[F.col(c).alias(f"{c}_b") for c in names])
     na, nb = F.col("n_a"), F.col("n_b")
+    least = threshold.least_in_lead(na, nb)
     pairs = a.join(b, "gram").where(
         (F.col("root_a") != F.col("root_b"))
-        & (F.col("main_b") | (F.col("node_a") < F.col("node_b")))
+        & (F.col("main") | (F.col("node_a") < F.col("node_b")))
         & threshold.sizes_fit(na, nb)
-        & (F.least("c_a", "c_b") >= threshold.least_in_lead(na, nb))
+        & (F.least("c_a", "c_b", "room_a", "room_b") >= least)
+        & (
+            (F.col("hub_a") != F.col("hub_b"))
+            | (F.abs(F.col("far_a") - F.col("far_b")) <= threshold.most_apart(na, nb))
+        )
+        & ~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False))
     )
     # a pair can meet in either order, as the main star differs from column to column
     swap = F.col("node_a") > F.col("node_b")
-    counted = (
-        pairs.select(
-            F.least("node_a", "node_b").alias("a"),
-            F.greatest("node_a", "node_b").alias("b"),
-            F.when(swap, nb).otherwise(na).alias("na"),
-            F.when(swap, na).otherwise(nb).alias("nb"),
-        )
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.count("*").alias("shared"))
-    )
-    enough = F.col("shared") >= threshold.least_in_lead(F.col("na"), F.col("nb"))
-    return counted.where(enough).select("a", "b", "na", "nb")
+    return pairs.select(
+        F.least("node_a", "node_b").alias("a"),
+        F.greatest("node_a", "node_b").alias("b"),
+        F.when(swap, nb).otherwise(na).alias("na"),
+        F.when(swap, na).otherwise(nb).alias("nb"),
+    ).distinct()
 
 
 def jaccard_rows(
@@ -304,23 +326,28 @@ def jaccard_rows(
     )
     leads = scanned.join(classes.select(F.col("node").alias("_row")), "_row", "left_semi")
     each = leads.select(
-        F.col("_row").alias("node"),
+        F.col("_row").alias("node"), "n", "lead", F.posexplode("lead")
+    ).select(
+        "node",
         "n",
-        F.size("lead").alias("p"),
-        F.explode("lead").alias("gram"),
+        F.col("col").alias("gram"),
+        (F.size("lead") - F.col("pos")).alias("room"),
+        F.get("lead", F.col("pos") - 1).alias("before"),
     )
     shared = each.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
     common = stage(each.join(shared, "gram"), "shared-columns")
     degree = common.groupBy("node").agg(F.count("*").alias("c"))
     entries = stage(
         common.join(degree, "node").select(
-            "gram", "node", "n", "c", (F.col("c") / F.col("p")).alias("share")
+            "gram", "node", "n", "c", "room", "before",
+            (F.col("c") / threshold.lead_of(F.col("n"))).alias("share"),
         ),
         "entries",
     )
-    stars = _star_links(entries, docs, size, threshold)
+    stars = _star_counts(entries, docs, size, threshold)
     pairs = stage(_product_pairs(entries, stars, threshold), "product-pairs")
-    links = stars.unionAll(_verified(pairs, docs, size, threshold, "product-links"))
+    both = stars.unionAll(_counted(pairs, docs, size, "product-counts"))
+    links = _linked(both, threshold)
     groups = components(links, "a", "b")
     of_class = classes.join(groups, "node", "left").select(
         "s1", "s2", F.coalesce("component", "node").alias("component")
