@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +39,16 @@ def least_hashed(df: DataFrame, hashed: Column, most: int, total: int) -> DataFr
     return near.orderBy("_hash", *df.columns).limit(most).drop("_hash")
 
 
-def stage_small_batches(df: DataFrame, label: str, most: int = 8 << 20) -> DataFrame:
-    """Write ``df`` with Arrow batches of at most ``most`` bytes, for rows with long texts."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = conf.get(name)
-    conf.set(name, most)
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> Iterator[None]:
+    """Jobs that run inside get Arrow batches of at most ``most`` bytes, for long texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
     try:
-        return stage(df, label)
+        yield
     finally:
-        conf.set(name, before)
+        spark.conf.set(name, before)
 
 
 def summed_counts(

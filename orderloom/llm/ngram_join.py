@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import (
     bitmap,
     in_bitmap,
-    stage_small_batches,
+    small_batches,
     staged_with_row,
     summed_counts,
     whole_text,
@@ -215,7 +215,7 @@ def _counted(pairs: DataFrame, docs: DataFrame, size: int, label: str) -> DataFr
         .repartition("a", "salt")
         .sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     )
-    return stage_small_batches(_overlaps(together, size), label)
+    return stage(_overlaps(together, size), label)
 
 
 def _linked(counted: DataFrame, threshold: Threshold) -> DataFrame:
@@ -318,6 +318,13 @@ def jaccard_rows(
     The first frame has (_row, doc_id, n, component) per row of ``docs``, the second the
     links (a, b) between classes that were counted, by the least ``_row`` of each class.
     """
+    with small_batches(docs.sparkSession):
+        return _jaccard_rows(docs, size, threshold)
+
+
+def _jaccard_rows(
+    docs: DataFrame, size: int, threshold: Threshold
+) -> tuple[DataFrame, DataFrame]:
     levels = column_levels(docs, size)
     scanned = stage(shingle_rows(docs, levels, size, threshold), "shingle-rows")
     narrow = scanned.drop("lead")
