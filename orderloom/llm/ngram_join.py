@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import (
@@ -333,22 +333,19 @@ def _jaccard_rows(
     )
     leads = scanned.join(classes.select(F.col("node").alias("_row")), "_row", "left_semi")
     each = leads.select(
-        F.col("_row").alias("node"), "n", "lead", F.posexplode("lead")
-    ).select(
-        "node",
-        "n",
-        F.col("col").alias("gram"),
-        (F.size("lead") - F.col("pos")).alias("room"),
-        F.get("lead", F.col("pos") - 1).alias("before"),
-    )
+        F.col("_row").alias("node"), "n", F.size("lead").alias("p"), F.posexplode("lead")
+    ).select("node", "n", F.col("col").alias("gram"), (F.col("p") - F.col("pos")).alias("room"))
     shared = each.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
     common = stage(each.join(shared, "gram"), "shared-columns")
-    degree = common.groupBy("node").agg(F.count("*").alias("c"))
+    # a window holds the leading block of one row; a column that no other row has ends a run
+    own = Window.partitionBy("node")
+    inside = own.orderBy(F.col("room").desc())
+    beside = F.lag("room").over(inside) == F.col("room") + 1
+    share = F.col("c") / threshold.lead_of(F.col("n"))
     entries = stage(
-        common.join(degree, "node").select(
-            "gram", "node", "n", "c", "room", "before",
-            (F.col("c") / threshold.lead_of(F.col("n"))).alias("share"),
-        ),
+        common.withColumn("c", F.count("*").over(own))
+        .withColumn("before", F.when(beside, F.lag("gram").over(inside)))
+        .select("gram", "node", "n", "c", "room", "before", share.alias("share")),
         "entries",
     )
     stars = _star_counts(entries, docs, size, threshold)
