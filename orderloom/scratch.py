@@ -11,10 +11,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -36,8 +39,21 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path of its own under the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/orderloom/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_folder(spark, *_scopes)}/{label}-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession, *parts: str) -> str:
+    return "/".join([shared_root(spark), "orderloom", spark.sparkContext.applicationId, *parts])
+
+
+@contextmanager
+def scope(name: str) -> Iterator[None]:
+    """Tables that are staged inside share a folder that ``drop_staged`` can remove alone."""
+    _scopes.append(name)
+    try:
+        yield
+    finally:
+        _scopes.pop()
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -48,8 +64,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Remove what this application staged; for the end of a job."""
-    folder = f"{shared_root(spark)}/orderloom/{spark.sparkContext.applicationId}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+def drop_staged(spark: SparkSession, *scopes: str) -> None:
+    """Remove what this application staged, or what it staged in a scope, once it is used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark, *scopes))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
