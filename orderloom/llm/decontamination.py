@@ -30,20 +30,36 @@ class Overlap:
     An overlap is a stretch on one diagonal in which at least ``percent`` of the words
     agree, with ``min_words`` agreeing words or, for shorter items, all but one in five of
     the item's.  Items of fewer than ``least_item`` words are not looked for.
+
+    Items of ``full_item`` words or more use ``masks``, shorter ones ``light``.  With the
+    values below no overlap is without a seed, whatever words are replaced; a test goes
+    through all patterns.  Other values may ask for other masks.
     """
 
-    masks: tuple[str, ...] = ("1101100101", "1010011011", "1110100011", "1011101001")
+    masks: tuple[str, ...] = (
+        "1111011", "110010111", "11011101", "10101111", "111110001", "111101001",
+    )
+    light: tuple[str, ...] = ("1111", "11011", "10111", "11101")
+    full_item: int = 11
     min_words: int = 13
     least_item: int = 5
     percent: int = 75
 
     def offsets(self) -> list[tuple[int, ...]]:
-        return [tuple(i for i, c in enumerate(m) if c == "1") for m in self.masks]
+        return _ones(self.masks)
+
+    def item_offsets(self, n: int) -> list[tuple[int, ...]]:
+        """Of the masks that an item of n words uses."""
+        return self.offsets() if n >= self.full_item else _ones(self.light)
 
     def span(self) -> int:
         return max(map(len, self.masks))
 
 
+def _ones(masks: tuple[str, ...]) -> list[tuple[int, ...]]:
+    return [tuple(i for i, c in enumerate(m) if c == "1") for m in masks]
+
+
 def _second(hashes: np.ndarray) -> np.ndarray:
     return mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))
 
@@ -69,15 +85,8 @@ def benchmark_words(items: DataFrame, key: str, text: str) -> DataFrame:
     return own.mapInArrow(scan, f"item_id {kind}, item_words binary")
 
 
-def _seed_offsets(overlap: Overlap, lengths: list[int]) -> list[tuple[int, ...]]:
-    """The masks, and for the short items all their words in a row."""
-    return overlap.offsets() + [tuple(range(n)) for n in lengths]
-
-
 def benchmark_seeds(words: DataFrame, overlap: Overlap) -> DataFrame:
     """Rows (h, item_id, q): each seed of each item and where it starts."""
-    span, masks = overlap.span(), overlap.offsets()
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -85,8 +94,7 @@ def benchmark_seeds(words: DataFrame, overlap: Overlap) -> DataFrame:
                 if len(own) < overlap.least_item:
                     continue
                 zeros = np.zeros(len(own), np.int64)
-                used = masks if len(own) >= span else [tuple(range(len(own)))]
-                found = [ngrams(own, zeros, offsets) for offsets in used]
+                found = [ngrams(own, zeros, used) for used in overlap.item_offsets(len(own))]
                 h = np.concatenate([f[0] for f in found])
                 q = np.concatenate([f[1] for f in found])
                 one = batch["item_id"].slice(row, 1)
@@ -220,15 +228,16 @@ def overlaps(
     """
     words = stage(benchmark_words(items, item_key, item_text), "benchmark-words")
     length = (F.octet_length("item_words") / 8).cast("int")
-    short = words.where(length.between(overlap.least_item, overlap.span() - 1))
-    # at most span() values
-    lengths = sorted(r[0] for r in short.select(length.alias("n")).distinct().collect())
+    full = (length >= overlap.full_item).alias("full")
+    kinds = words.where(length >= overlap.least_item).select(full).distinct().collect()
+    lengths = {overlap.full_item if r.full else overlap.least_item for r in kinds}
+    offsets = [used for n in lengths or {overlap.full_item} for used in overlap.item_offsets(n)]
     seeds = stage(benchmark_seeds(words, overlap), "benchmark-seeds")
     mask = _filter(seeds)
     own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).select(
         "doc_id", F.md5("text").alias("digest"), F.lower(whole_text("text")).alias("lowered")
     )
-    hits = document_hits(own, mask, _seed_offsets(overlap, lengths))
+    hits = document_hits(own, mask, offsets)
     hits = stage(hits.withColumn("_row", F.monotonically_increasing_id()), "seed-hits")
     each = hits.select("_row", F.explode(F.arrays_zip("h", "p")).alias("hit"))
     met = each.select("_row", F.col("hit.h").alias("h"), F.col("hit.p").alias("p")).join(seeds, "h")
