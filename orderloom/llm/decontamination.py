@@ -172,6 +172,34 @@ def best_stretch(same: np.ndarray, percent: int) -> tuple[int, int]:
     return start, end
 
 
+def widest_stretch(same: np.ndarray, percent: int) -> tuple[int, int]:
+    """Start and end of the stretch with most agreeing words among all in which at least
+    percent agree, without the others at its ends; the first if there are several.
+
+    The longest such stretch has most: unless it is the whole, one more word would take it
+    below percent, so its length fixes how many agree; and others extend to such a one.
+    """
+    if not len(same):
+        return 0, 0
+    score = np.concatenate([[0], np.cumsum(np.where(same, 100 - percent, -percent))])
+    # the first start from which the score does not sink, for each end
+    starts = np.searchsorted(-np.minimum.accumulate(score), -score)
+    end = int(np.argmax(np.arange(len(score)) - starts))
+    start = int(starts[end])
+    inside = np.flatnonzero(same[start:end])
+    return (start + int(inside[0]), start + int(inside[-1]) + 1) if len(inside) else (0, 0)
+
+
+def overlap_stretch(same: np.ndarray, least: int, percent: int) -> tuple[int, int] | None:
+    """The stretch that scores most if it has ``least`` agreeing words, else the one with
+    most agreeing words, else none: then no stretch is an overlap."""
+    for find in (best_stretch, widest_stretch):
+        start, end = find(same, percent)
+        if same[start:end].sum() >= least:
+            return start, end
+    return None
+
+
 def _verified(pairs: DataFrame, overlap: Overlap) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,9 +210,11 @@ def _verified(pairs: DataFrame, overlap: Overlap) -> DataFrame:
                 diagonal = batch["diagonal"][row].as_py()
                 lo, hi = max(0, -diagonal), min(len(item), len(doc) - diagonal)
                 same = doc[lo + diagonal : hi + diagonal] == item[lo:hi]
-                start, end = best_stretch(same, overlap.percent)
-                agree = int(same[start:end].sum())
-                if agree >= min(overlap.min_words, -(-4 * len(item) // 5)):
+                least = min(overlap.min_words, -(-4 * len(item) // 5))
+                found = overlap_stretch(same, least, overlap.percent)
+                if found:
+                    start, end = found
+                    agree = int(same[start:end].sum())
                     keep.append(row)
                     out.append((lo + diagonal + start, lo + start, end - start, agree))
             if keep:
@@ -215,8 +245,9 @@ def overlaps(
 ) -> DataFrame:
     """One row per document and benchmark item that share a passage.
 
-    Columns: _row and digest of the document, doc_id, item_id, and the longest verified
-    stretch: its first word in document and item, its words, and how many agree.  Words
+    Columns: _row and digest of the document, doc_id, item_id, and the verified stretch
+    with most agreeing words, of one per diagonal (``overlap_stretch``): its first word in
+    document and item, its words, and how many agree.  Words
     are runs of ASCII letters and digits and of other code points beyond ASCII, in lower
     case, so punctuation and layout do not matter.  Null and empty texts share nothing.
     Rows that repeat an id are told apart; null ids stay null.  Empty tables on either

@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 
 import numpy as np
 from shared import frame, prose
 
-from orderloom.llm.decontamination import Overlap, best_stretch, contaminated_documents
+from orderloom.llm.decontamination import Overlap, contaminated_documents, overlap_stretch, widest_stretch
 
 
 def least(rule: Overlap, n: int) -> int:
@@ -69,13 +70,64 @@ def test_passages_with_replaced_words_are_found(spark):
         replaced = [set(range(phase, n, 5)) for phase in range(5)] if n % 5 == 0 else []
         replaced += [set(rng.sample(range(n), n - least(Overlap(), n))) for _ in range(8)] if n < 18 else []
         for gone in replaced:
-            same = np.array([k not in gone for k in range(n)])
-            start, end = best_stretch(same, 75)
-            if same[start:end].sum() < least(Overlap(), n):
-                continue
             own = ["other" if k in gone else w for k, w in enumerate(texts[-1].split())]
             want.add((len(rows), item))
             rows.append((len(rows), " ".join([prose(len(rows), 9), *own, prose(7, 9)]), "s"))
     bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
     got = contaminated_documents(frame(spark, rows), bench).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want
+
+
+def accepted(same, least: int, percent: int) -> bool:
+    """Whether any stretch has the words and the share."""
+    stretches = itertools.combinations(range(len(same) + 1), 2)
+    counts = ((int(same[a:b].sum()), b - a) for a, b in stretches)
+    return any(n >= least and 100 * n >= percent * size for n, size in counts)
+
+
+def test_widest_stretch_by_all_stretches():
+    rng, late = random.Random(6), 0
+    for _ in range(600):
+        same = np.array([rng.random() < 0.7 for _ in range(rng.randrange(0, 28))], bool)
+        start, end = widest_stretch(same, 75)
+        inside = [
+            int(same[a:b].sum())
+            for a, b in itertools.combinations(range(len(same) + 1), 2)
+            if 100 * same[a:b].sum() >= 75 * (b - a)
+        ]
+        assert same[start:end].sum() == max(inside, default=0)
+        assert 100 * same[start:end].sum() >= 75 * (end - start)
+        found = overlap_stretch(same, 13, 75)
+        assert (found is not None) == accepted(same, 13, 75)
+        late += found == (start, end)
+        if found:
+            a, b = found
+            assert same[a:b].sum() >= 13 and 100 * same[a:b].sum() >= 75 * (b - a)
+    assert late
+
+
+def test_passages_that_fall_apart_match_all_stretches(spark):
+    """All diagonals and all stretches of each pair; pairs need not share a seed."""
+    runs = [(8, 3, 8), (12, 4, 12), (8, 4, 8), (12, 8, 12), (9, 3, 3, 1, 3), (6, 3, 6), (6, 4, 6)]
+    texts, docs = [], []
+    for i, lengths in enumerate(runs):
+        own = [f"v{i}x{k}" for k in range(sum(lengths))]
+        texts.append(" ".join(own))
+        at = 0
+        for j, n in enumerate(lengths):
+            if j % 2:
+                own[at : at + n] = ["other"] * n
+            at += n
+        docs.append(f"{prose(600 + i, 12)} {' '.join(own)} {prose(700 + i, 5)}")
+    rule, want = Overlap(), set()
+    for (d, doc), (i, item) in itertools.product(enumerate(docs), enumerate(texts)):
+        a, b = re.findall(r"[^\W_]+", doc.lower()), item.split()
+        for diagonal in range(1 - len(b), len(a)):
+            lo, hi = max(0, -diagonal), min(len(b), len(a) - diagonal)
+            same = np.array([a[k + diagonal] == b[k] for k in range(lo, hi)], bool)
+            if accepted(same, least(rule, len(b)), rule.percent):
+                want.add((d, i))
+    assert {(0, 0), (1, 1)} <= want and len(want) < len(runs)
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    got = contaminated_documents(frame(spark, [(d, t, "s") for d, t in enumerate(docs)]), bench)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
