@@ -225,6 +225,8 @@ class WordEncoder:
         vocabulary = self.library.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for text, i in vocabulary.items() if text.endswith("</w>")]] = True
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
         self._forget()
 
     def _forget(self) -> None:
@@ -270,6 +272,8 @@ class WordEncoder:
         index, stems, marked = self.index, {}, []
         for word in words:
             stem = word.lower() if self.foldable.fullmatch(word) else word
+            if stem != word and self.added and self.added.search(stem):
+                stem = word  # the library looks for added tokens before it folds
             if stem[-1] in ",." and stem[:-1].isalpha():
                 marked.append((word, stem[:-1], stem[-1]))
                 stem = stem[:-1]
