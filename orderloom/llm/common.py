@@ -28,7 +28,7 @@ def staged_with_row(df: DataFrame, label: str, row: str = "_row") -> DataFrame:
 
 
 def least_hashed(df: DataFrame, hashed: Column, most: int, total: int) -> DataFrame:
-    """The ``most`` rows with the least hash; ``total`` is about the number of rows.
+    """The ``most`` rows with the least hash; ``total`` is the number of rows of ``df``.
 
     Of a large table only the rows with a hash below eight times the share wanted are
     compared, so that what meets in one task is bounded, however many tasks there were.

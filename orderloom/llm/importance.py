@@ -43,7 +43,7 @@ def feature_reader() -> Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray
 
 def _target_sample(labels: DataFrame, key: str, label: str) -> DataFrame:
     chosen = labels.where(F.col(label) == 1).select(F.col(key).alias("_target")).distinct()
-    return least_hashed(chosen, F.xxhash64("_target"), TARGET_DOCS, labels.count())
+    return least_hashed(chosen, F.xxhash64("_target"), TARGET_DOCS, chosen.count())
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> np.ndarray:

@@ -391,10 +391,9 @@ def _train(docs: DataFrame, path: str, end_id: int, dtype: str, dictionary_bytes
                 trained = b""
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([trained], pa.binary())})
 
-    total = docs.count()
-    short = docs.where(F.octet_length("text").between(1, SAMPLE_BYTES))
+    short = docs.where(F.octet_length("text").between(1, SAMPLE_BYTES)).select("doc_id", "text")
     hashed = F.xxhash64("doc_id", "text")
-    sample = least_hashed(short.select("doc_id", "text"), hashed, SAMPLE_DOCS, total).select("text")
+    sample = least_hashed(short, hashed, SAMPLE_DOCS, short.count()).select("text")
     found = sample.coalesce(1).mapInArrow(train, "dictionary binary").collect()
     return bytes(max((r["dictionary"] for r in found), key=len, default=b""))
 

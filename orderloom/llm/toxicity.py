@@ -111,7 +111,7 @@ def train(
     )
     hashed = F.xxhash64("_id")
     # a generous number of ids, as some have no document or a long one
-    ids = least_hashed(known, hashed, 2 * SAMPLE_ROWS, labels.count())
+    ids = least_hashed(known, hashed, 2 * SAMPLE_ROWS, known.count())
     own = docs.select(F.col(key).alias("_key"), F.lower(whole_text(text)).alias("text"))
     short = own.where(F.octet_length("text") <= SAMPLE_BYTES)
     sample = (
