@@ -5,8 +5,8 @@ columns are ordered from rare to frequent.  A row's leading block are its first
 |x| - ceil(t |x|) + 1 columns in that order: two rows that reach the threshold t share
 columns there, because of the sizes alone.  The product of the leading blocks gives a cell
 to a pair only where the columns that are left behind the shared one can still reach the
-overlap that the two sizes ask for.  The overlaps of these pairs are accumulated over whole
-rows, block by block of a row's partners, and those below the bound are dropped.
+overlap that the two sizes ask for.  The cells only say which pairs are candidates: their
+overlaps are counted again from both whole texts, and those below the bound are dropped.
 
 A group of m near copies would fill m * m / 2 cells.  Each row is first linked to the
 most central row it shares a leading column with (a star), counted exactly; the product is
