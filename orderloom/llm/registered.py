@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.llm import sql_twins
+from orderloom.llm.collocations import collocations
 from orderloom.llm.common import table
 from orderloom.llm.decontamination import contaminated_documents
+from orderloom.llm.hard_negatives import hard_negatives, relabelled
 from orderloom.llm.importance import resample
+from orderloom.llm.main_text import extract_main_text
 from orderloom.llm.mixing import mix_sources
 from orderloom.llm.ngram_join import near_duplicate_components
 from orderloom.llm.personal_data import private_documents
@@ -74,6 +78,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = relabelled(table(spark, sf_dir, "embeddings"))
+    return hard_negatives(rows, is_anchor=F.col("vec_id") % 50 == 0)
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -85,6 +102,9 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -92,4 +112,6 @@ ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": sql_twins.NGRAM_JACCARD,
     "op3_quality_rules": sql_twins.QUALITY_RULES,
     "op10_mixing": sql_twins.MIXING,
+    "op11_hard_negatives": sql_twins.HARD_NEGATIVES,
+    "op13_collocations": sql_twins.COLLOCATIONS,
 }

@@ -134,3 +134,78 @@ SELECT doc_id, text, lang, source, n_chars, CAST(c AS INTEGER) AS _copy, rate AS
         / 4503599627370496::DOUBLE AS _order
 FROM copies
 """
+
+HARD_NEGATIVES = """
+WITH parts AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+usable AS (
+    SELECT vec_id, label FROM parts
+    GROUP BY vec_id, label HAVING bool_and(x IS NOT NULL AND isfinite(x))),
+whole AS (
+    SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+    FROM parts SEMI JOIN usable USING (vec_id)),
+scores AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, CAST(sum(a.x * c.x) AS BIGINT) AS score
+    FROM whole a JOIN whole c ON a.i = c.i
+    WHERE a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id GROUP BY 1, 2),
+labelled AS (
+    SELECT s.*, a.label = c.label AS same
+    FROM scores s JOIN usable a ON a.vec_id = anchor_id JOIN usable c ON c.vec_id = other_id),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score
+    FROM labelled WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+    SELECT p.anchor_id, p.positive_id, n.other_id AS negative_id, p.positive_score,
+           n.score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+                              ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank
+    FROM positives p JOIN labelled n ON n.anchor_id = p.anchor_id AND NOT n.same
+     AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""
+
+COLLOCATIONS = r"""
+WITH docs AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents),
+pieces AS (
+    SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words),
+grams AS (
+    SELECT lang, list_slice(ws, i, i + k - 1) AS ph, k, count(*) AS a
+    FROM starts, (SELECT unnest(range(1, 6)) AS k)
+    WHERE i + k - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= 100),
+sizes AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM words GROUP BY lang),
+places AS (SELECT lang, ph, k, a, unnest(range(1, k + 1)) AS b FROM grams WHERE k > 2),
+inner_parts AS (SELECT *, unnest(range(b, k + 1)) AS e FROM places),
+longest AS (
+    SELECT lang, list_slice(ph, b, e) AS ph, max(a) AS longer
+    FROM inner_parts WHERE e - b + 1 < k GROUP BY ALL),
+kept AS (
+    SELECT g.* FROM grams g LEFT JOIN longest USING (lang, ph)
+    WHERE k >= 2 AND NOT coalesce(100 * longer >= 100 * a, false)),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM kept),
+scored AS (
+    SELECT c.lang, c.ph, c.a, c.cut, x.a AS l, y.a AS r, s.n,
+           CAST((1000::HUGEINT * c.a * s.n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+    FROM cuts c
+    JOIN grams x ON x.lang = c.lang AND x.ph = list_slice(c.ph, 1, c.cut)
+    JOIN grams y ON y.lang = c.lang AND y.ph = list_slice(c.ph, c.cut + 1, c.k)
+    JOIN sizes s ON s.lang = c.lang),
+lowest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, cut) AS place FROM scored),
+ranked AS (
+    SELECT lang, array_to_string(ph, ' ') AS phrase, a, l, r, n, score,
+           row_number() OVER (
+               PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ph, ' ')) AS rank
+    FROM lowest WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
