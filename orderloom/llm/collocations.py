@@ -20,6 +20,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,8 @@ from orderloom.scratch import stage
 DEPTH = 5
 SKETCH = 1 << 16  # cells for beginnings of suffixes
 WORD_BITS = 25  # bitmap of frequent words, 4 MB
-CHUNK = 1 << 19  # suffixes that a task sorts at a time
+COMMON = 1 << 15  # most frequent words, which have numbers of their own
+CHUNK = 1 << 20  # suffixes that a task sorts at a time
 BUCKET = 1 << 20  # words of the corpus per bucket, about
 WIDE = 1 << 10  # a beginning with more than 1/WIDE of all words goes by one more word
 
@@ -266,36 +268,62 @@ def _collapsed(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return matrix[starts], np.diff(np.append(starts, len(matrix)))
 
 
-def pack(matrix: np.ndarray, weight: np.ndarray, routed: np.ndarray) -> bytes:
-    """Suffixes as column-wise codes of a dictionary of their own, compressed."""
-    known, codes = np.unique(matrix, return_inverse=True)
-    codes = codes.reshape(matrix.shape)
-    kind = np.uint16 if len(known) < 1 << 16 else np.uint32
-    head = np.array([len(known), len(matrix), np.dtype(kind).itemsize], np.int64)
-    body = [head.tobytes(), known.tobytes(), codes.T.astype(kind).tobytes()]
-    body += [weight.astype(np.int64).tobytes(), routed.astype(np.int8).tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(body))
+class Codes:
+    """Small numbers for the most frequent words, by falling count; 0 is the end of a suffix."""
 
+    def __init__(self, by_count: np.ndarray):
+        order = np.argsort(by_count)
+        self.by_count, self.ordered, self.number = by_count, by_count[order], order + 1
 
-def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, 0 where there is none; where there is one or the suffix has ended)."""
+        if not len(self.ordered):
+            return np.zeros(hashes.shape, np.int64), hashes == 0
+        at = np.minimum(np.searchsorted(self.ordered, hashes), len(self.ordered) - 1)
+        found = self.ordered[at] == hashes
+        return np.where(found, self.number[at], 0), found | (hashes == 0)
+
+
+def pack(
+    matrix: np.ndarray, codes: np.ndarray, known: np.ndarray, weight: np.ndarray, routed: np.ndarray
+) -> bytes:
+    """Suffixes as numbers, column by column and byte by byte, compressed.
+
+    Words without a number of their own (not ``known``) get numbers above ``COMMON`` by a
+    dictionary that goes along.
+    """
+    rest, places = np.unique(matrix[~known], return_inverse=True)
+    codes = codes.copy()
+    codes[~known] = COMMON + 1 + places
+    width = 2 if COMMON + 1 + len(rest) < 1 << 16 else 4
+    planes = [(codes.T >> 8 * b).astype(np.uint8).tobytes() for b in range(width)]
+    head = np.array([len(rest), len(matrix), width], np.int64).tobytes()
+    body = [head, rest.tobytes(), weight.astype(np.int64).tobytes(), routed.astype(np.int8).tobytes()]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(body + planes))
+
+
+def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers, dictionary of those above ``COMMON``, weights, routes)."""
     raw = zstandard.ZstdDecompressor().decompress(blob)
     words, rows, width = np.frombuffer(raw, np.int64, 3).tolist()
-    at = 24
-    known = np.frombuffer(raw, np.uint64, words, at)
-    at += 8 * words
-    codes = np.frombuffer(raw, np.uint16 if width == 2 else np.uint32, DEPTH * rows, at)
-    at += width * DEPTH * rows
+    rest = np.frombuffer(raw, np.uint64, words, 24)
+    at = 24 + 8 * words
     weight = np.frombuffer(raw, np.int64, rows, at)
     routed = np.frombuffer(raw, np.int8, rows, at + 8 * rows)
-    return known[codes.reshape(DEPTH, rows).T], weight, routed
+    planes = np.frombuffer(raw, np.uint8, width * DEPTH * rows, at + 9 * rows)
+    codes = np.zeros((DEPTH, rows), np.int64)
+    for b, plane in enumerate(planes.reshape(width, DEPTH, rows)):
+        codes |= plane.astype(np.int64) << 8 * b
+    return codes.T, rest, weight, routed
 
 
-def _router(frequent, wide, buckets: int):
+def _router(sent: Broadcast, buckets: int):
     """Cut texts into suffixes of frequent words and send them to buckets."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = PieceHasher()
-        words, crowded = frequent.value, wide.value
+        words, crowded, common = sent.value
+        numbers = Codes(common)
         held: list[np.ndarray] = []
 
         def packed() -> pa.RecordBatch:
@@ -312,9 +340,9 @@ def _router(frequent, wide, buckets: int):
             matrix, weight, by, bucket = matrix[order], weight[order], by[order] + 2, bucket[order]
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             bounds = np.concatenate([[0], cuts, [len(bucket)]]).tolist()
-            blobs = [
-                pack(matrix[a:b], weight[a:b], by[a:b]) for a, b in zip(bounds, bounds[1:])
-            ]
+            codes, known = numbers.of(matrix)
+            parts = [slice(a, b) for a, b in zip(bounds, bounds[1:])]
+            blobs = [pack(matrix[p], codes[p], known[p], weight[p], by[p]) for p in parts]
             return pa.RecordBatch.from_pydict(
                 {"bucket": pa.array(bucket[bounds[:-1]]), "blob": pa.array(blobs, pa.binary())}
             )
@@ -337,23 +365,29 @@ def _router(frequent, wide, buckets: int):
     return route
 
 
-def _bucket_counter(least: int):
+def _bucket_counter(sent: Broadcast, least: int):
     """Count the phrases of each bucket; rows come sorted by bucket."""
 
     def count(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        common = sent.value[2]
         found = [unpack(blob) for blob in blobs]
-        matrix = np.concatenate([f[0] for f in found])
-        weight = np.concatenate([f[1] for f in found])
-        routed = np.concatenate([f[2] for f in found])
-        known, codes = np.unique(matrix, return_inverse=True)
-        shift = 0 if len(known) and known[0] == 0 else 1
-        codes = (codes.reshape(matrix.shape) + shift).astype(np.int32)
-        del matrix, found
+        rest = np.unique(np.concatenate([f[1] for f in found]))
+        hashes = np.concatenate([np.zeros(1, np.uint64), common, rest])
+        numbers = []
+        for codes, own, _, _ in found:
+            # the dictionary of one blob to that of the bucket
+            to = np.arange(COMMON + 1 + len(own))
+            to[COMMON + 1 :] = 1 + len(common) + np.searchsorted(rest, own)
+            numbers.append(to[codes].astype(np.int32))
+        suffixes_ = np.concatenate(numbers)
+        weight = np.concatenate([f[2] for f in found])
+        routed = np.concatenate([f[3] for f in found])
+        del found, numbers
         for by in np.unique(routed).tolist():
-            own = np.flatnonzero(routed == by)
-            suffix = codes[own]
+            own = routed == by
+            suffix = suffixes_[own]
             for length, example, total in multikey_quicksort(suffix, weight[own], least, by):
-                values = signed(known[suffix[example, :length] - shift])
+                values = signed(hashes[suffix[example, :length]])
                 lists = pa.ListArray.from_arrays(
                     np.arange(0, len(example) * length + 1, length, dtype=np.int32),
                     pa.array(values.ravel()),
@@ -400,16 +434,18 @@ def count_phrases(docs: DataFrame, least: int = 100) -> tuple[DataFrame, DataFra
     over = counted.where(F.col("lang").isNull() & (F.col("n") * WIDE > total))
     for (cell,) in over.select("hash").collect():  # at most SKETCH rows
         crowded[cell] = True
-    context = spark.sparkContext
-    kept = context.broadcast(bitmap(frequent, F.col("hash"), WORD_BITS))
-    wide = context.broadcast(crowded)
+    # at most COMMON rows
+    common = frequent.orderBy(F.desc("n"), "hash").limit(COMMON).select("hash").toArrow()
+    common = common["hash"].to_numpy().view(np.uint64)
+    kept = bitmap(frequent, F.col("hash"), WORD_BITS)
+    sent = spark.sparkContext.broadcast((kept, crowded, common))
     buckets = max(32, total // BUCKET)
     with small_batches(spark):
-        routed = source.mapInArrow(_router(kept, wide, buckets), "bucket long, blob binary")
+        routed = source.mapInArrow(_router(sent, buckets), "bucket long, blob binary")
         phrases = (
             routed.repartition("bucket")
             .sortWithinPartitions("bucket")
-            .mapInArrow(_bucket_counter(least), "ws array<long>, a long")
+            .mapInArrow(_bucket_counter(sent, least), "ws array<long>, a long")
             .groupBy("ws")
             .agg(F.sum("a").alias("a"))
             .where(F.col("a") >= least)

@@ -110,8 +110,6 @@ def test_a_text_over_a_megabyte(spark):
 
 def test_products_past_64_bits(spark):
     """Scores of counts so large that their product needs more than 64 bits."""
-    from pyspark.sql import functions as F
-
     big = 4_000_000_000
     words = spark.createDataFrame(
         [(1, "en", "a", big), (2, "en", "b", 3 * big + 7), (3, "en", "c", 10**15)],
@@ -121,8 +119,6 @@ def test_products_past_64_bits(spark):
     row = module._scored(words, phrases, phrases, 100).first()
     n = big + 3 * big + 7 + 10**15
     assert (row.n, row.score) == (n, 1000 * (big - 1) * n // (big * (3 * big + 7)))
-    assert F is not None
-
 
 @pytest.mark.parametrize("whole_from", [2, 3, 5])
 def test_quicksort_counts(whole_from):
@@ -147,9 +143,23 @@ def test_quicksort_counts(whole_from):
     assert list(multikey_quicksort(suffix[:0], weight[:0], 1, 2)) == []
 
 
-def test_packing():
+@pytest.mark.parametrize("common", [0, 3, 9])
+def test_packing(common):
     rng = np.random.default_rng(1)
-    matrix = rng.integers(0, 2**63, (3, 5), dtype=np.uint64)
-    weight, routed = np.array([1, 2**40, 3]), np.array([2, 3, 5])
-    for got_, want in zip(unpack(pack(matrix, weight, routed)), (matrix, weight, routed)):
-        assert (got_ == want).all()
+    words = rng.integers(1, 2**63, 9, dtype=np.uint64)
+    matrix = words[rng.integers(0, 9, (50, 5))]
+    matrix[10:20, 3:] = 0
+    weight, routed = rng.integers(1, 2**40, 50), rng.integers(2, 6, 50)
+    numbers = module.Codes(words[:common])
+    codes, known = numbers.of(matrix)
+    got_, rest, weights, routes = unpack(pack(matrix, codes, known, weight, routed))
+    hashes = {0: 0} | {k + 1: w for k, w in enumerate(words[:common].tolist())}
+    hashes |= {module.COMMON + 1 + k: w for k, w in enumerate(rest.tolist())}
+    assert [[hashes[c] for c in row] for row in got_.tolist()] == matrix.tolist()
+    assert (weights == weight).all() and (routes == routed).all()
+
+
+def test_words_beyond_the_common_ones(spark, monkeypatch):
+    monkeypatch.setattr(module, "COMMON", 5)
+    rows = corpus(9, 300)
+    assert got(frame(spark, rows), least=4) == brute(rows, 4)
