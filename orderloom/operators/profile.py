@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.operators.sketches import distinct_counts
+
 
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """One row per column: rows, nulls, distinct values, smallest, greatest, mean.
 
-    One pass over the table with estimated distinct counts; ``exact`` counts them, which
-    shuffles every value.
+    One pass over the table with estimated distinct counts; ``exact`` counts them in a
+    second pass, in which a 64-bit hash stands for a value.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
     aggregates, entries = [F.count("*").alias("_rows")], []
     for i, field in enumerate(df.schema.fields):
         column = F.col(f"`{field.name}`")
@@ -23,7 +24,7 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
         mean = F.avg(column) if numeric else F.lit(None).cast("double")
         aggregates += [
             F.count(column).alias(f"_n{i}"),
-            distinct(column).alias(f"_d{i}"),
+            (F.lit(0) if exact else F.approx_count_distinct(column)).alias(f"_d{i}"),
             F.min(column).cast("string").alias(f"_lo{i}"),
             F.max(column).cast("string").alias(f"_hi{i}"),
             F.first(mean).alias(f"_m{i}") if not numeric else mean.alias(f"_m{i}"),
@@ -40,7 +41,13 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
                 F.col(f"_m{i}").alias("mean"),
             )
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
+    found = df.agg(*aggregates).select(F.inline(F.array(*entries)))
+    if not exact:
+        return found
+    counts = distinct_counts(df, df.columns).withColumnRenamed("distinct_values", "_exact")
+    distinct = F.coalesce("_exact", F.lit(0)).alias("distinct_values")
+    joined = found.join(F.broadcast(counts), "column", "left")  # a row per column
+    return joined.select(*[distinct if c == "distinct_values" else c for c in found.columns])
 
 
 def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:

@@ -1,17 +1,21 @@
 """Data checks.  Each check is one report row: check, table, column, failing rows, sample.
 
 ``failing_rows`` 0 means the check holds.  The checks of a table run as Spark jobs and
-only the one-row results come together.
+only the one-row results come together.  ``run_checks`` runs many rules over many tables
+in few passes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.scratch import stage
+
 
 def _row(df: DataFrame, check: str, table: str, column: str, count: Column, sample: Column) -> DataFrame:
     return df.agg(
@@ -84,3 +88,135 @@ def must_be_empty(df: DataFrame, table: str, name: str) -> DataFrame:
 
 def report(checks: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), checks)
+
+
+# ---------------------------------------------------------------- fused checks
+
+
+@dataclass(frozen=True)
+class Rule:
+    """One check of a table.  ``columns`` is what is checked; a relationship names its
+    ``parent`` table and column, accepted values their ``values``, a rule of one's own an
+    SQL ``failing`` condition."""
+
+    kind: str
+    table: str
+    columns: tuple[str, ...] = ()
+    parent: str = ""
+    parent_column: str = ""
+    values: tuple = ()
+    failing: str = ""
+    key: str = ""
+
+    @property
+    def keyed(self) -> bool:
+        return self.kind in ("unique", "relationships")
+
+
+def _keyed_entries(name: str, df: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame | None:
+    """(rule, key, child, parent): an entry per row and keyed rule the table has a part in."""
+    entries = []
+
+    def entry(number: int, columns: Sequence[str], child: int, parent: int) -> None:
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        text = F.concat_ws(", ", *[F.col(c).cast("string") for c in columns])
+        made = F.struct(
+            F.lit(number).alias("rule"),
+            text.alias("key"),
+            F.lit(child).cast("long").alias("child"),
+            F.lit(parent).cast("long").alias("parent"),
+        )
+        entries.append(F.when(present, made))
+
+    for number, rule in rules:
+        if rule.table == name:
+            entry(number, rule.columns, 1, 0)
+        if rule.kind == "relationships" and rule.parent == name:
+            entry(number, [rule.parent_column], 0, 1)
+    if not entries:
+        return None
+    return df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+
+
+def _row_counts(df: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+    """One aggregate for all checks that look at single rows."""
+    aggregates, entries = [], []
+    for number, rule in rules:
+        column = F.col(rule.columns[0]) if rule.columns else F.lit(None)
+        shown = F.col(rule.key) if rule.key else F.lit(None)
+        if rule.kind == "not_null":
+            fails = column.isNull()
+        elif rule.kind == "accepted_values":
+            fails, shown = column.isNotNull() & ~column.isin(list(rule.values)), column
+        else:
+            fails = F.coalesce(F.expr(rule.failing), F.lit(False))
+        aggregates += [
+            F.count_if(fails).alias(f"_n{number}"),
+            F.min(F.when(fails, shown)).cast("string").alias(f"_s{number}"),
+        ]
+        entries.append(
+            F.struct(
+                F.lit(number).alias("rule"),
+                F.col(f"_n{number}").alias("failing_rows"),
+                F.col(f"_s{number}").alias("sample"),
+            )
+        )
+    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
+
+
+def run_checks(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+    """All rules as report rows, each table derived once.
+
+    The columns that rules of a table name are written once.  All checks of single rows of
+    a table are one aggregate over them, and the unique and relationship checks of all
+    tables are one aggregate over their keys, which meet per task before the shuffle; a
+    key held by a third of the rows is one entry per task in it.
+    """
+    numbered = list(enumerate(rules))
+    used: dict[str, set[str]] = {}
+    for _, rule in numbered:
+        columns = used.setdefault(rule.table, set())
+        columns.update(rule.columns)
+        if rule.key:
+            columns.add(rule.key)
+        if rule.kind == "relationships":
+            used.setdefault(rule.parent, set()).add(rule.parent_column)
+    # a rule of one's own may name any column
+    own = {rule.table for _, rule in numbered if rule.failing}
+    narrow = {
+        name: stage(tables[name] if name in own else tables[name].select(*sorted(columns)), f"checked-{name}")
+        for name, columns in used.items()
+    }
+    parts = []
+    for name, df in narrow.items():
+        mine = [(n, r) for n, r in numbered if r.table == name and not r.keyed]
+        if mine:
+            parts.append(_row_counts(df, mine))
+    keyed = [(n, r) for n, r in numbered if r.keyed]
+    entries = [_keyed_entries(name, df, keyed) for name, df in narrow.items()]
+    entries = [e for e in entries if e is not None]
+    if entries:
+        keys = reduce(DataFrame.unionAll, entries).groupBy("rule", "key").agg(
+            F.sum("child").alias("child"), F.sum("parent").alias("parent")
+        )
+        uniques = [n for n, r in keyed if r.kind == "unique"]
+        is_unique = F.col("rule").isin(uniques) if uniques else F.lit(False)
+        repeated = is_unique & (F.col("child") > 1)
+        orphan = ~is_unique & (F.col("parent") == 0)
+        # numbers come in their own order, unique checks in that of the text, as alone
+        least = F.struct(
+            F.when(~is_unique, F.col("key").try_cast("double")).alias("number"), F.col("key").alias("text")
+        )
+        parts.append(
+            keys.groupBy("rule").agg(
+                F.sum(F.when(repeated, 1).when(orphan, F.col("child")).otherwise(0)).alias("failing_rows"),
+                F.min(F.when(repeated | orphan, least))["text"].alias("sample"),
+            )
+        )
+    names = [(n, r.kind, r.table, ", ".join(r.columns)) for n, r in numbered]
+    spark = next(iter(narrow.values())).sparkSession
+    listed = spark.createDataFrame(names, "rule int, check string, table string, column string")
+    counted = reduce(DataFrame.unionAll, parts)  # a row per rule
+    return listed.join(F.broadcast(counted), "rule", "left").select(
+        "check", "table", "column", F.coalesce("failing_rows", F.lit(0)).alias("failing_rows"), "sample"
+    )

@@ -1,54 +1,70 @@
-"""Forecasts with linear models, each with a later part of the data held out."""
+"""Forecasts with linear models, each with a later part of the data held out.
+
+The models are fitted from sufficient statistics: one aggregate over the rows and a small
+system of equations.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import whole_days
+from orderloom.operators.regression import (
+    least_squares,
+    linear_score,
+    logistic,
+    logistic_regression,
+    predict,
+)
 from orderloom.operators.sampling import in_train_part
 from orderloom.plans.questions import new_customers_by_month
 from orderloom.plans.returns import PERIODS, Periods
 from orderloom.plans.rfm import rfm_period
+from orderloom.scratch import stage
 
 
-def _fit_and_score(rows: DataFrame, stages: list, features: list[str], label: str) -> DataFrame:
+def _fit_and_score(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Fit on rows without ``held_out`` and predict all rows."""
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
-    regression = LinearRegression(featuresCol="features", labelCol=label, solver="normal")
-    model = Pipeline(stages=[*stages, assembler, regression]).fit(rows.where("NOT held_out"))
-    return model.transform(rows)
+    rows = stage(rows, "forecast")  # read to fit and to predict
+    model = least_squares(rows.where("NOT held_out"), features, label)
+    return predict(rows, model, features)
+
+
+def _is(value: Column) -> Column:
+    return F.when(value, 1).otherwise(0)
 
 
 def daily_revenue_forecast(orders: DataFrame, held_out_days: int = 28) -> DataFrame:
     """Revenue per day from trend, weekday and month; the last days are held out."""
     daily = orders.groupBy(F.to_date("date_created").alias("day")).agg(
-        (F.sum("total_cents") / 100).alias("revenue")
+        F.sum("total_cents").alias("cents")
     )
     span = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     days = span.select("lo", "hi", F.explode(F.sequence("lo", "hi")).alias("day"))
+    # Monday and January are the days the constant stands for
+    weekdays = {f"weekday_{i}": _is(F.weekday("day") == i) for i in range(1, 7)}
+    months = {f"month_{i}": _is(F.month("day") == i) for i in range(2, 13)}
     rows = (
         days.join(daily, "day", "left")
-        .fillna(0.0, ["revenue"])
+        .fillna(0, ["cents"])
         .select(
             "day",
-            "revenue",
-            F.date_diff("day", "lo").cast("double").alias("trend"),
-            F.weekday("day").cast("double").alias("weekday"),
-            (F.month("day") - 1).cast("double").alias("month"),
+            "cents",
+            F.date_diff("day", "lo").alias("trend"),
+            *[value.alias(name) for name, value in (weekdays | months).items()],
             (F.date_diff("hi", "day") < held_out_days).alias("held_out"),
         )
     )
-    encoder = OneHotEncoder(
-        inputCols=["weekday", "month"], outputCols=["weekday_v", "month_v"], handleInvalid="keep"
+    scored = _fit_and_score(rows, ["trend", *weekdays, *months], "cents")
+    return scored.select(
+        "day",
+        (F.col("cents") / 100).alias("revenue"),
+        (F.col("prediction") / 100).alias("prediction"),
+        "held_out",
     )
-    scored = _fit_and_score(rows, [encoder], ["trend", "weekday_v", "month_v"], "revenue")
-    return scored.select("day", "revenue", "prediction", "held_out")
 
 
 def new_customer_forecast(orders: DataFrame, lags: int = 3, held_out_months: int = 3) -> DataFrame:
@@ -70,7 +86,7 @@ def new_customer_forecast(orders: DataFrame, lags: int = 3, held_out_months: int
         (F.months_between("hi", "month") < held_out_months).alias("held_out"),
         *[F.lag("new_customers", i).over(order).cast("double").alias(f"lag_{i}") for i in range(1, lags + 1)],
     ).dropna()
-    scored = _fit_and_score(rows, [], names, "new_customers")
+    scored = _fit_and_score(rows, names, "new_customers")
     return scored.select("month", "new_customers", "prediction", "held_out")
 
 
@@ -107,19 +123,34 @@ def first_order_features(orders: DataFrame, days: int = 60) -> DataFrame:
     )
 
 
-def retention_from_first_order(orders: DataFrame, days: int = 60) -> DataFrame:
-    """Probability that a customer is retained, from the first order alone."""
+FIRST_ORDER = ("first_total", "first_cart_size", "first_hour", "first_weekday")
+
+
+def retention_from_first_order(orders: DataFrame, days: int = 60, steps: int = 8) -> DataFrame:
+    """Probability that a customer is retained, from the first order alone.
+
+    Logistic regression by ``steps`` Newton steps, each one aggregate over the customers.
+    """
     rows = first_order_features(orders, days).dropna()
-    rows = rows.withColumn("held_out", ~in_train_part(F.col("customer_id")))
-    inputs = ["first_total", "first_cart_size", "first_hour", "first_weekday"]
-    model = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=inputs, outputCol="features"),
-            LogisticRegression(featuresCol="features", labelCol="retained", maxIter=50),
-        ]
-    ).fit(rows.where("NOT held_out"))
-    scored = model.transform(rows).withColumn("proba", vector_to_array("probability")[1])
-    return scored.select("customer_id", "retained", "proba", "held_out")
+    rows = stage(
+        rows.withColumn("held_out", ~in_train_part(F.col("customer_id"))), "first-orders"
+    )
+    found = logistic_regression(rows.where("NOT held_out"), FIRST_ORDER, "retained", steps)
+    score = linear_score(FIRST_ORDER, F.array(*[F.lit(c) for c in found]))
+    return rows.select("customer_id", "retained", logistic(score).alias("proba"), "held_out")
+
+
+def retention_error(scored: DataFrame) -> DataFrame:
+    """Counts of right and wrong calls at one half, and the mean log loss, per part."""
+    called, kept = F.col("proba") >= 0.5, F.col("retained") == 1
+    loss = -F.log(F.when(kept, F.col("proba")).otherwise(1 - F.col("proba")))
+    return scored.groupBy("held_out").agg(
+        F.count_if(called & kept).alias("tp"),
+        F.count_if(called & ~kept).alias("fp"),
+        F.count_if(~called & kept).alias("fn"),
+        F.count_if(~called & ~kept).alias("tn"),
+        F.avg(loss).alias("log_loss"),
+    )
 
 
 def ltv_forecast(orders: DataFrame, periods: Periods = PERIODS) -> DataFrame:
@@ -135,7 +166,7 @@ def ltv_forecast(orders: DataFrame, periods: Periods = PERIODS) -> DataFrame:
         .fillna(0.0, ["next_monetary"])
         .withColumn("held_out", ~in_train_part(F.col("customer_id")))
     )
-    scored = _fit_and_score(rows, [], ["recency", "frequency", "monetary"], "next_monetary")
+    scored = _fit_and_score(rows, ["recency", "frequency", "monetary"], "next_monetary")
     return scored.select("customer_id", "next_monetary", "prediction", "held_out")
 
 

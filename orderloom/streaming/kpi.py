@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from orderloom.operators.sessions import sessions
+
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 LATE = "1 hour"
 
@@ -43,10 +45,17 @@ def revenue_kpi(
 
 
 def visit_sessions(events: DataFrame, gap: str = "30 minutes", late: str = LATE) -> DataFrame:
-    """Sessions per user, closed after a gap without events."""
-    timed = _timed(events, late) if events.isStreaming else events
+    """Sessions per user, closed after a gap without events.
+
+    On a table a user of any size is spread over ranges; on a stream the open sessions of
+    a user are state.
+    """
+    if not events.isStreaming:
+        sums = {"events": F.lit(1), "value": F.col("value")}
+        return sessions(events, "user_id", "ts", gap, sums, ["event_id"])
     return (
-        timed.groupBy("user_id", F.session_window("ts", gap).alias("s"))
+        _timed(events, late)
+        .groupBy("user_id", F.session_window("ts", gap).alias("s"))
         .agg(F.count("*").alias("events"), F.sum("value").alias("value"))
         .select(
             "user_id",

@@ -308,21 +308,6 @@ def _(s):
     return sampling.exact_sample(rfm.rfm_orders(s.orders), "customer_id", 0.3)
 
 
-@query("daily_revenue_forecast")
-def _(s):
-    return forecast.daily_revenue_forecast(s.orders)
-
-
-@query("daily_revenue_forecast_error")
-def _(s):
-    return forecast.forecast_error(forecast.daily_revenue_forecast(s.orders), "revenue")
-
-
-@query("new_customer_forecast")
-def _(s):
-    return forecast.new_customer_forecast(s.orders)
-
-
 @query(
     "first_order_features",
     sql("""SELECT customer_id, total_cents / 100.0 AS first_total, cart_size AS first_cart_size, CAST(hour(date_created) AS INTEGER) AS first_hour, CAST(isodow(date_created) - 1 AS INTEGER) AS first_weekday,
@@ -333,69 +318,76 @@ def _(s):
     return forecast.first_order_features(s.orders)
 
 
-@query("retention_from_first_order")
-def _(s):
-    return forecast.retention_from_first_order(s.orders)
-
-
-@query("ltv_forecast")
-def _(s):
-    return forecast.ltv_forecast(s.orders)
-
-
 _CATEGORIES = ["Hot Drinks", "Food", "Cold Drinks", "Kitchen"]
 
 
-def _checks(s):
-    lines, options = cart.cart_lines(s.orders), cart.line_options(s.orders)
-    option_facts = cart.fct_order_item_options(s.orders)
-    facts, sales = cart.fct_order_details(s.orders), cart.fct_product_sales(s.orders)
-    people, goods = star.dim_customers(s.orders, AS_OF), star.dim_products(s.orders)
-    statuses, limits = star.dim_payment_status(s.orders), marts.customer_churn_threshold(s.orders)
-    versions, prices = star.dim_item_options(s.orders), star.item_price_history(s.orders)
-    days = star.dim_time(s.orders)
-    q = quality
-    return [
-        q.unique(s.raw, "raw_orders", "order_id"),
-        q.not_null(s.raw, "raw_orders", "order_id", "customer_id", "date_created"),
-        q.unique(lines, "cart_lines", "order_item_id"),
-        q.not_null(lines, "cart_lines", "order_item_id", "order_item_ranking"),
-        q.accepted_values(lines, "cart_lines", "item_category", _CATEGORIES),
-        q.relationship(options, "line_options", "order_id", facts, "order_id"),
-        q.relationship(options, "line_options", "item_name", goods, "item_name"),
-        q.relationship(options, "line_options", "order_item_id", sales, "order_item_id"),
-        q.unique(option_facts, "fct_order_item_options", "order_item_option_id"),
-        q.not_null(option_facts, "fct_order_item_options", "order_item_option_id"),
-        q.unique(facts, "fct_order_details", "order_id"),
-        q.not_null(facts, "fct_order_details", "order_id"),
-        q.relationship(facts, "fct_order_details", "customer_id", people, "customer_id"),
-        q.relationship(facts, "fct_order_details", "status", statuses, "status"),
-        q.unique(sales, "fct_product_sales", "order_item_id"),
-        q.not_null(sales, "fct_product_sales", "order_item_id"),
-        q.relationship(sales, "fct_product_sales", "item_name", goods, "item_name"),
-        q.relationship(sales, "fct_product_sales", "order_id", facts, "order_id"),
-        q.unique(limits, "customer_churn_threshold", "customer_id"),
-        q.not_null(limits, "customer_churn_threshold", "customer_id", "churn_threshold"),
-        q.relationship(limits, "customer_churn_threshold", "customer_id", people, "customer_id"),
-        q.unique(people, "dim_customers", "customer_id"),
-        q.not_null(people, "dim_customers", "customer_id"),
-        q.unique(statuses, "dim_payment_status", "status"),
-        q.not_null(statuses, "dim_payment_status", "status", "status_description"),
-        q.unique(goods, "dim_products", "item_name"),
-        q.not_null(goods, "dim_products", "item_name"),
-        q.accepted_values(goods, "dim_products", "item_category", _CATEGORIES),
-        q.unique(versions, "dim_item_options", "item_option_id"),
-        q.not_null(versions, "dim_item_options", "item_option_id", "start_date"),
-        q.relationship(versions, "dim_item_options", "item_name", goods, "item_name"),
-        q.unique(prices, "item_price_history", "item_price_id"),
-        q.not_null(prices, "item_price_history", "item_price_id", "start_date"),
-        q.relationship(prices, "item_price_history", "item_name", goods, "item_name"),
-        q.unique(days, "dim_time", "date_key"),
-        q.not_null(days, "dim_time", "date_key"),
-        q.must_be_empty(
-            versions.where("end_date < start_date"), "dim_item_options", "ends_after_start"
-        ),
+def _checked_tables(s):
+    return {
+        "raw_orders": s.raw,
+        "cart_lines": cart.cart_lines(s.orders),
+        "line_options": cart.line_options(s.orders),
+        "fct_order_item_options": cart.fct_order_item_options(s.orders),
+        "fct_order_details": cart.fct_order_details(s.orders),
+        "fct_product_sales": cart.fct_product_sales(s.orders),
+        "dim_customers": star.dim_customers(s.orders, AS_OF),
+        "dim_products": star.dim_products(s.orders),
+        "dim_payment_status": star.dim_payment_status(s.orders),
+        "customer_churn_threshold": marts.customer_churn_threshold(s.orders),
+        "dim_item_options": star.dim_item_options(s.orders),
+        "item_price_history": star.item_price_history(s.orders),
+        "dim_time": star.dim_time(s.orders),
+    }
+
+
+_KEYS = {
+    "raw_orders": "order_id",
+    "cart_lines": "order_item_id",
+    "fct_order_item_options": "order_item_option_id",
+    "fct_order_details": "order_id",
+    "fct_product_sales": "order_item_id",
+    "customer_churn_threshold": "customer_id",
+    "dim_customers": "customer_id",
+    "dim_payment_status": "status",
+    "dim_products": "item_name",
+    "dim_item_options": "item_option_id",
+    "item_price_history": "item_price_id",
+    "dim_time": "date_key",
+}
+_PRESENT = {
+    "raw_orders": ["customer_id", "date_created"],
+    "cart_lines": ["order_item_ranking"],
+    "customer_churn_threshold": ["churn_threshold"],
+    "dim_payment_status": ["status_description"],
+    "dim_item_options": ["start_date"],
+    "item_price_history": ["start_date"],
+}
+_PARENTS = [
+    ("line_options", "order_id", "fct_order_details"),
+    ("line_options", "item_name", "dim_products"),
+    ("line_options", "order_item_id", "fct_product_sales"),
+    ("fct_order_details", "customer_id", "dim_customers"),
+    ("fct_order_details", "status", "dim_payment_status"),
+    ("fct_product_sales", "item_name", "dim_products"),
+    ("fct_product_sales", "order_id", "fct_order_details"),
+    ("customer_churn_threshold", "customer_id", "dim_customers"),
+    ("dim_item_options", "item_name", "dim_products"),
+    ("item_price_history", "item_name", "dim_products"),
+]
+
+
+def _rules():
+    rule = quality.Rule
+    rules = []
+    for table, key in _KEYS.items():
+        rules.append(rule("unique", table, (key,)))
+        rules += [rule("not_null", table, (c,)) for c in [key, *_PRESENT.get(table, [])]]
+    rules += [rule("relationships", t, (c,), parent=p, parent_column=c) for t, c, p in _PARENTS]
+    rules += [
+        rule("accepted_values", t, ("item_category",), values=tuple(_CATEGORIES))
+        for t in ("cart_lines", "dim_products")
     ]
+    rules.append(rule("ends_after_start", "dim_item_options", failing="end_date < start_date"))
+    return rules
 
 
 def _check_sql() -> str:
@@ -425,35 +417,12 @@ def _check_sql() -> str:
         wrong = f"SELECT {key} AS k FROM {table(name)} WHERE {key} NOT IN ({', '.join(repr(c) for c in _CATEGORIES)})"
         row("accepted_values", name, key, f"count(*), min(k) FROM ({wrong})")
 
-    for name, key in [
-        ("raw_orders", "order_id"), ("cart_lines", "order_item_id"),
-        ("fct_order_item_options", "order_item_option_id"), ("fct_order_details", "order_id"),
-        ("fct_product_sales", "order_item_id"), ("customer_churn_threshold", "customer_id"),
-        ("dim_customers", "customer_id"), ("dim_payment_status", "status"),
-        ("dim_products", "item_name"), ("dim_item_options", "item_option_id"),
-        ("item_price_history", "item_price_id"), ("dim_time", "date_key"),
-    ]:
+    for name, key in _KEYS.items():
         unique(name, key)
-        not_null(name, key)
-    not_null("raw_orders", "customer_id", "date_created")
-    not_null("cart_lines", "order_item_ranking")
-    not_null("customer_churn_threshold", "churn_threshold")
-    not_null("dim_payment_status", "status_description")
-    not_null("dim_item_options", "start_date")
-    not_null("item_price_history", "start_date")
+        not_null(name, key, *_PRESENT.get(name, []))
     accepted("cart_lines", "item_category")
     accepted("dim_products", "item_category")
-    for name, key, parent in [
-        ("line_options", "order_id", "fct_order_details"), ("line_options", "item_name", "dim_products"),
-        ("line_options", "order_item_id", "fct_product_sales"),
-        ("fct_order_details", "customer_id", "dim_customers"),
-        ("fct_order_details", "status", "dim_payment_status"),
-        ("fct_product_sales", "item_name", "dim_products"),
-        ("fct_product_sales", "order_id", "fct_order_details"),
-        ("customer_churn_threshold", "customer_id", "dim_customers"),
-        ("dim_item_options", "item_name", "dim_products"),
-        ("item_price_history", "item_name", "dim_products"),
-    ]:
+    for name, key, parent in _PARENTS:
         related(name, key, parent)
     row("ends_after_start", "dim_item_options", "", f"count(*), NULL FROM {table('dim_item_options')} WHERE end_date < start_date")
     return "\nUNION ALL ".join(rows)
@@ -461,7 +430,7 @@ def _check_sql() -> str:
 
 @query("dq_report", _check_sql())
 def _(s):
-    return quality.report(_checks(s))
+    return quality.run_checks(_checked_tables(s), _rules())
 
 
 @query(
@@ -475,16 +444,18 @@ def _(s):
  UNION ALL SELECT 'positive_quantity', 'lineitem', '', count(*), NULL FROM lineitem WHERE l_quantity <= 0"""),
 )
 def _(s):
-    q = quality
-    lines, events = s.table("lineitem"), s.table("events")
-    return q.report(
+    rule = quality.Rule
+    tables = {n: s.table(n) for n in ("lineitem", "events", "orders", "customer")}
+    return quality.run_checks(
+        tables,
         [
-            q.unique(lines, "lineitem", "l_orderkey", "l_linenumber"),
-            q.not_null(events, "events", "value", "user_id", key="event_id"),
-            q.accepted_values(s.table("orders"), "orders", "o_orderstatus", ["F", "O"]),
-            q.relationship(events, "events", "user_id", s.table("customer"), "c_nationkey"),
-            q.must_be_empty(lines.where("l_quantity <= 0"), "lineitem", "positive_quantity"),
-        ]
+            rule("unique", "lineitem", ("l_orderkey", "l_linenumber")),
+            rule("not_null", "events", ("value",), key="event_id"),
+            rule("not_null", "events", ("user_id",), key="event_id"),
+            rule("accepted_values", "orders", ("o_orderstatus",), values=("F", "O")),
+            rule("relationships", "events", ("user_id",), parent="customer", parent_column="c_nationkey"),
+            rule("positive_quantity", "lineitem", failing="l_quantity <= 0"),
+        ],
     )
 
 
@@ -572,10 +543,13 @@ def _(s):
     )
 
 
+_PEOPLE = "(SELECT customer_id, count(*) AS total_orders FROM os WHERE cart_size > 0 GROUP BY 1)"
+
+
 @query(
     "metric_orders_by_customer_orders",
-    sql("""SELECT total_orders, round(sum(total_cents) / 100.0, 2) AS total, sum(cart_size)::BIGINT AS cart_size FROM os
- LEFT JOIN (SELECT customer_id, count(*) AS total_orders FROM os WHERE cart_size > 0 GROUP BY 1) USING (customer_id) GROUP BY 1"""),
+    sql(f"""SELECT total_orders, round(sum(total_cents) / 100.0, 2) AS total, sum(cart_size)::BIGINT AS cart_size FROM os
+ LEFT JOIN {_PEOPLE} USING (customer_id) GROUP BY 1"""),
     digits=2,
 )
 def _(s):
@@ -583,6 +557,72 @@ def _(s):
     return metrics.metric(tables, "orders", ["total", "cart_size"], ["customers.total_orders"])
 
 
+@query(
+    "metric_customers_by_status",
+    sql(f"""SELECT status, sum(total_orders)::BIGINT AS total_orders FROM {_PEOPLE} c
+ LEFT JOIN (SELECT DISTINCT customer_id, status FROM os) USING (customer_id) GROUP BY 1"""),
+)
+def _(s):
+    """Many to many: a customer with orders of two statuses counts once under each."""
+    tables = metrics.report_tables(s.orders, AS_OF)
+    return metrics.metric(tables, "customers", ["total_orders"], ["orders.status"])
+
+
+_OPTION_ROWS = f"({ORACLES['item_options_v1']})"
+
+
+@query(
+    "metric_options_by_status",
+    f"""SELECT status, round(sum(option_price), 2) AS option_price FROM {_OPTION_ROWS} o
+ JOIN (SELECT order_id, status FROM ({ORACLES["stg_orders_v1"]})) s USING (order_id) GROUP BY 1""",
+    digits=2,
+)
+def _(s):
+    tables = metrics.report_tables(s.orders, AS_OF)
+    return metrics.metric(tables, "options", ["option_price"], ["orders.status"])
+
+
+@query(
+    "metric_option_counts_by_category",
+    f"""SELECT item_category, sum(n)::BIGINT AS "count" FROM (SELECT item_name, "count" AS n FROM ({ORACLES["item_options_analysis"]})) a
+ LEFT JOIN (SELECT DISTINCT item_name, item_category FROM ({sql("SELECT * FROM el")})) USING (item_name) GROUP BY 1""",
+)
+def _(s):
+    """Many to many: option counts and items share item names."""
+    tables = metrics.report_tables(s.orders, AS_OF)
+    return metrics.metric(tables, "option_counts", ["count"], ["items.item_category"])
+
+
+@query(
+    "metric_option_counts_by_order_status",
+    f"""SELECT status, sum(n)::BIGINT AS "count" FROM (SELECT item_name, "count" AS n FROM ({ORACLES["item_options_analysis"]})) a
+ LEFT JOIN (SELECT DISTINCT item_name, status FROM ({sql("SELECT item_name, status FROM el JOIN os USING (order_id)")})) USING (item_name) GROUP BY 1""",
+)
+def _(s):
+    """Two links: option counts to items by name, items to orders."""
+    tables = metrics.report_tables(s.orders, AS_OF)
+    return metrics.metric(tables, "option_counts", ["count"], ["orders.status"])
+
+
+@query(
+    "metric_items_by_total_sales",
+    f"""SELECT t.item_name, sum(quantity)::BIGINT AS item_quantity FROM ({sql("SELECT item_name, quantity FROM el")}) e
+ LEFT JOIN (SELECT DISTINCT item_name FROM ({ORACLES["total_sales_by_item"]})) t ON t.item_name = e.item_name GROUP BY 1""",
+)
+def _(s):
+    tables = metrics.report_tables(s.orders, AS_OF)
+    return metrics.metric(tables, "items", ["item_quantity"], ["item_totals.item_name"])
+
+
+@query(
+    "metric_staged_orders",
+    sql("SELECT status, sum(total_cents)::BIGINT AS total FROM ro GROUP BY 1"),
+)
+def _(s):
+    tables = metrics.report_tables(s.orders, AS_OF)
+    return metrics.metric(tables, "staged_orders", ["total"], ["staged_orders.status"])
+
+
 @query(
     "revenue_kpi_hourly",
     sql("SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, round(sum(value), 6) AS revenue, count(*) AS events FROM events WHERE event_type = 'purchase' GROUP BY 1, 2"),
