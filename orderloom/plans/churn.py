@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.functions.calendar import whole_days
+from orderloom.operators.joins import join_on
 from orderloom.operators.ordering import with_prefix
 from orderloom.operators.sampling import exact_sample, in_train_part
 from orderloom.scratch import stage
@@ -182,13 +183,16 @@ def fit_boosted(rows: DataFrame, setting: Boosting = AUC_MODEL, seed: int = 42)
     return model if length == setting.rounds else fit(length)
 
 
-def boosting_length(model: PipelineModel, name: str, setting: Boosting, spark) -> DataFrame:
-    """One row: rounds asked for, trees held, whether validation chose the length."""
-    trees = model.stages[-1].getNumTrees
-    chosen = setting.patience is not None
-    fits = 1 <= trees <= setting.rounds if chosen else trees == setting.rounds
-    schema = "model string, rounds int, trees int, validated boolean, length_fits boolean"
-    return spark.createDataFrame([(name, setting.rounds, trees, chosen, fits)], schema)
+def boosting_length(
+    model: PipelineModel, name: str, setting: Boosting, held: DataFrame
+) -> DataFrame:
+    """One row: rounds asked for, trees held, and the loss on held-out rows after the first
+    and after the last of them."""
+    prepared = PipelineModel(model.stages[:-1]).transform(held)
+    losses = [float(x) for x in model.stages[-1].evaluateEachIteration(prepared)]
+    schema = "model string, rounds int, trees int, first_loss double, last_loss double"
+    row = (name, setting.rounds, model.stages[-1].getNumTrees, losses[0], losses[-1])
+    return held.sparkSession.createDataFrame([row], schema)
 
 
 def fit_forest(rows: DataFrame, trees: int = 20, seed: int = 42) -> PipelineModel:
@@ -292,7 +296,9 @@ def expected_losses(orders: DataFrame, scored: DataFrame) -> DataFrame:
     year = _last_year(orders).groupBy("customer_id").agg(
         F.sum("total_cents").alias("total"), days().alias("lifetime_days_last_year")
     )
-    joined = scored.join(total, "customer_id", "left").join(year, "customer_id", "left")
+    joined = join_on(
+        join_on(scored, total, "customer_id", "left"), year, "customer_id", "left"
+    )
     loss = F.col("total") * F.col("proba") * 365 / F.col("lifetime_days_last_year")
     return joined.withColumn("expected_value_lost", loss)
 
@@ -305,7 +311,7 @@ def campaign_list(
     listed = expected_losses(orders, scored).where(
         (F.col("lifetime_days_last_year") > plan.min_days) & worth
     )
-    return listed.join(segments.select("customer_id", "segment"), "customer_id", "left")
+    return join_on(listed, segments.select("customer_id", "segment"), "customer_id", "left")
 
 
 def campaign_sample(listed: DataFrame, plan: Campaign = Campaign(), seed: int = 42) -> DataFrame:

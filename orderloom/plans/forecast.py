@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import whole_days
+from orderloom.operators.joins import join_on
 from orderloom.operators.regression import (
     least_squares,
     linear_score,
@@ -48,7 +49,7 @@ def daily_revenue_forecast(orders: DataFrame, held_out_days: int = 28) -> DataFr
     weekdays = {f"weekday_{i}": _is(F.weekday("day") == i) for i in range(1, 7)}
     months = {f"month_{i}": _is(F.month("day") == i) for i in range(2, 13)}
     rows = (
-        days.join(daily, "day", "left")
+        join_on(days, daily, "day", "left")
         .fillna(0, ["cents"])
         .select(
             "day",
@@ -77,7 +78,7 @@ def new_customer_forecast(orders: DataFrame, lags: int = 3, held_out_months: int
     calendar = span.select(
         "hi", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month")
     )
-    filled = calendar.join(months, "month", "left").fillna(0, ["new_customers"])
+    filled = join_on(calendar, months, "month", "left").fillna(0, ["new_customers"])
     order = Window.orderBy("month")
     names = [f"lag_{i}" for i in range(1, lags + 1)]
     rows = filled.select(
@@ -104,7 +105,7 @@ def first_order_features(orders: DataFrame, days: int = 60) -> DataFrame:
     near = whole_days(start, F.col("date_created")) <= days
     firsts = (
         slim.select("customer_id", "date_created")
-        .join(firsts, "customer_id")
+        .transform(join_on, firsts, "customer_id")
         .groupBy("customer_id", "first")
         .agg(F.count_if(near).alias("near"))
     )
@@ -162,7 +163,7 @@ def ltv_forecast(orders: DataFrame, periods: Periods = PERIODS) -> DataFrame:
         "customer_id", F.col("monetary").alias("next_monetary")
     )
     rows = (
-        before.join(after, "customer_id", "left")
+        join_on(before, after, "customer_id", "left")
         .fillna(0.0, ["next_monetary"])
         .withColumn("held_out", ~in_train_part(F.col("customer_id")))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import whole_days
 from orderloom.functions.money import dollars
+from orderloom.operators.joins import join_on
 from orderloom.operators.neighbours import with_next
 from orderloom.plans.cart import each_line, has_lines, item_names
 
@@ -93,7 +94,9 @@ def customer_churn_threshold(orders: DataFrame) -> DataFrame:
 
 def paid_lines_with_threshold(orders: DataFrame) -> DataFrame:
     """Paid cart lines with the churn threshold of their customer."""
-    return paid_order_details(orders).join(customer_churn_threshold(orders), "customer_id", "left")
+    return join_on(
+        paid_order_details(orders), customer_churn_threshold(orders), "customer_id", "left"
+    )
 
 
 def churn_threshold_v1(orders: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import calendar_columns, month_start, quarter_label
+from orderloom.operators.joins import join_on
 from orderloom.operators.ordering import exact_quantiles
 from orderloom.plans.cart import each_line, has_lines, line_sales, product_sales
 from orderloom.plans.star import product_avg_price
@@ -115,7 +116,7 @@ def portfolio_matrix(orders: DataFrame, price_semantics: str = "line") -> DataFr
     share = F.col("sales_cents") / F.col("market_cents")
     rows = (
         summary.join(F.broadcast(market), "quarter")
-        .join(growth, "item_name")
+        .transform(join_on, growth, "item_name")
         .select(
             "item_name",
             "quarter",
@@ -156,10 +157,11 @@ def orders_with_dims(orders: DataFrame, customers: DataFrame, statuses: DataFram
     )
     created = F.col("date_created")
     return (
-        base.join(
-            customers.select("customer_id", "total_orders", "avg_order_value"), "customer_id", "left"
+        join_on(
+            base, customers.select("customer_id", "total_orders", "avg_order_value"), "customer_id", "left"
         )
-        .join(statuses, "status", "left")
+        # a row per status
+        .transform(join_on, F.broadcast(statuses), "status", "left")
         .withColumns({"date_key": F.to_date(created), "quarter": F.quarter(created)})
     )
 
@@ -171,7 +173,7 @@ def sales_with_dims(orders: DataFrame, price_semantics: str = "line") -> DataFra
     """
     sales = product_sales(orders, price_semantics)
     products = product_avg_price(orders).select("item_name", "average_price")
-    return sales.join(products, "item_name", "left").select(
+    return join_on(sales, products, "item_name", "left").select(
         "order_id",
         "customer_id",
         "item_name",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import iso_weekday, month_start
+from orderloom.operators.joins import join_on
 from orderloom.plans.cart import product_sales
 from orderloom.plans.products import monthly_item_sales
 from orderloom.plans.star import opening_hours_dim
@@ -17,7 +18,7 @@ def new_item_prices(orders: DataFrame, days: int = 90) -> DataFrame:
     first = sales.groupBy("item_name").agg(F.min("date_created").alias("first_sold"))
     fresh = F.col("date_created") < F.col("first_sold") + F.make_dt_interval(F.lit(days))
     return (
-        sales.join(first, "item_name")
+        join_on(sales, first, "item_name")
         .groupBy(fresh.alias("is_new"))
         .agg(
             F.try_divide(F.sum("sales_cents"), F.sum("quantity_sold") * 100).alias("avg_unit_price"),
@@ -124,7 +125,7 @@ def revenue_per_open_hour(orders: DataFrame, hours: DataFrame) -> DataFrame:
     slots = days.join(dated, F.col("day") == F.col("actual_date"), "left").select(
         "day", F.explode(F.sequence(first, last)).alias("hour")
     )
-    filled = slots.join(daily, ["day", "hour"], "left")
+    filled = join_on(slots, daily, ["day", "hour"], "left")
     result = filled.groupBy("hour").agg(
         (F.coalesce(F.sum("cents"), F.lit(0)) / 100).alias("revenue"), F.count("*").alias("open_days")
     )

@@ -17,6 +17,7 @@ from orderloom.functions.risk import (
     smoothed,
     wilson_bounds,
 )
+from orderloom.operators.joins import join_on
 from orderloom.operators.ordering import exact_quantiles
 from orderloom.plans.marts import order_gaps, paid_order_details, paid_orders, thresholds
 from orderloom.scratch import stage
@@ -41,7 +42,7 @@ def order_repeat_label(orders: DataFrame, start: str = START) -> DataFrame:
     limits = thresholds(gaps)
     rows = (
         gaps.where(_since(start))
-        .join(limits, "customer_id", "left")
+        .transform(join_on, limits, "customer_id", "left")
         .crossJoin(F.broadcast(latest))
     )
     open_days = whole_days(F.col("order_time"), F.col("_latest"))
@@ -64,7 +65,7 @@ def labelled_lines(orders: DataFrame, labelled: DataFrame) -> DataFrame:
     """Paid lines of the labelled orders with the label; every labelled order stays."""
     lines = paid_order_details(orders).select("order_id", "item_tracking_id", "item", "quantity")
     labels = labelled.select("customer_id", "order_id", "order_time", "next_repeat_purchase")
-    return lines.join(labels, "order_id", "right")
+    return join_on(lines, labels, "order_id", "right")
 
 
 def _order_items(labelled: DataFrame) -> DataFrame:
@@ -114,7 +115,7 @@ def _high_risk(items: DataFrame) -> DataFrame:
 
 def affected_items(labelled: DataFrame, items: DataFrame) -> DataFrame:
     """Order-item rows of high-risk items."""
-    return _order_items(labelled).join(_high_risk(items), "item", "left_semi")
+    return join_on(_order_items(labelled), _high_risk(items), "item", "left_semi")
 
 
 def high_risk_impact(labelled: DataFrame, items: DataFrame) -> DataFrame:
@@ -171,7 +172,7 @@ def removal_revenue(
     paid = paid_orders(orders)
     customers = affected_items(labelled, items).select("customer_id").distinct()
     spending = (
-        paid.join(customers, "customer_id", "left_semi")
+        join_on(paid, customers, "customer_id", "left_semi")
         .groupBy("customer_id")
         .agg(F.avg("price_cents").alias("mean_cents"))
         .agg((F.avg("mean_cents") / 100).alias("avg_spending_per_order"))
@@ -203,7 +204,7 @@ def item_customer_orders(labelled: DataFrame, items: DataFrame) -> DataFrame:
         F.max("order_count").alias("max_order_count"),
         (F.avg("order_count") + F.stddev_samp("order_count")).alias("loyalty_threshold"),
     )
-    return counts.join(limits, "item")
+    return join_on(counts, limits, "item")
 
 
 def loyal_customers(labelled: DataFrame, items: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import hour_text, month_start, weekday_name
+from orderloom.operators.joins import join_on
 from orderloom.plans.cart import line_sales
 from orderloom.plans.star import opening_hours_dim
 
@@ -91,7 +92,7 @@ def daily_order_counts(orders: DataFrame) -> DataFrame:
     )
     span = counts.agg(F.min("date_created").alias("lo"), F.max("date_created").alias("hi"))
     days = span.select(F.explode(F.sequence("lo", "hi")).alias("date_created"))
-    return days.join(counts, "date_created", "left").select(
+    return join_on(days, counts, "date_created", "left").select(
         "date_created", F.coalesce("order_count", F.lit(0)).alias("order_count")
     )
 
@@ -117,7 +118,7 @@ def revenue_anomalies(orders: DataFrame, days: int = 28, width: float = 2.0) ->
     )
     span = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     calendar = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
-    filled = calendar.join(daily, "day", "left").fillna(0, ["revenue_cents"])
+    filled = join_on(calendar, daily, "day", "left").fillna(0, ["revenue_cents"])
     before = Window.orderBy("day").rowsBetween(-days, -1)
     scored = filled.select(
         "day",

@@ -163,7 +163,10 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFrame:
-    """Equal-width bins of each column with counts and densities; no empty bins."""
+    """Equal-width bins of each column with counts and densities; empty bins count 0.
+
+    A column with one value has one bin.
+    """
     entries = [
         F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns
     ]
@@ -172,18 +175,20 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
     spans = values.groupBy("metric").agg(
         F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count("*").alias("_n")
     )
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    index = F.floor(F.try_divide(F.col("value") - F.col("_lo"), width))
+    spans = stage(spans.withColumn("_width", (F.col("_hi") - F.col("_lo")) / bins), "spans")
+    index = F.floor(F.try_divide(F.col("value") - F.col("_lo"), F.col("_width")))
     bucket = F.least(F.coalesce(index, F.lit(0)), F.lit(bins - 1)).cast("int")
-    return (
+    counts = (
         values.join(F.broadcast(spans), "metric")
-        .groupBy("metric", bucket.alias("bin"), "_lo", width.alias("_width"), "_n")
+        .groupBy("metric", bucket.alias("bin"))
         .agg(F.count("*").alias("count"))
-        .select(
-            "metric",
-            "bin",
-            (F.col("_lo") + F.col("bin") * F.col("_width")).alias("bin_start"),
-            "count",
-            F.try_divide(F.col("count"), F.col("_n") * F.col("_width")).alias("density"),
-        )
+    )
+    last = F.when(F.col("_width") > 0, bins - 1).otherwise(0)
+    every = spans.select("*", F.explode(F.sequence(F.lit(0), last)).alias("bin"))
+    return every.join(F.broadcast(counts), ["metric", "bin"], "left").select(
+        "metric",
+        "bin",
+        (F.col("_lo") + F.col("bin") * F.col("_width")).alias("bin_start"),
+        F.coalesce("count", F.lit(0)).alias("count"),
+        F.try_divide(F.coalesce("count", F.lit(0)), F.col("_n") * F.col("_width")).alias("density"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -55,6 +56,23 @@ def assign_clusters(scaled: DataFrame, k: int = 3, seed: int = SEED) -> DataFram
     return model.transform(scaled).withColumn("cluster", rank[F.col("cluster")])
 
 
+def nearest_centres(scaled: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
+    """Cluster numbers by given centres, ties to the first, and the ``distance``."""
+    vector = vector_to_array("scaled")
+    gaps = F.array(*[_distance(vector, list(map(float, c))) for c in centres])
+    nearest = scaled.withColumn("_gaps", gaps).withColumn("distance", F.array_min("_gaps"))
+    at = F.array_position("_gaps", F.col("distance")).cast("int") - 1
+    return nearest.withColumn("cluster", at).drop("_gaps")
+
+
+def inertia(clustered: DataFrame) -> DataFrame:
+    """Sum of squared distances and mean distance to the nearest centre."""
+    return clustered.agg(
+        F.sum(F.col("distance") * F.col("distance")).alias("inertia"),
+        F.avg("distance").alias("mean_distance"),
+    )
+
+
 def _distance(vector: Column, centre: list[float]) -> Column:
     gaps = F.zip_with(vector, F.array(*[F.lit(c) for c in centre]), lambda a, b: (a - b) * (a - b))
     return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g))

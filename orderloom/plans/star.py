@@ -9,6 +9,7 @@ from orderloom.functions.calendar import calendar_columns, iso_weekday, weekday_
 from orderloom.functions.keys import surrogate_key
 from orderloom.functions.money import dollars, dollars_text, rounded_ratio
 from orderloom.functions.status import status_description
+from orderloom.operators.joins import join_on
 from orderloom.plans.cart import each_line, has_lines, item_names, option_rows, weighted_options_v1
 
 AsOf = str | Column | None
@@ -49,7 +50,7 @@ def dim_customers(orders: DataFrame, as_of: AsOf = None) -> DataFrame:
         .groupBy("customer_id")
         .agg(F.expr("listagg(item_name, ',') WITHIN GROUP (ORDER BY item_name)").alias("most_frequent_item"))
     )
-    return base.join(favourites, "customer_id", "left")
+    return join_on(base, favourites, "customer_id", "left")
 
 
 def customer_v1(orders: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -68,7 +69,7 @@ def customer_v1(orders: DataFrame, as_of: AsOf = None) -> DataFrame:
     favourites = counts.withColumn("place", place).where("place = 1").select(
         "customer_id", F.col("item_name").alias("most_frequent_item")
     )
-    return base.join(favourites, "customer_id", "left")
+    return join_on(base, favourites, "customer_id", "left")
 
 
 def customer_dim_v1(orders: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def customer_dim_v1(orders: DataFrame) -> DataFrame:
         F.max("date_created").alias("last_order_date"),
     )
     favourites = _favourites(orders).withColumnRenamed("item_name", "most_frequent_item")
-    return base.join(favourites, "customer_id", "left")
+    return join_on(base, favourites, "customer_id", "left")
 
 
 def dim_products(orders: DataFrame) -> DataFrame:

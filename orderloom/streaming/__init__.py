@@ -1,0 +1,9 @@
+"""Figures over streams.  State processors are sent to the executors by value."""
+
+from __future__ import annotations
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from datetime import timedelta
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from orderloom.operators.sessions import sessions
 
@@ -92,20 +96,29 @@ def write_late_counts(
     """Count, per micro-batch, the raw rows that ``revenue_kpi`` drops as late.
 
     A row is late when its window has ended by the watermark, which is the greatest time
-    of the batches before, less ``late``.  Each batch writes one row (batch, max_ts, late)
-    to its own folder, so a batch that is repeated writes the same row again.
+    of the batches before, less ``late``.  Each batch writes one row to its own folder:
+    its late rows, and the greatest time and all late rows so far, from the row of the
+    batch before.  So a batch reads one row, however many there were, and a batch that is
+    repeated writes the same row again.
     """
 
     def count(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        seen = _late_table(spark, path, number)
-        mark = seen.agg((F.max("max_ts") - F.expr(f"INTERVAL {late}")).alias("mark"))
+        mark = _late_state(spark, path, number - 1).select(
+            F.col("max_ts").alias("_before"),
+            F.col("all_late").alias("_all"),
+            (F.col("max_ts") - F.expr(f"INTERVAL {late}")).alias("_mark"),
+        )
         ends = F.window(F.col("ts"), window)["end"]
-        dropped = (F.col("event_type") == event_type) & (ends <= F.col("mark"))
-        row = batch.crossJoin(F.broadcast(mark)).agg(
+        dropped = (F.col("event_type") == event_type) & (ends <= F.col("_mark"))
+        found = batch.crossJoin(F.broadcast(mark)).agg(
+            F.max("ts").alias("_max"), F.count_if(dropped).alias("late")
+        )
+        row = found.crossJoin(F.broadcast(mark)).select(
             F.lit(number).cast("long").alias("batch"),
-            F.max("ts").alias("max_ts"),
-            F.count_if(dropped).alias("late"),
+            F.greatest("_max", "_before").alias("max_ts"),
+            "late",
+            (F.col("_all") + F.col("late")).alias("all_late"),
         )
         row.coalesce(1).write.mode("overwrite").parquet(f"{path}/rows-{number}")
 
@@ -113,20 +126,20 @@ def write_late_counts(
     return writer.trigger(availableNow=True).start() if once else writer.start()
 
 
-_LATE_ROW = "batch long, max_ts timestamp_ntz, late long"
+_LATE_ROW = "batch long, max_ts timestamp_ntz, late long, all_late long"
 
 
-def _late_table(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Rows of the batches so far; one row per batch."""
-    if before == 0:
-        return spark.createDataFrame([], _LATE_ROW)
-    rows = spark.read.schema(_LATE_ROW).parquet(f"{path}/rows-*")
-    return rows if before is None else rows.where(F.col("batch") < before)
+def _late_state(spark: SparkSession, path: str, number: int) -> DataFrame:
+    """The row of one batch; before the first, one that says nothing was seen."""
+    if number < 0:
+        return spark.createDataFrame([(-1, None, 0, 0)], _LATE_ROW)
+    return spark.read.schema(_LATE_ROW).parquet(f"{path}/rows-{number}")
 
 
 def late_rows(spark: SparkSession, path: str) -> int:
     """All rows dropped as late since ``write_late_counts`` began to count in ``path``."""
-    return _late_table(spark, path).agg(F.coalesce(F.sum("late"), F.lit(0))).first()[0]
+    rows = spark.read.schema(_LATE_ROW).parquet(f"{path}/rows-*")
+    return rows.agg(F.coalesce(F.max("all_late"), F.lit(0))).first()[0]
 
 
 def daily_alerts(closed_days: DataFrame, days: int = 28, width: float = 2.0) -> DataFrame:
@@ -153,25 +166,68 @@ def daily_alerts(closed_days: DataFrame, days: int = 28, width: float = 2.0) ->
     return scored.where((F.col("_days") == days) & far).drop("_days")
 
 
-def write_daily_alerts(
-    closed: DataFrame, history: str, alerts: str, checkpoint: str,
-    days: int = 28, width: float = 2.0, once: bool = True,
-) -> StreamingQuery:
-    """Alerts over a stream of closed days, which are stored with the days before them.
+ALERT = "series string, window_start timestamp_ntz, revenue double, mean_before double, std_before double"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _LastDays(StatefulProcessor):
+    """State of a series: its last day and the revenue of the ``days`` days up to it."""
+
+    def __init__(self, days: int, width: float):
+        self.days, self.width = days, width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getValueState("days", "last date, revenue array<double>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        fresh = pd.concat(list(rows)).sort_values("window_start")
+        last, before = self.kept.get() if self.kept.exists() else (None, [])
+        before, found = list(before), []
+        for start, revenue in zip(fresh["window_start"], fresh["revenue"]):
+            day = start.date()
+            gap = (day - last).days if last is not None else 1
+            # days that closed without a row had no revenue; older than the state matters not
+            for value, at in [(0.0, last + timedelta(days=i)) for i in range(1, gap)] + [(revenue, day)]:
+                if len(before) == self.days:
+                    mean, std = float(np.mean(before)), float(np.std(before, ddof=1))
+                    if abs(value - mean) > self.width * std:
+                        found.append((key[0], pd.Timestamp(at), float(value), mean, std))
+                before = [*before, float(value)][-self.days :]
+            last = day
+        self.kept.update((last, before))
+        names = ["series", "window_start", "revenue", "mean_before", "std_before"]
+        yield pd.DataFrame(found, columns=names)
 
-    Each batch appends its days to ``history`` (in a folder of its own, so a repeated
-    batch changes nothing), judges its days with the stored ones, and writes the alerts.
+    def close(self) -> None:
+        pass
+
+
+def daily_alert_stream(
+    closed: DataFrame, series: Column | None = None, days: int = 28, width: float = 2.0
+) -> DataFrame:
+    """``daily_alerts`` over a stream of closed days, per series (one, if none is named).
+
+    The days before are kept in the state store, ``days`` numbers per series, so a batch
+    reads its own rows only.  Days come in order, as windows close; the days without a row
+    between two that have one count as 0.  Needs the RocksDB state store, which is set.
     """
+    closed.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
+    named = closed.select(
+        (F.lit("all") if series is None else series.cast("string")).alias("series"),
+        "window_start",
+        "revenue",
+    )
+    return named.groupBy("series").transformWithStateInPandas(
+        statefulProcessor=_LastDays(days, width),
+        outputStructType=ALERT,
+        outputMode="Append",
+        timeMode="None",
+    )
 
-    def judge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.select("window_start", "revenue")
-        fresh.write.mode("overwrite").parquet(f"{history}/days-{number}")
-        stored = spark.read.schema(fresh.schema).parquet(f"{history}/days-*")
-        new = spark.read.schema(fresh.schema).parquet(f"{history}/days-{number}")
-        found = daily_alerts(stored, days, width).join(new.select("window_start"), "window_start")
-        found.write.mode("overwrite").parquet(f"{alerts}/days-{number}")
-
-    writer = closed.writeStream.outputMode("append").foreachBatch(judge)
-    writer = writer.option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start() if once else writer.start()
+
+def write_daily_alerts(
+    closed: DataFrame, alerts: str, checkpoint: str,
+    days: int = 28, width: float = 2.0, once: bool = True,
+) -> StreamingQuery:
+    """Alerts over a stream of closed days, appended to a Parquet folder."""
+    return write_windows(daily_alert_stream(closed, None, days, width), alerts, checkpoint, once)

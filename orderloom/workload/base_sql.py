@@ -15,9 +15,12 @@ _LINE_TEXT = """'{"name":"' || p_name || '","price":' || CAST(CAST(round(l_exten
  || CAST(CAST(round(p_retailprice*100) AS BIGINT) AS VARCHAR)
  || '},{"name":"flag","value":"' || l_returnflag || '","price":0}]}'"""
 
+# documents that are cut off or missing give no scalars and no lines
+_UNREADABLE = "order_id % 500 IN (3, 4)"
+
 CTES: dict[str, str] = {
-    # cart elements: one row per element, equal elements repeat
-    "el": f"""
+    # cart elements as written: one row per element, equal elements repeat
+    "ela": f"""
 SELECT l_orderkey AS order_id, p_name AS item_name,
   CASE WHEN split_part(p_name,' ',2) IN ('plate','ring') THEN 'Food'
        WHEN split_part(p_name,' ',2) IN ('widget','gizmo') THEN 'Hot Drinks'
@@ -29,8 +32,10 @@ SELECT l_orderkey AS order_id, p_name AS item_name,
   l_returnflag AS flag_value
 FROM lineitem JOIN part ON l_partkey = p_partkey
 JOIN (SELECT unnest([0,1]) AS i) d ON d.i = 0 OR (l_orderkey % 10 = 0 AND l_linenumber = 1)""",
-    # raw orders, scalars only
-    "ro": """
+    # those that can be read
+    "el": f"SELECT * FROM ela WHERE NOT ({_UNREADABLE})",
+    # raw orders as written, scalars only
+    "rw": """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, md5(CAST(o_custkey AS VARCHAR)) AS ip_addr,
   o_orderdate + INTERVAL 24 YEAR + to_minutes(420 + (o_orderkey*37) % 600) AS date_created,
   CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + INTERVAL 24 YEAR + to_minutes(425 + (o_orderkey*37) % 600) END AS date_paid,
@@ -46,11 +51,16 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id, md5(CAST(o_custkey AS V
     WHEN 4 THEN 'Today ' || CAST(o_orderkey % 12 + 1 AS VARCHAR) || ':' || lpad(CAST(o_orderkey % 60 AS VARCHAR),2,'0') || ' PM'
     END AS order_time_verbose
 FROM orders""",
-    "os": """
+    # with the scalars of readable documents; every 500th has an object for its total
+    "ro": f"""
+SELECT * REPLACE (CASE WHEN {_UNREADABLE} THEN NULL ELSE surcharge_cents END AS surcharge_cents, CASE WHEN {_UNREADABLE} THEN NULL ELSE gst_cents END AS gst_cents,
+  CASE WHEN {_UNREADABLE} THEN NULL ELSE order_time END AS order_time, CASE WHEN {_UNREADABLE} THEN NULL ELSE order_time_verbose END AS order_time_verbose)
+FROM rw""",
+    "os": f"""
 SELECT ro.*, CASE WHEN status=2 THEN 'Payment is successful' WHEN status=1 THEN 'Payment is successful, label not printed'
   WHEN status=9 THEN 'Payment is unsuccessful' WHEN status=0 THEN 'Order created but no payment made'
   WHEN status=10 AND year(date_created) BETWEEN 2019 AND 2020 THEN 'Unknown (2019-2020)' ELSE 'Status Unknown' END AS status_description,
-  COALESCE(c.n, 0) AS cart_size
+  CASE WHEN NOT ({_UNREADABLE}) THEN COALESCE(c.n, 0) END AS cart_size
 FROM ro LEFT JOIN (SELECT order_id, count(*) AS n FROM el GROUP BY 1) c USING (order_id)""",
     # merged lines
     "ln": """
@@ -75,7 +85,7 @@ SELECT el.order_id, any_value(os.date_created) AS date_created, any_value(os.cus
   any_value(el.item_category) AS item_category, sum(el.quantity)::BIGINT AS quantity_sold, sum(el.price_cents*el.quantity)::BIGINT AS sales_cents
 FROM el JOIN os USING (order_id) GROUP BY el.order_id, el.item_name""",
     # paid lines and paid orders with lines
-    "pl": "SELECT ln.*, os.customer_id, os.date_created AS order_time, os.total_cents AS order_cents FROM ln JOIN os USING (order_id) WHERE date_paid IS NOT NULL AND status IN (1,2)",
+    "pl": "SELECT ln.*, os.customer_id, os.date_created AS order_time, CASE WHEN order_id % 500 <> 6 THEN os.total_cents END AS order_cents FROM ln JOIN os USING (order_id) WHERE date_paid IS NOT NULL AND status IN (1,2)",
     "po": "SELECT DISTINCT order_id, customer_id, order_time, order_cents FROM pl",
     "gp": """
 SELECT *, date_sub('day', order_time, next_order_time) AS interval_days FROM (

@@ -263,12 +263,15 @@ def _(s):
     return returns.high_risk_summary(returns.item_return_probability(s.orders, unit="order"))
 
 
+_PLAN = """SELECT period, role, item, round(lo, 6) AS ci_lower, round(p, 6) AS updated_probability FROM
+ (SELECT rp.*, CASE WHEN risk = 'High' AND lo > h THEN 'replace' WHEN risk = 'Low' AND p >= l THEN 'candidate' END AS role FROM rp JOIN
+  (SELECT period, quantile_cont(CASE WHEN risk = 'High' THEN lo END, 0.75) AS h, quantile_cont(CASE WHEN risk = 'Low' THEN p END, 0.75) AS l FROM rp GROUP BY 1) USING (period)) WHERE role IS NOT NULL"""
+
+
 @query(
     "replacement_plan",
     sql(
-        """SELECT period, role, item, round(lo, 6) AS ci_lower, round(p, 6) AS updated_probability FROM
- (SELECT rp.*, CASE WHEN risk = 'High' AND lo > h THEN 'replace' WHEN risk = 'Low' AND p >= l THEN 'candidate' END AS role FROM rp JOIN
-  (SELECT period, quantile_cont(CASE WHEN risk = 'High' THEN lo END, 0.75) AS h, quantile_cont(CASE WHEN risk = 'Low' THEN p END, 0.75) AS l FROM rp GROUP BY 1) USING (period)) WHERE role IS NOT NULL""",
+        _PLAN,
         **{**RETURNS, "rp0": RETURNS["rp0"].replace("FROM sr", "FROM so")},
     ),
 )
@@ -294,6 +297,27 @@ def _(s):
     )
 
 
+@query(
+    "high_risk_return_items_by_line",
+    sql("SELECT item, round(avg(p), 6) AS updated_probability, sum(n)::BIGINT AS total_sales FROM rp WHERE risk = 'High' GROUP BY 1", **RETURNS),
+)
+def _(s):
+    return returns.high_risk_summary(_returns(s))
+
+
+@query("replacement_plan_by_line", sql(_PLAN, **RETURNS))
+def _(s):
+    return returns.replacement_plan(_returns(s))
+
+
+@query("churn_weighted_uplift_by_line", sql(_UPLIFT, **RETURNS))
+def _(s):
+    counted = customers.customer_ltv(s.orders).agg(
+        F.count_distinct("customer_id").alias("customers")
+    )
+    return returns.churn_weighted_uplift(_returns(s), counted)
+
+
 _FM = "SELECT customer_id, count(*) AS f, sum(sales_cents)::BIGINT AS c FROM ps WHERE date_created BETWEEN TIMESTAMP '2022-04-06' AND TIMESTAMP '2023-03-06' GROUP BY 1"
 
 
@@ -426,9 +450,10 @@ def _(s):
 
 
 def _hist(column: str) -> str:
-    return f"""SELECT '{column}' AS metric, bin, round(lo + bin * w, 6) AS bin_start, count(*) AS count, round(count(*) / (n * w), 6) AS density FROM
- (SELECT CAST(least(floor(({column} - lo) / w), 19) AS INTEGER) AS bin, lo, w, n FROM rf, (SELECT min({column})::DOUBLE AS lo, (max({column})::DOUBLE - min({column})::DOUBLE) / 20 AS w, count(*) AS n FROM rf))
- GROUP BY bin, lo, w, n"""
+    return f"""SELECT '{column}' AS metric, CAST(bin AS INTEGER) AS bin, round(lo + bin * w, 6) AS bin_start, COALESCE(c, 0) AS count, round(COALESCE(c, 0) / (n * w), 6) AS density FROM
+ (SELECT min({column})::DOUBLE AS lo, (max({column})::DOUBLE - min({column})::DOUBLE) / 20 AS w, count(*) AS n FROM rf), range(0, 20) bs(bin)
+ LEFT JOIN (SELECT CAST(least(floor(({column} - lo) / w), 19) AS BIGINT) AS bin, count(*) AS c FROM rf,
+  (SELECT min({column})::DOUBLE AS lo, (max({column})::DOUBLE - min({column})::DOUBLE) / 20 AS w FROM rf) GROUP BY 1) USING (bin)"""
 
 
 @query("histogram_rfm", sql(" UNION ALL ".join(_hist(c) for c in rfm.METRICS), rf=_RFM))

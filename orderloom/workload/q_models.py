@@ -207,14 +207,12 @@ def _(s):
     return report.crossJoin(F.broadcast(churn.roc_auc(flagged, "flag")))
 
 
-@query(
-    "boosting_lengths",
-    "SELECT * FROM (VALUES ('auc', 20, true, true), ('value', 100, false, true)) t(model, rounds, validated, length_fits)",
-)
+@query("boosting_lengths")
 def _(s):
-    auc = churn.boosting_length(_boosted(s), "auc", churn.AUC_MODEL, s.spark)
-    value = churn.boosting_length(_value_model(s), "value", churn.VALUE_MODEL, s.spark)
-    return auc.unionAll(value).drop("trees")
+    """Trees and losses of the boosted models; a single tree would show."""
+    held = churn.training_rows(_features(s)).where("is_validation")
+    auc = churn.boosting_length(_boosted(s), "auc", churn.AUC_MODEL, held)
+    return auc.unionAll(churn.boosting_length(_value_model(s), "value", churn.VALUE_MODEL, held))
 
 
 @query("churn_roc_points")
@@ -310,7 +308,7 @@ def _(s):
 
 @query(
     "first_order_features",
-    sql("""SELECT customer_id, total_cents / 100.0 AS first_total, cart_size AS first_cart_size, CAST(hour(date_created) AS INTEGER) AS first_hour, CAST(isodow(date_created) - 1 AS INTEGER) AS first_weekday,
+    sql("""SELECT customer_id, total_cents / 100.0 AS first_total, COALESCE(cart_size, 0) AS first_cart_size, CAST(hour(date_created) AS INTEGER) AS first_hour, CAST(isodow(date_created) - 1 AS INTEGER) AS first_weekday,
  CAST(CASE WHEN EXISTS (SELECT 1 FROM ro r WHERE r.customer_id = f.customer_id AND r.order_id <> f.order_id AND date_sub('day', f.date_created, r.date_created) <= 60) THEN 1 ELSE 0 END AS INTEGER) AS retained FROM
  (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY date_created, order_id) AS rn FROM os) f WHERE rn = 1 AND date_sub('day', date_created, (SELECT max(date_created) FROM ro)) > 60"""),
 )

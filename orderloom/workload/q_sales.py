@@ -271,7 +271,7 @@ def _(s):
 
 @query(
     "dropped_orders",
-    sql("SELECT count(*) AS orders, 0::BIGINT AS unreadable, count(*) FILTER (WHERE cart_size = 0) AS empty, count(*) FILTER (WHERE cart_size > 0) AS with_lines FROM os"),
+    sql("SELECT count(*) AS orders, count(*) FILTER (WHERE cart_size IS NULL) AS unreadable, count(*) FILTER (WHERE cart_size = 0) AS empty, count(*) FILTER (WHERE cart_size > 0) AS with_lines FROM os"),
 )
 def _(s):
     return products.dropped_orders(s.orders)
@@ -284,8 +284,8 @@ _PM = _CLOCK.format(h="(order_id % 12 + 1) % 12 + 12")
 
 @query(
     "order_time_normalised",
-    sql(f"""SELECT order_id, CASE order_id % 5 WHEN 0 THEN order_time WHEN 1 THEN order_time WHEN 2 THEN {_PM} WHEN 3 THEN {_AM} END AS requested_time,
- CASE order_id % 5 WHEN 0 THEN order_time WHEN 1 THEN order_time WHEN 3 THEN {_AM} ELSE {_PM} END AS requested_time_full FROM ro"""),
+    sql(f"""SELECT order_id, CASE CASE WHEN order_id % 500 IN (3, 4) THEN 0 ELSE order_id % 5 END WHEN 0 THEN order_time WHEN 1 THEN order_time WHEN 2 THEN {_PM} WHEN 3 THEN {_AM} END AS requested_time,
+ CASE CASE WHEN order_id % 500 IN (3, 4) THEN 0 ELSE order_id % 5 END WHEN 0 THEN order_time WHEN 1 THEN order_time WHEN 3 THEN {_AM} ELSE {_PM} END AS requested_time_full FROM rw"""),
 )
 def _(s):
     verbose, created = F.col("order_time_verbose"), F.col("date_created")
@@ -345,7 +345,7 @@ def _(s):
 
 @query(
     "aov_new_vs_returning",
-    sql(f"SELECT kind, round(avg(order_cents) / 100, 6) AS avg_order_value, count(*) AS orders FROM (SELECT order_cents, {_KIND} AS kind FROM po) GROUP BY 1"),
+    sql(f"SELECT kind, round(avg(order_cents) / 100, 6) AS avg_order_value, count(order_cents) AS orders FROM (SELECT order_cents, {_KIND} AS kind FROM po) GROUP BY 1"),
 )
 def _(s):
     return questions.aov_new_vs_returning(marts.paid_orders(s.orders))

@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orderloom.plans import cart, marts, pipeline, star
+from orderloom.plans.model import Model
+from orderloom.scratch import new_path
+from orderloom.sources import opening_hours, raw_orders, retail_tables, sinks
 from orderloom.workload.base_sql import half_up, sql
 from orderloom.workload.registry import ORACLES, query
 
 AS_OF = "2025-08-01"
 
-_DOCUMENT = """'{"cart_size":' || cart_size || ',"cart_surcharge":' || surcharge_cents || ',"cart_total_price":' || total_cents
+_DOCUMENT = """CASE WHEN order_id % 500 = 3 THEN left(doc, length(doc) - 10) WHEN order_id % 500 <> 4 THEN doc END"""
+_JOINED = """(SELECT rw.*, '{"cart_size":' || COALESCE(j.n, 0) || ',"cart_surcharge":' || surcharge_cents || ',"cart_total_price":'
+ || CASE WHEN order_id % 500 = 6 THEN '{"cents":' || total_cents || '}' ELSE '' || total_cents END
  || ',"cart_gst":' || gst_cents || ',"order_time":"' || order_time || '"'
- || COALESCE(',"order_time_verbose":"' || order_time_verbose || '"', '') || ',"cart":[' || COALESCE(j.t, '') || ']}'"""
-_JOINED = "os LEFT JOIN (SELECT order_id, string_agg(txt, ',' ORDER BY txt) AS t FROM el GROUP BY 1) j USING (order_id)"
+ || COALESCE(',"order_time_verbose":"' || order_time_verbose || '"', '') || ',"cart":[' || COALESCE(j.t, '') || ']}' AS doc
+ FROM rw LEFT JOIN (SELECT order_id, count(*) AS n, string_agg(txt, ',' ORDER BY txt) AS t FROM ela GROUP BY 1) j USING (order_id))"""
 
 
 @query(
@@ -33,7 +38,7 @@ def _(s):
 
 
 _ORDER = """date_created, date_paid, total_cents/100.0 AS total, status, cart_size, surcharge_cents/100.0 AS cart_surcharge,
- total_cents/100.0 AS cart_total_price, gst_cents/100.0 AS cart_gst"""
+ CASE WHEN order_id % 500 NOT IN (3, 4, 6) THEN total_cents/100.0 END AS cart_total_price, gst_cents/100.0 AS cart_gst"""
 
 
 @query(
@@ -341,9 +346,19 @@ _COUNTED = [
     "cart_lines", "line_options", "fct_order_details", "fct_product_sales", "fct_order_item_options",
     "dim_customers", "dim_products", "dim_payment_status", "dim_item_options", "dim_time",
     "orders_with_hours", "paid_order_details", "customer_churn_threshold", "item_price_history",
+    "paid_lines_with_threshold",
 ]
 
 
+def _model(s):
+    """The model in a folder of its own, written once per application."""
+    if not hasattr(s, "model"):
+        model = pipeline.shop_model(new_path(s.spark, "model"), AS_OF, retail_tables.category_of)
+        model.write(s.spark, pipeline.shop_sources(s.raw, s.hours))
+        s.model = model
+    return s.model
+
+
 @query(
     "model_row_counts",
     " UNION ALL ".join(
@@ -352,41 +367,117 @@ _COUNTED = [
     ),
 )
 def _(s):
-    return pipeline.row_counts(pipeline.model_tables(s.orders, s.hours, AS_OF))
+    model = _model(s)
+    names = [*_COUNTED, "opening_hours"]
+    return pipeline.row_counts({name: model.read(s.spark, name) for name in names})
 
 
-# documents as no table has them: broken, missing, an object or a list for a scalar
-_ODD = {
-    1: '{"cart_size":1,"cart":[',
-    2: None,
-    3: '{"cart_size":1,"cart_total_price":{"x":1},"cart":[{"name":"Latte","price":{"x":1}}]}',
-    4: '{"cart_size":1,"cart_total_price":500,"cart":[{"name":["Latte"],"price":500}]}',
-    5: '{"cart_size":1,"cart_total_price":500,"cart":[{"name":"[Latte","price":500}]}',
-}
+@query(
+    "orders_of_a_month",
+    sql("SELECT strftime(date_created, '%Y-%m') AS month, count(*) AS orders, sum(total_cents)::BIGINT AS cents, sum(cart_size)::BIGINT AS cart_lines FROM os WHERE strftime(date_created, '%Y-%m') IN ('2022-05', '2023-11') GROUP BY 1"),
+)
+def _(s):
+    """From the month folders of the order table, of which two are opened."""
+    two = _model(s).read(s.spark, "orders", ["2022-05", "2023-11"])
+    return two.groupBy(F.date_format("date_created", "yyyy-MM").alias("month")).agg(
+        F.count("*").alias("orders"), F.sum("total_cents").alias("cents"), F.sum("cart_size").alias("cart_lines")
+    )
+
+
+@query(
+    "months_rewritten",
+    sql("SELECT strftime(date_created, '%Y-%m') AS month, count(*) AS lines FROM ln JOIN os USING (order_id) WHERE date_created < TIMESTAMP '2022-03-01' OR date_created >= TIMESTAMP '2022-04-01' GROUP BY 1"),
+)
+def _(s):
+    """Lines per month after the orders of one month went from the source."""
+    model = pipeline.shop_model(new_path(s.spark, "months"), AS_OF, retail_tables.category_of)
+    model = Model([t for t in model.tables if t.name in ("orders", "cart_lines")], model.root)
+    model.write(s.spark, pipeline.shop_sources(s.raw, s.hours))
+    month = F.date_format("date_created", "yyyy-MM")
+    left = s.raw.where(month != "2022-03")
+    model.write(s.spark, pipeline.shop_sources(left, s.hours), ["2022-03"])
+    return model.read(s.spark, "cart_lines").groupBy(month.alias("month")).agg(F.count("*").alias("lines"))
 
 
 @query(
     "odd_documents",
-    """SELECT CAST(o_orderkey % 6 AS BIGINT) AS kind, count(*) AS orders,
- count(*) * CASE WHEN o_orderkey % 6 < 3 THEN 1 ELSE 0 END AS unreadable,
- count(*) * CASE WHEN o_orderkey % 6 < 3 THEN 0 ELSE 1 END AS lines,
- count(*) * CASE WHEN o_orderkey % 6 = 5 THEN 1 WHEN o_orderkey % 6 = 3 THEN 1 ELSE 0 END AS names,
- CAST(count(*) * CASE WHEN o_orderkey % 6 > 3 THEN 500 ELSE 0 END AS BIGINT) AS price_cents,
- CAST(count(*) * CASE WHEN o_orderkey % 6 > 3 THEN 500 ELSE 0 END AS BIGINT) AS total_cents
- FROM orders WHERE o_orderkey % 6 > 0 GROUP BY o_orderkey % 6""",
-)
-def _(s):
-    kind = F.col("order_id") % 6
-    document = F.lit(None).cast("string")
-    for number, text in _ODD.items():
-        document = F.when(kind == number, F.lit(text)).otherwise(document)
-    odd = cart.order_documents(s.raw.where(kind > 0).withColumn("items", document))
-    line = F.get("lines", F.lit(0))
-    return odd.groupBy(kind.alias("kind")).agg(
+    sql("""SELECT CASE order_id % 500 WHEN 3 THEN 'cut off' WHEN 4 THEN 'missing' WHEN 6 THEN 'object for a number' ELSE 'plain' END AS kind,
+ count(*) AS orders, count(*) FILTER (WHERE cart_size IS NULL) AS unreadable, count(*) FILTER (WHERE surcharge_cents IS NULL) AS no_surcharge,
+ count(*) FILTER (WHERE order_id % 500 IN (3, 4, 6)) AS no_total, CAST(COALESCE(sum(n), 0) AS BIGINT) AS lines
+ FROM os LEFT JOIN (SELECT order_id, count(*) AS n FROM ln GROUP BY 1) USING (order_id) GROUP BY 1"""),
+)
+def _(s):
+    """What the parser makes of the odd documents among the given orders."""
+    kind = F.lit("plain")
+    for rest, name in {3: "cut off", 4: "missing", 6: "object for a number"}.items():
+        kind = F.when(F.col("order_id") % 500 == rest, name).otherwise(kind)
+    return s.orders.groupBy(kind.alias("kind")).agg(
         F.count("*").alias("orders"),
         F.count_if(F.col("lines").isNull()).alias("unreadable"),
+        F.count_if(F.col("surcharge_cents").isNull()).alias("no_surcharge"),
+        F.count_if(F.col("cart_total_cents").isNull()).alias("no_total"),
         F.coalesce(F.sum(F.when(F.col("lines").isNotNull(), F.size("lines"))), F.lit(0)).alias("lines"),
-        F.count(line["item_name"]).alias("names"),
-        F.coalesce(F.sum(line["price_cents"]), F.lit(0)).alias("price_cents"),
-        F.coalesce(F.sum("cart_total_cents"), F.lit(0)).alias("total_cents"),
     )
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+
+@query(
+    "raw_orders_read_back",
+    sql("SELECT count(*) AS orders, count(DISTINCT customer_id) AS customers, count(*) - count(date_paid) AS unpaid, sum(total_cents)::BIGINT AS total, sum(status)::BIGINT AS statuses, count(*) FILTER (WHERE order_id % 500 = 4) AS no_document FROM ro"),
+)
+def _(s):
+    """Raw orders written as Parquet and read with their schema."""
+    path = new_path(s.spark, "raw")
+    sinks.write_parquet(s.raw, path)
+    found = raw_orders.read_raw_orders(s.spark, path)
+    return found.agg(
+        F.count("*").alias("orders"),
+        F.count_distinct("customer_id").alias("customers"),
+        F.count_if(F.col("date_paid").isNull()).alias("unpaid"),
+        F.sum("total").alias("total"),
+        F.sum("status").alias("statuses"),
+        F.count_if(F.col("items").isNull()).alias("no_document"),
+    )
+
+
+@query(
+    "tables_by_name",
+    "SELECT 'customer' AS \"table\", count(*) AS rows FROM customer UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'part', count(*) FROM part",
+)
+def _(s):
+    return pipeline.row_counts(
+        raw_orders.read_tables(s.spark, s.sf_dir, ["customer", "part", "lineitem"])
+    )
+
+
+@query("opening_hours_read_back", sql('SELECT * FROM oh0'))
+def _(s):
+    """Opening hours written as a seed file with a header and read with their schema."""
+    path = new_path(s.spark, "hours")
+    sinks.write_csv(s.hours, path)
+    return opening_hours.read_opening_hours(s.spark, path)
+
+
+@query(
+    "orders_view",
+    sql("SELECT status, count(*) AS orders FROM ro GROUP BY 1"),
+)
+def _(s):
+    """A frame named for SQL users."""
+    sinks.as_view(s.orders, "shop_orders")
+    return s.spark.sql("SELECT status, count(*) AS orders FROM shop_orders GROUP BY status")
+
+
+@query(
+    "appended_tables",
+    sql("SELECT status, 2 * count(*) AS rows FROM ro WHERE status <> 1 GROUP BY 1 UNION ALL SELECT status, count(*) FROM ro WHERE status = 1 GROUP BY 1"),
+)
+def _(s):
+    """A warehouse table, replaced, then appended to."""
+    name = f"orderloom_statuses_{abs(hash(s.sf_dir)) % 10**8}"
+    slim = s.orders.select("order_id", "status")
+    sinks.write_table(slim, name, mode="overwrite")
+    sinks.append_table(slim.where("status <> 1"), name)
+    return s.spark.table(name).groupBy("status").agg(F.count("*").alias("rows"))

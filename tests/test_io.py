@@ -164,17 +164,32 @@ def test_no_alert_before_28_days(spark):
 
 
 def test_streamed_alerts_know_the_days_before(spark, tmp_path):
-    source, history, alerts, state = (str(tmp_path / n) for n in ("in", "days", "alerts", "c"))
-    money = [100 + i % 3 for i in range(40)]
+    source, alerts, state = (str(tmp_path / n) for n in ("in", "alerts", "c"))
+    money = [100 + i % 3 for i in range(60)]
     money[35] = 900
-    schema = "window_start timestamp_ntz, revenue double"
-    for first in range(0, 40, 10):
+    money[50] = None  # closed without a row, as is the day after
+    money[51] = None
+    for first in range(0, 60, 10):
         _days(spark, money[first : first + 10], first).coalesce(1).write.mode("append").parquet(source)
-        days = spark.readStream.schema(schema).parquet(source)
-        kpi.write_daily_alerts(days, history, alerts, state).awaitTermination(120)
-    got = sorted(r["window_start"] for r in spark.read.parquet(f"{alerts}/days-*").collect())
-    want = sorted(r["window_start"] for r in kpi.daily_alerts(_days(spark, money)).collect())
-    assert got == want == [datetime(2024, 2, 5)]
+        days = spark.readStream.schema("window_start timestamp_ntz, revenue double").parquet(source)
+        kpi.write_daily_alerts(days, alerts, state).awaitTermination(120)
+    columns = ("window_start", "revenue", "mean_before", "std_before")
+    got = sorted(tuple(r[c] for c in columns) for r in spark.read.parquet(alerts).collect())
+    want = sorted(tuple(r[c] for c in columns) for r in kpi.daily_alerts(_days(spark, money)).collect())
+    assert [g[0] for g in got] == [w[0] for w in want] and datetime(2024, 2, 5) in [g[0] for g in got]
+    for g, w in zip(got, want):
+        assert g[1:] == pytest.approx(w[1:])
+
+
+def test_alert_series_are_apart(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    calm = _days(spark, [100 + i % 2 for i in range(40)]).withColumn("shop", F.lit("calm"))
+    wild = _days(spark, [100 + i % 2 for i in range(39)] + [900]).withColumn("shop", F.lit("wild"))
+    calm.unionAll(wild).coalesce(1).write.parquet(source)
+    schema = "window_start timestamp_ntz, revenue double, shop string"
+    stream = kpi.daily_alert_stream(spark.readStream.schema(schema).parquet(source), F.col("shop"))
+    kpi.write_windows(stream, out, str(tmp_path / "c")).awaitTermination(120)
+    assert [r["series"] for r in spark.read.parquet(out).collect()] == ["wild"]
 
 
 def test_menu_file(spark, tmp_path):

@@ -226,13 +226,3 @@ def test_campaign(spark):
     table = churn.campaign_list(frame, scored, segments)
     kpis = dicts(churn.campaign_kpis(frame, table, table))[0]
     assert kpis["campaign_cost"] == 500 and kpis["revenue_saved"] == pytest.approx(kpis["actual_lost"])
-
-
-def test_model_is_written_by_name(spark, hours):
-    from orderloom.plans import pipeline
-
-    tables = pipeline.model_tables(orders(spark, visits((1, [0, 3]))), hours, "2023-06-01")
-    seen = {}
-    pipeline.write_model(tables, lambda frame, name: seen.update({name: frame.count()}))
-    counts = {r["table"]: r["rows"] for r in pipeline.row_counts(tables).collect()}
-    assert seen == counts and counts["cart_lines"] == 2 and counts["dim_time"] == 4
