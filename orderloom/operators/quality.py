@@ -10,12 +10,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.scratch import stage
 
+AT_ONCE = 4  # tables that are written at the same time
+
 
 def _row(df: DataFrame, check: str, table: str, column: str, count: Column, sample: Column) -> DataFrame:
     return df.agg(
@@ -114,7 +118,8 @@ class Rule:
 
 
 def _keyed_entries(name: str, df: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame | None:
-    """(rule, key, child, parent): an entry per row and keyed rule the table has a part in."""
+    """(rule, hash, child, parent, key): an entry per row and keyed rule the table has a
+    part in; a 64-bit hash stands for the key."""
     entries = []
 
     def entry(number: int, columns: Sequence[str], child: int, parent: int) -> None:
@@ -122,9 +127,10 @@ def _keyed_entries(name: str, df: DataFrame, rules: Sequence[tuple[int, Rule]])
         text = F.concat_ws(", ", *[F.col(c).cast("string") for c in columns])
         made = F.struct(
             F.lit(number).alias("rule"),
-            text.alias("key"),
+            F.xxhash64(text).alias("hash"),
             F.lit(child).cast("long").alias("child"),
             F.lit(parent).cast("long").alias("parent"),
+            text.alias("key"),
         )
         entries.append(F.when(present, made))
 
@@ -138,6 +144,28 @@ def _keyed_entries(name: str, df: DataFrame, rules: Sequence[tuple[int, Rule]])
     return df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
 
 
+def _keyed_counts(entries: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+    """One aggregate for all unique and relationship checks; samples of failing keys are
+    looked up only where there are any."""
+    uniques = [n for n, r in rules if r.kind == "unique"]
+    is_unique = F.col("rule").isin(uniques) if uniques else F.lit(False)
+    groups = entries.groupBy("rule", "hash").agg(
+        F.sum("child").alias("child"), F.sum("parent").alias("parent")
+    )
+    wrong = F.when(is_unique, F.col("child") > 1).otherwise((F.col("parent") == 0))
+    rows = F.when(is_unique, 1).otherwise(F.col("child"))
+    failing = stage(groups.where(wrong).select("rule", "hash", rows.alias("failing_rows")), "failing")
+    counts = failing.groupBy("rule").agg(F.sum("failing_rows").alias("failing_rows"))
+    if failing.isEmpty():
+        return counts.withColumn("sample", F.lit(None).cast("string"))
+    # numbers come in their own order, unique checks in that of the text, as alone
+    number = F.when(~is_unique, F.col("key").try_cast("double"))
+    least = F.min(F.struct(number.alias("number"), F.col("key").alias("text")))["text"]
+    shown = entries.where("child = 1").join(failing.select("rule", "hash"), ["rule", "hash"], "left_semi")
+    samples = shown.groupBy("rule").agg(least.alias("sample"))
+    return counts.join(F.broadcast(samples), "rule", "left")  # a row per rule
+
+
 def _row_counts(df: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
     """One aggregate for all checks that look at single rows."""
     aggregates, entries = [], []
@@ -183,10 +211,13 @@ def run_checks(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFr
             used.setdefault(rule.parent, set()).add(rule.parent_column)
     # a rule of one's own may name any column
     own = {rule.table for _, rule in numbered if rule.failing}
-    narrow = {
-        name: stage(tables[name] if name in own else tables[name].select(*sorted(columns)), f"checked-{name}")
-        for name, columns in used.items()
-    }
+    def write(name: str) -> tuple[str, DataFrame]:
+        wanted = tables[name] if name in own else tables[name].select(*sorted(used[name]))
+        return name, stage(wanted, f"checked-{name}")
+
+    spark = next(iter(tables.values())).sparkSession
+    with ThreadPool(AT_ONCE) as pool:
+        narrow = dict(pool.map(inheritable_thread_target(spark)(write), list(used)))
     parts = []
     for name, df in narrow.items():
         mine = [(n, r) for n, r in numbered if r.table == name and not r.keyed]
@@ -196,25 +227,8 @@ def run_checks(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFr
     entries = [_keyed_entries(name, df, keyed) for name, df in narrow.items()]
     entries = [e for e in entries if e is not None]
     if entries:
-        keys = reduce(DataFrame.unionAll, entries).groupBy("rule", "key").agg(
-            F.sum("child").alias("child"), F.sum("parent").alias("parent")
-        )
-        uniques = [n for n, r in keyed if r.kind == "unique"]
-        is_unique = F.col("rule").isin(uniques) if uniques else F.lit(False)
-        repeated = is_unique & (F.col("child") > 1)
-        orphan = ~is_unique & (F.col("parent") == 0)
-        # numbers come in their own order, unique checks in that of the text, as alone
-        least = F.struct(
-            F.when(~is_unique, F.col("key").try_cast("double")).alias("number"), F.col("key").alias("text")
-        )
-        parts.append(
-            keys.groupBy("rule").agg(
-                F.sum(F.when(repeated, 1).when(orphan, F.col("child")).otherwise(0)).alias("failing_rows"),
-                F.min(F.when(repeated | orphan, least))["text"].alias("sample"),
-            )
-        )
+        parts.append(_keyed_counts(reduce(DataFrame.unionAll, entries), keyed))
     names = [(n, r.kind, r.table, ", ".join(r.columns)) for n, r in numbered]
-    spark = next(iter(narrow.values())).sparkSession
     listed = spark.createDataFrame(names, "rule int, check string, table string, column string")
     counted = reduce(DataFrame.unionAll, parts)  # a row per rule
     return listed.join(F.broadcast(counted), "rule", "left").select(

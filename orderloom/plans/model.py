@@ -11,11 +11,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONTH = "order_month"
+AT_ONCE = 4  # tables that are written at the same time
 
 
 @dataclass(frozen=True)
@@ -56,8 +59,12 @@ class Model:
         return f"{self.root.rstrip('/')}/{name}"
 
     def order(self, sources: Sequence[str]) -> list[Table]:
-        """Parents before children, otherwise as given; complains of what is missing or
-        waits for itself."""
+        """Parents before children, otherwise as given."""
+        return [table for step in self.steps(sources) for table in step]
+
+    def steps(self, sources: Sequence[str]) -> list[list[Table]]:
+        """Tables that can be written at the same time, step by step; complains of what is
+        missing or waits for itself."""
         done, waiting, found = set(sources), list(self.tables), []
         unknown = {p for t in waiting for p in t.parents} - done - set(self._by_name)
         if unknown:
@@ -66,7 +73,7 @@ class Model:
             ready = [t for t in waiting if done.issuperset(t.parents)]
             if not ready:
                 raise ValueError(f"tables wait for each other: {', '.join(t.name for t in waiting)}")
-            found += ready
+            found.append(ready)
             done.update(t.name for t in ready)
             waiting = [t for t in waiting if t.name not in done]
         return found
@@ -93,7 +100,7 @@ class Model:
         for month in months or ():
             if not re.fullmatch(r"\d{4}-\d\d", month):
                 raise ValueError(f"a month is written as 2024-05, not {month}")
-        for table in self.order(list(sources)):
+        def write_one(table: Table) -> None:
             some = months if months is not None and self._by_month(table, sources) else None
             parents = [self._parent(spark, sources, p, some) for p in table.parents]
             frame = table.build(*parents)
@@ -102,6 +109,10 @@ class Model:
             else:
                 self._write_months(spark, table, frame, some)
 
+        with ThreadPool(AT_ONCE) as pool:
+            for step in self.steps(list(sources)):
+                pool.map(inheritable_thread_target(spark)(write_one), step)
+
     def _parent(self, spark, sources: Mapping[str, Source], name: str, months) -> DataFrame:
         if name not in sources:
             return self.read(spark, name, months)
