@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from shared import frame, odd_rows, prose
 
 from orderloom.llm import importance, toxicity
@@ -211,3 +212,18 @@ def test_gumbel_sampling_is_in_proportion(spark):
     noise = [-F.log(-F.log(unit(F.lit(f"g{j}"), F.col("id")))) for j in range(2)]
     first = pairs.select((noise[0] + F.log(F.lit(3.0)) > noise[1]).cast("int").alias("first"))
     assert abs(first.agg({"first": "avg"}).first()[0] - 0.75) < 0.015
+
+
+def test_long_runs_do_not_end_the_matcher(spark):
+    """A million rounds of a repeated group, per generator; a stack per round would overflow."""
+    from orderloom.llm.personal_data import GENERATORS
+
+    n = 1_000_000
+    texts = [
+        "x@" + "a." * n + "a", "a[at]b" + ".c" * n, "a(at)b" + "[dot]c" * (n // 5), "1" * n, "1 " * (n // 2) + "1",
+        "+" * n, "+1" + "(2)" * (n // 3) + "3", "1." * (n // 2) + "1", "a@" * (n // 2), "+1 " * (n // 3),
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    columns = [F.regexp_count("text", F.lit(g.pattern)).alias(f"g{i}") for i, g in enumerate(GENERATORS)]
+    rows = {r.doc_id: r for r in frame.select("doc_id", *columns).collect()}
+    assert len(rows) == len(texts) and rows[0]["g0"] == 1 and rows[1]["g4"] == 1
