@@ -205,11 +205,12 @@ def _verified(pairs: DataFrame, overlap: Overlap) -> DataFrame:
         for batch in batches:
             keep, out = [], []
             for row in range(batch.num_rows):
-                doc = np.frombuffer(batch["doc_words"][row].as_buffer(), np.uint64)
+                # the words of the document that lie beside the item's, from its word lo on
+                beside = np.frombuffer(batch["beside"][row].as_buffer(), np.uint64)
                 item = np.frombuffer(batch["item_words"][row].as_buffer(), np.uint64)
                 diagonal = batch["diagonal"][row].as_py()
-                lo, hi = max(0, -diagonal), min(len(item), len(doc) - diagonal)
-                same = doc[lo + diagonal : hi + diagonal] == item[lo:hi]
+                lo = max(0, -diagonal)
+                same = beside == item[lo : lo + len(beside)]
                 least = min(overlap.min_words, -(-4 * len(item) // 5))
                 found = overlap_stretch(same, least, overlap.percent)
                 if found:
@@ -274,8 +275,16 @@ def overlaps(
     met = each.select("_row", F.col("hit.h").alias("h"), F.col("hit.p").alias("p")).join(seeds, "h")
     diagonals = met.select("_row", "item_id", (F.col("p") - F.col("q")).alias("diagonal")).distinct()
     pairs = diagonals.join(words, "item_id").join(hits.drop("h", "p"), "_row")
+    # a document that repeats a phrase has many diagonals: each takes only the words beside
+    # the item along, so the work grows with the text and not with its square
+    from_word = F.greatest(F.lit(0), -F.col("diagonal"))
+    first = (from_word + F.col("diagonal")) * 8
+    n_bytes = F.octet_length("item_words") - from_word * 8
+    beside = F.substr("doc_words", (first + 1).cast("int"), n_bytes.cast("int"))
     found = _verified(
-        pairs.select("_row", "doc_id", "digest", "item_id", "diagonal", "doc_words", "item_words"),
+        pairs.select(
+            "_row", "doc_id", "digest", "item_id", "diagonal", beside.alias("beside"), "item_words"
+        ),
         overlap,
     )
     place = F.struct("n_same", -F.col("doc_start"), "item_start", "n_words", "doc_start")

@@ -181,3 +181,33 @@ def test_wrong_kinds_of_vocabulary_are_refused(spark):
         tokens.token_counts(docs, WORD)
     with pytest.raises(ValueError):
         tokens.write_token_files(docs, "unused", BYTES)
+
+
+def test_a_repeated_phrase_is_linear_work(spark):
+    """Each diagonal carries the words beside the item, not the whole document."""
+    import time
+
+    phrase = " ".join(f"word{i}" for i in range(30))
+    items = spark.createDataFrame([(1, phrase), (2, "same " * 20)], "item_id long, text string")
+
+    def seconds(repeats):
+        docs = spark.createDataFrame(
+            [(1, (phrase + " ") * repeats), (2, "same " * 8 * repeats)], "doc_id long, text string"
+        )
+        began = time.time()
+        found = {(r.doc_id, r.item_id): r.n_same for r in contaminated_documents(docs, items).collect()}
+        assert found == {(1, 1): 30, (2, 2): 20}
+        return time.time() - began
+
+    seconds(10)
+    short, long = seconds(2000), seconds(4000)
+    assert long < 2.5 * short + 3
+
+
+def test_stretches_at_the_ends_of_a_text(spark):
+    phrase = [f"word{i}" for i in range(20)]
+    texts = [" ".join(phrase[4:]), " ".join(phrase[:15]), "x " + " ".join(phrase[6:]), " ".join(phrase[:12])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(phrase))], "item_id long, text string")
+    found = {r.doc_id: (r.doc_start, r.item_start, r.n_same) for r in contaminated_documents(docs, items).collect()}
+    assert found == {0: (0, 4, 16), 1: (0, 0, 15), 2: (1, 6, 14)}
