@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from orderloom.plans import cart, marts, pipeline, star
@@ -476,7 +478,9 @@ def _(s):
 )
 def _(s):
     """A warehouse table, replaced, then appended to."""
-    name = f"orderloom_statuses_{abs(hash(s.sf_dir)) % 10**8}"
+    base = f"orderloom_{uuid.uuid4().hex}"
+    s.spark.sql(f"CREATE DATABASE {base} LOCATION '{new_path(s.spark, 'warehouse')}'")
+    name = f"{base}.statuses"
     slim = s.orders.select("order_id", "status")
     sinks.write_table(slim, name, mode="overwrite")
     sinks.append_table(slim.where("status <> 1"), name)
