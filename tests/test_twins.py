@@ -19,9 +19,14 @@ def con():
     return connect(SF)
 
 
+# the smallest tables hold no item whose lines make it a high risk
+LARGER = {"high_risk_return_items_by_line": "/root/testdata/sf0.01"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_twin(spark, con, name):
-    assert compare(spark, con, name, SF) == []
+    folder = LARGER.get(name, SF)
+    assert compare(spark, con if folder == SF else connect(folder), name, folder) == []
 
 
 def between(low, high, *columns):
