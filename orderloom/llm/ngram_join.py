@@ -5,8 +5,13 @@ columns are ordered from rare to frequent.  A row's leading block are its first
 |x| - ceil(t |x|) + 1 columns in that order: two rows that reach the threshold t share
 columns there, because of the sizes alone.  The product of the leading blocks gives a cell
 to a pair only where the columns that are left behind the shared one can still reach the
-overlap that the two sizes ask for.  The cells only say which pairs are candidates: their
-overlaps are counted again from both whole texts, and those below the bound are dropped.
+overlap that the two sizes ask for.
+
+Each row also has its columns folded into about as many blocks as it has columns, with one
+bit per block: whether its count there is odd.  Where the bits of two rows differ, at least
+one column is in one of them only, so the number of such blocks bounds their overlap from
+above, and pairs whose bound is below what their sizes ask for are dropped.  The bound never
+drops a link.  Pairs that it leaves have their overlap counted from both whole texts.
 
 A group of m near copies would fill m * m / 2 cells.  Each row is first linked to the
 most central row it shares a leading column with (a star), counted exactly; the product is
@@ -50,6 +55,7 @@ from orderloom.scratch import stage
 SKETCH_BITS = 20
 WANTED_BITS = 22
 PARTNERS = 512
+WIDE = 1 << 20  # columns of cells with a greater count are not looked up one by one
 
 
 @dataclass(frozen=True)
@@ -84,11 +90,12 @@ class Threshold:
         return n - F.floor((n * self.percent + 99) / 100) + 1
 
 
-def column_levels(docs: DataFrame, size: int) -> np.ndarray:
+def column_levels(docs: DataFrame, size: int) -> tuple[np.ndarray, int]:
     """How frequent the columns of each cell of a fixed-size sketch are, in powers of two.
 
     Level 0 are cells with up to about twice the mean count.  The order only decides how
-    much work the join is, never its result.
+    much work the join is, never its result.  The number is the first level of which all
+    counts are above ``WIDE``.
     """
     cells, shift = 1 << SKETCH_BITS, np.uint64(64 - SKETCH_BITS)
 
@@ -104,13 +111,31 @@ def column_levels(docs: DataFrame, size: int) -> np.ndarray:
     counts = summed_counts(docs.select("text"), count, cells)
     floor = 2 * counts.mean() + 8
     levels = np.floor(np.log2(np.maximum(counts, 1) / floor)) + 1
-    return np.clip(levels, 0, 60).astype(np.uint8)
+    wide = max(int(np.ceil(np.log2(WIDE / floor))) + 1, 1)
+    return np.clip(levels, 0, 60).astype(np.uint8), wide
+
+
+def odd_blocks(grams: np.ndarray, owner: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row a bit for each block of its columns, set where their count is odd.
+
+    A row of n columns has the least power of two of blocks, 64 or more, that is not below
+    n; they come as 64-bit words with the bounds of each row.  A row with twice the blocks
+    is folded onto half of them by xor.
+    """
+    exponent = np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64)
+    blocks = np.where(n > 0, np.int64(1) << exponent, 0)
+    starts = np.concatenate([[0], np.cumsum(blocks)])
+    inside = (grams & (blocks[owner] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(starts[owner] + inside, minlength=starts[-1]) & 1
+    words = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+    return words, starts >> 6
 
 
 def shingle_rows(
-    docs: DataFrame, levels: np.ndarray, size: int, threshold: Threshold
+    docs: DataFrame, levels: np.ndarray, wide: int, size: int, threshold: Threshold
 ) -> DataFrame:
-    """Per row: n, a 128-bit signature of its shingle set, and its leading block."""
+    """Per row: n, a 128-bit signature of its shingle set, its odd blocks, its leading block
+    and how many columns of that are below the level ``wide``."""
     shift = np.uint64(64 - SKETCH_BITS)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +150,10 @@ def shingle_rows(
                 level = levels[(grams >> shift).astype(np.int64)]
                 order = np.lexsort((level, owner))  # stable: by hash inside a level
                 place = np.arange(len(grams)) - bounds[owner]
-                lead = grams[order][place < threshold.lead_length(n)[owner]]
+                leading = place < threshold.lead_length(n)[owner]
+                lead = grams[order][leading]
+                narrow = leading & (level[order] < wide)
+                odd, odd_ends = odd_blocks(grams, owner, n)
                 ends = np.concatenate([[0], np.cumsum(np.where(n, threshold.lead_length(n), 0))])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -134,16 +162,22 @@ def shingle_rows(
                         pa.array(n.astype(np.int64)),
                         pa.array(signed(row_sums(mix(grams), bounds))),
                         pa.array(signed(row_sums(mix(~grams), bounds))),
+                        pa.ListArray.from_arrays(
+                            pa.array(odd_ends.astype(np.int32)), pa.array(odd)
+                        ),
+                        pa.array(np.bincount(owner[narrow], minlength=count)),
                         pa.ListArray.from_arrays(
                             pa.array(ends.astype(np.int32)), pa.array(signed(lead))
                         ),
                     ],
-                    names=["_row", "doc_id", "n", "s1", "s2", "lead"],
+                    names=["_row", "doc_id", "n", "s1", "s2", "odd", "narrow", "lead"],
                 )
 
     key = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("_row", "doc_id", "text").mapInArrow(
-        scan, f"_row long, doc_id {key}, n long, s1 long, s2 long, lead array<long>"
+        scan,
+        f"_row long, doc_id {key}, n long, s1 long, s2 long, odd array<long>, narrow long, "
+        "lead array<long>",
     )
 
 
@@ -218,17 +252,46 @@ def _counted(pairs: DataFrame, docs: DataFrame, size: int, label: str) -> DataFr
     return stage(_overlaps(together, size), label)
 
 
+def _within(
+    pairs: DataFrame, odd: DataFrame, threshold: Threshold, slack: int = 1
+) -> DataFrame:
+    """The pairs whose odd blocks leave them at most ``slack`` times as far apart as allowed.
+
+    Only the pairs and a bit per column move, not the texts.
+    """
+    one, other = F.col("odd_a"), F.col("odd_b")
+    short = F.when(F.size(one) <= F.size(other), one).otherwise(other)
+    long = F.when(F.size(one) <= F.size(other), other).otherwise(one)
+    of_a = odd.select(F.col("_row").alias("a"), F.col("odd").alias("odd_a"))
+    of_b = odd.select(F.col("_row").alias("b"), F.col("odd").alias("odd_b"))
+    both = pairs.join(of_a, "a").join(of_b, "b")
+    both = both.select("a", "b", "na", "nb", short.alias("short"), long.alias("long"))
+
+    def differ(word: Column, at: Column) -> Column:
+        folded = F.sequence(at, F.size("long") - 1, F.size("short"))
+        return F.bit_count(
+            F.aggregate(folded, word, lambda x, i: x.bitwiseXOR(F.get("long", i)))
+        )
+
+    apart = F.aggregate(F.transform("short", differ), F.lit(0), lambda x, y: x + y)
+    most = threshold.most_apart(F.col("na"), F.col("nb")) * slack
+    return both.where(apart <= most).select("a", "b", "na", "nb")
+
+
 def _linked(counted: DataFrame, threshold: Threshold) -> DataFrame:
     holds = threshold.holds(F.col("overlap"), F.col("na"), F.col("nb"))
     return counted.where(holds).select("a", "b")
 
 
-def _star_counts(entries: DataFrame, docs: DataFrame, size: int, threshold: Threshold) -> DataFrame:
+def _star_counts(
+    entries: DataFrame, odd: DataFrame, docs: DataFrame, size: int, threshold: Threshold
+) -> DataFrame:
     """Each row's overlap with the most central row it shares columns with.
 
     Central is the row with the greatest share of its leading block in other rows, so a
     group's links meet in few rows.  Rows are ordered by (share, id), which makes the
-    links a forest.
+    links a forest.  A row that is beyond twice the allowed distance from it is not counted:
+    its distance would tell little about others.
     """
     place = F.struct("share", "node", "n", "c")
     hubs = entries.groupBy("gram").agg(F.max(place).alias("hub"))
@@ -246,7 +309,8 @@ def _star_counts(entries: DataFrame, docs: DataFrame, size: int, threshold: Thre
     pairs = best.select(
         "best.a", F.col("node").alias("b"), "best.na", F.col("n").alias("nb")
     )
-    return _counted(stage(pairs, "star-pairs"), docs, size, "star-counts")
+    near = _within(stage(pairs, "star-pairs"), odd, threshold, slack=2)
+    return _counted(stage(near, "near-stars"), docs, size, "star-counts")
 
 
 def _product_pairs(entries: DataFrame, counted: DataFrame, threshold: Threshold) -> DataFrame:
@@ -325,18 +389,27 @@ def jaccard_rows(
 def _jaccard_rows(
     docs: DataFrame, size: int, threshold: Threshold
 ) -> tuple[DataFrame, DataFrame]:
-    levels = column_levels(docs, size)
-    scanned = stage(shingle_rows(docs, levels, size, threshold), "shingle-rows")
-    narrow = scanned.drop("lead")
+    levels, wide = column_levels(docs, size)
+    scanned = stage(shingle_rows(docs, levels, wide, size, threshold), "shingle-rows")
+    narrow, odd = scanned.select("_row", "doc_id", "n", "s1", "s2"), scanned.select("_row", "odd")
     classes = stage(
         narrow.where("n > 0").groupBy("s1", "s2").agg(F.min("_row").alias("node")), "classes"
     )
     leads = scanned.join(classes.select(F.col("node").alias("_row")), "_row", "left_semi")
-    each = leads.select(
-        F.col("_row").alias("node"), "n", F.size("lead").alias("p"), F.posexplode("lead")
-    ).select("node", "n", F.col("col").alias("gram"), (F.col("p") - F.col("pos")).alias("room"))
-    shared = each.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
-    common = stage(each.join(shared, "gram"), "shared-columns")
+    column = ["node", "n", F.col("col").alias("gram"), (F.col("p") - F.col("pos")).alias("room")]
+
+    def columns(some: DataFrame) -> DataFrame:
+        return some.select(
+            F.col("_row").alias("node"), "n", "narrow", F.size("lead").alias("p"), F.posexplode("lead")
+        )
+
+    # columns that other rows have too: one shuffle, in which no column has more rows than
+    # a cell below the level has; those of wider cells go on unseen, as passing a column too
+    # many costs only work
+    rows = F.count("*").over(Window.partitionBy("gram"))
+    below = columns(leads).where("pos < narrow").select(*column).withColumn("rows", rows)
+    beyond = columns(leads.where("narrow < size(lead)")).where("pos >= narrow").select(*column)
+    common = below.where("rows > 1").drop("rows").unionByName(beyond)
     # a window holds the leading block of one row; a column that no other row has ends a run
     own = Window.partitionBy("node")
     inside = own.orderBy(F.col("room").desc())
@@ -348,8 +421,9 @@ def _jaccard_rows(
         .select("gram", "node", "n", "c", "room", "before", share.alias("share")),
         "entries",
     )
-    stars = _star_counts(entries, docs, size, threshold)
+    stars = _star_counts(entries, odd, docs, size, threshold)
     pairs = stage(_product_pairs(entries, stars, threshold), "product-pairs")
+    pairs = stage(_within(pairs, odd, threshold), "product-bounded")
     both = stars.unionAll(_counted(pairs, docs, size, "product-counts"))
     links = _linked(both, threshold)
     groups = components(links, "a", "b")

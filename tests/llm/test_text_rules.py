@@ -8,7 +8,14 @@ import pytest
 from shared import edited, folded, frame, groups, odd_rows, prose, shingle_set, words
 
 from orderloom.llm.components import components
-from orderloom.llm.ngram_join import Threshold, near_duplicate_components, one_of_each_group
+from orderloom.llm import ngram_join
+from orderloom.llm.ngram_join import (
+    Threshold,
+    _within,
+    near_duplicate_components,
+    odd_blocks,
+    one_of_each_group,
+)
 from orderloom.llm.quality_rules import HostRules, host_rates, judge_documents, keep_documents, text_measures
 
 
@@ -142,5 +149,62 @@ def test_bounds_never_exclude_a_link():
         assert (100 * (n - lead) < percent * n).all()
 
 
+def test_odd_blocks_never_exclude_a_link(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rule = Threshold()
+    sets, pairs = [], []
+    for n in (1, 2, 5, 63, 64, 65, 120, 128, 140, 500, 2000):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for m in range(4):
+            extra = rng.integers(0, 2**63, n * m // 12, dtype=np.uint64)
+            pairs.append((len(sets), len(sets) + 1))
+            sets += [base, np.concatenate([base[len(extra) // 2 :], extra])]
+    far = len(sets)
+    sets += [rng.integers(0, 2**63, 500, dtype=np.uint64) for _ in range(2)]
+    pairs.append((far, far + 1))
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    words, ends = odd_blocks(np.concatenate(sets), owner, np.array([len(x) for x in sets]))
+    odd = [(i, words[ends[i] : ends[i + 1]].tolist()) for i in range(len(sets))]
+    rows = [(a, b, len(sets[a]), len(sets[b])) for a, b in pairs]
+    got = _within(
+        spark.createDataFrame(rows, "a long, b long, na long, nb long"),
+        spark.createDataFrame(odd, "_row long, odd array<long>"),
+        rule,
+    ).collect()
+    kept = {(r.a, r.b) for r in got}
+    links = {
+        (a, b)
+        for a, b in pairs
+        if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))
+    }
+    assert links and links <= kept and (far, far + 1) not in kept
+
+
+def test_columns_of_frequent_cells(spark, monkeypatch):
+    # every column counts as frequent: none is looked up, and the components are the same
+    rows = near_copy_rows()
+    want = sorted(near_duplicate_components(frame(spark, rows)).collect())
+    monkeypatch.setattr(ngram_join, "WIDE", 1)
+    assert sorted(near_duplicate_components(frame(spark, rows)).collect()) == want
+    levels = ngram_join.column_levels
+    monkeypatch.setattr(ngram_join, "column_levels", lambda *a: (levels(*a)[0], 0))
+    assert sorted(near_duplicate_components(frame(spark, rows)).collect()) == want
+
+
+def test_texts_above_a_block(spark):
+    # 1.2 and 2.4 MB: hashed in pieces, equal to a set of the whole text
+    long = prose(41, 220_000)
+    rows = [(1, long, "s"), (2, edited(long, 42, 900), "s"), (3, long + " " + prose(43, 220_000), "s")]
+    sizes = {i: len(shingle_set(t, 4)) for i, t, _ in rows}
+    one, two = (shingle_set(rows[i][1], 4) for i in (0, 1))
+    linked = 100 * len(one & two) >= 85 * len(one | two)
+    assert len(long) > 1 << 20 and linked
+    found = near_duplicate_components(frame(spark, rows)).collect()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in found}
+    assert got == {1: (sizes[1], 1), 2: (sizes[2], 1), 3: (sizes[3], 3)}
+
+
 def test_folding_is_ascii_only():
     assert folded("ÀB") == "Àb"
