@@ -19,8 +19,6 @@ def unit(*parts: Column) -> Column:
     return (high + F.lit(0.5)) / F.lit(float(2**52))
 
 
-
-
 def poisson_count(u: Column, rate: Column) -> Column:
     """Smallest k with u <= P(X <= k) for X ~ Poisson(rate), as an expression.
 
@@ -90,7 +88,8 @@ def mix_sources(
     The rates, one row per source, are written first, so that their size is known when
     the join is planned: a small table is broadcast and the documents stay where they are,
     else a source with a third of all rows is split by the skew join.  The one wide shuffle
-    is the global order itself.
+    is the global order itself: as the order is even in (0, 1), the ranges are known without
+    a sample of it, so copies are drawn once.  There are spark.sql.shuffle.partitions ranges.
     """
     rates = stage(source_rates(docs, weights, source), "source-rates")
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
@@ -108,6 +107,9 @@ def mix_sources(
         "_copy", F.explode(F.sequence(F.lit(0), F.col("_k") - 1))
     )
     order = unit(F.lit(f"order{seed}"), own, F.col("_copy"))
-    mixed = copies.withColumn("_order", order).orderBy("_order", own, "_copy")
+    ordered = copies.withColumn("_order", order)
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.least(F.floor(F.col("_order") * n), F.lit(n - 1)).cast("int")
+    mixed = ordered.repartitionById(n, part).sortWithinPartitions("_order", own, "_copy")
     added = [c for c in ("_copy", "_rate", "_order") if c not in docs.columns]
     return mixed.select("_doc.*", *added)
