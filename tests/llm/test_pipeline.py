@@ -82,5 +82,5 @@ def test_twins(spark, name):
 
 def test_every_operator_has_its_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
