@@ -17,6 +17,7 @@ import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from orderloom.llm.common import least_hashed, whole_text
 
@@ -416,7 +417,7 @@ def write_token_files(
     payload itself, one zstandard frame per document.  Ids are 16 bits wide where the
     vocabulary allows, else 32, little endian.  Documents are in ascending order of id;
     null ids come first, and equal ids are ordered by hash of text and place in the
-    table.  One document is fetched from its chunk without touching its neighbours.
+    table.  Ids of any integer type are kept as long, others as text.  One document is fetched from its chunk without touching its neighbours.
 
     Null texts are empty and give only the end id.  The one shuffle sorts the texts, by
     ranges; files are committed by Spark's writer, so lost executors leave no halves.
@@ -432,7 +433,8 @@ def write_token_files(
     spark.createDataFrame(
         [(digest, bytearray(dictionary), dtype)], "dict_hash string, dictionary binary, dtype string"
     ).coalesce(1).write.parquet(f"{out}/dictionary")
-    key_type = pa.int64() if own.schema["doc_id"].dataType.simpleString() == "bigint" else pa.string()
+    whole = isinstance(own.schema["doc_id"].dataType, IntegralType)
+    key_type = pa.int64() if whole else pa.string()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -169,6 +169,17 @@ def test_token_files_round_trip(spark):
     assert want == Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in digests)
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint", "string"])
+def test_token_files_order_ids_by_their_kind(spark, kind):
+    ids = [10, 2, None, 9, 100]
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in ids], "doc_id long, text string")
+    out = new_path(spark, "test-kinds")
+    tokens.write_token_files(docs.withColumn("doc_id", docs.doc_id.cast(kind)), out, WORD)
+    found = [r.doc_id for r in tokens.token_digests(spark, out).orderBy("start").collect()]
+    texts = [None, "10", "100", "2", "9"]
+    assert found == (texts if kind == "string" else [None, 2, 9, 10, 100])
+
+
 def test_token_files_of_nothing(spark):
     out = new_path(spark, "test-no-tokens")
     tokens.write_token_files(spark.createDataFrame([], FIELDS), out, WORD)
