@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import itertools
 import json
 import os
 import sys
@@ -13,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,6 +22,7 @@ from pyspark.sql.types import IntegralType
 from orderloom.llm.common import least_hashed, whole_text
 
 PIECE = 1 << 18  # characters that are taken apart at a time
+GROUP = 1 << 22  # bytes of texts whose distinct words are looked up together
 KEPT = 300_000  # distinct pre-tokens whose counts a task remembers
 KEPT_IDS = 800_000  # distinct words whose ids a worker process remembers
 
@@ -213,11 +214,12 @@ class WordEncoder:
     """Ids of texts for vocabularies that never merge across white space.
 
     A text's ids are those of its words between white space, one after another, so each
-    distinct word is encoded by the library once and then looked up.  Texts with the four
-    separators U+001C to U+001F, on which Python and the library differ, are encoded whole.
+    distinct word is encoded by the library once and then looked up, once for all its
+    occurrences in a group of texts.  Texts with the four separators U+001C to U+001F, on
+    which Arrow's white space and the library's differ, are encoded whole.
     """
 
-    odd = regex.compile("[\x1c-\x1f]")
+    odd = "[\x1c-\x1f]"
     # on other code points the library's lower case may differ from Python's
     foldable = regex.compile("[\x00-\u012f\u0131-\u024f]+")
 
@@ -238,6 +240,7 @@ class WordEncoder:
         self.length = np.empty(1 << 14, np.int64)
         self.used = 0
         self._add([",", "."], *self._plain([",", "."]))
+        self._add([""], np.empty(0, np.int32), np.zeros(1, np.int64))  # beside outer white space
 
     def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         at, total = self.entries, len(ids)
@@ -270,16 +273,21 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         """Ids of new words.  Words in another case, or with a comma or a full stop behind
         letters, follow from the same word without, which alone is encoded."""
-        index, stems, marked = self.index, {}, []
+        index, folded, marked, fresh = self.index, [], [], set()
         for word in words:
-            stem = word.lower() if self.foldable.fullmatch(word) else word
-            if stem != word and self.added and self.added.search(stem):
-                stem = word  # the library looks for added tokens before it folds
+            stem = word.lower()
+            # the library looks for added tokens before it folds
+            if stem != word and not (
+                self.foldable.fullmatch(word) and not (self.added and self.added.search(stem))
+            ):
+                stem = word
             if stem[-1] in ",." and stem[:-1].isalpha():
                 marked.append((word, stem[:-1], stem[-1]))
                 stem = stem[:-1]
-            stems[word] = stem
-        fresh = {stem for stem in stems.values() if stem not in index}
+            elif stem != word:
+                folded.append((word, stem))
+            if stem not in index:
+                fresh.add(stem)
         letters = [w for w in fresh if w.isalpha()]
         for at in range(0, len(letters), 2000):
             some = letters[at : at + 2000]
@@ -287,9 +295,8 @@ class WordEncoder:
         others = [w for w in fresh if not w.isalpha()]
         if others:
             self._add(others, *self._plain(others))
-        for word, stem in stems.items():
-            if word not in index:
-                index[word] = index[stem]
+        for word, stem in folded:
+            index[word] = index[stem]
         if marked:
             own = np.fromiter((index[m[1]] for m in marked), np.int64, len(marked))
             sign = np.fromiter((index[m[2]] for m in marked), np.int64, len(marked))
@@ -304,49 +311,46 @@ class WordEncoder:
         places = np.arange(total) + np.repeat(self.start[at] - (ends - lengths), lengths)
         return self.flat[places], lengths
 
-    def _look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words in a row, and the number of ids of each word."""
+    def _look_up(self, words: list[str]) -> np.ndarray:
+        """Entries of distinct words."""
         if len(self.index) > KEPT_IDS:
             self._forget()
-        look = self.index.get
-        at = np.fromiter(map(look, words, itertools.repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            unknown = [words[i] for i in missing.tolist()]
-            self._learn(list(set(unknown)))
-            at[missing] = np.fromiter(map(look, unknown), np.int64, len(unknown))
-        return self._gather(at)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        index = self.index
+        unknown = [word for word in words if word not in index]
+        if unknown:
+            self._learn(unknown)
+        return np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+
+    def _group(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; the distinct words of all of them are looked up once."""
+        words = pc.utf8_split_whitespace(texts)
+        found = words.flatten().dictionary_encode()
+        entries = self._look_up(found.dictionary.to_pylist())
+        ids, lengths = self._gather(entries[found.indices.to_numpy()])
+        places = words.offsets.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(lengths)])[places - places[0]]
+        return [ids[at:to] for at, to in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text."""
-        out: list[np.ndarray] = []
-        words: list[str] = []
-        counts: list[int] = []
-
-        def flush() -> None:
-            if counts:
-                ids, lengths = self._look_up(words)
-                ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
-                out.extend(np.split(ids, ends[:-1]) if len(counts) > 1 else [ids])
-                words.clear()
-                counts.clear()
-
-        for text in texts:
-            if self.odd.search(text):
-                flush()
-                whole = self.library.encode(text, add_special_tokens=False).ids
-                out.append(np.array(whole, np.uint32))
-            elif len(text) > PIECE:
-                flush()
-                out.append(self._long(text))
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(column):
+            return
+        sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+        odd = pc.match_substring_regex(column, self.odd).to_numpy(zero_copy_only=False)
+        alone = odd | (sizes > PIECE)
+        group = np.cumsum(sizes) // GROUP
+        first = np.ones(len(column), bool)
+        first[1:] = alone[1:] | alone[:-1] | (group[1:] != group[:-1])
+        starts = np.flatnonzero(first)
+        for at, to in zip(starts.tolist(), np.append(starts[1:], len(column)).tolist()):
+            if odd[at]:
+                whole = self.library.encode(column[at].as_py(), add_special_tokens=False).ids
+                yield np.array(whole, np.uint32)
+            elif alone[at]:
+                yield self._long(column[at].as_py())
             else:
-                found = text.split()
-                words += found
-                counts.append(len(found))
-                if len(words) > 50_000:
-                    flush()
-        flush()
-        return out
+                yield from self._group(column[at:to])
 
     def _long(self, text: str) -> np.ndarray:
         parts, at = [], 0
@@ -354,7 +358,7 @@ class WordEncoder:
         while at < len(text):
             match = space.search(text, min(at + PIECE, len(text)))
             to = match.end() if match else len(text)
-            parts.append(self._look_up(text[at:to].split())[0])
+            parts += self._group(pa.array([text[at:to]], pa.string()))
             at = to
         return np.concatenate(parts)
 
@@ -382,7 +386,7 @@ def _train(docs: DataFrame, path: str, end_id: int, dtype: str, dictionary_bytes
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, samples = WordEncoder(path), []
         for batch in batches:
-            for ids in encoder.encode(batch["text"].to_pylist()):
+            for ids in encoder.encode(batch["text"]):
                 samples.append(np.append(ids, end_id).astype(dtype).tobytes())
         trained = b""
         if len(samples) >= 16 and sum(map(len, samples)) >= 8 * 1024:
@@ -468,18 +472,16 @@ def write_token_files(
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64)
-                encoded = encoder.encode(some["text"].to_pylist())
-                for one, ids in zip(some["doc_id"].to_pylist(), encoded):
-                    raw = np.append(ids, end_id).astype(dtype).tobytes()
-                    keys.append(one)
-                    counts.append(len(ids) + 1)
-                    frames.append(packer.compress(raw))
-                    size += len(raw)
-                    if size >= CHUNK_BYTES:
-                        yield chunk()
-                        number, size, keys, counts, frames = number + 1, 0, [], [], []
+            encoded = encoder.encode(batch["text"])
+            for one, ids in zip(batch["doc_id"].to_pylist(), encoded):
+                raw = np.append(ids, end_id).astype(dtype).tobytes()
+                keys.append(one)
+                counts.append(len(ids) + 1)
+                frames.append(packer.compress(raw))
+                size += len(raw)
+                if size >= CHUNK_BYTES:
+                    yield chunk()
+                    number, size, keys, counts, frames = number + 1, 0, [], [], []
         if keys:
             yield chunk()
 
