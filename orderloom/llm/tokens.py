@@ -7,6 +7,7 @@ import json
 import os
 import sys
 import types
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -270,6 +271,15 @@ class WordEncoder:
             return self._plain(words)
         return ids, np.diff(ends, prepend=0)
 
+    def _letters_alone(self, word: str) -> bool:
+        """Whether the library's form of the word is letters too.  Some letters end in a
+        mark there, which the library joins with a sign behind it."""
+        if not word.isalpha():
+            return False
+        return bool(self.foldable.fullmatch(word)) or (
+            unicodedata.normalize("NFC", word).lower().isalpha()
+        )
+
     def _learn(self, words: list[str]) -> None:
         """Ids of new words.  Words in another case, or with a comma or a full stop behind
         letters, follow from the same word without, which alone is encoded."""
@@ -281,7 +291,7 @@ class WordEncoder:
                 self.foldable.fullmatch(word) and not (self.added and self.added.search(stem))
             ):
                 stem = word
-            if stem[-1] in ",." and stem[:-1].isalpha():
+            if stem[-1] in ",." and self._letters_alone(stem[:-1]):
                 marked.append((word, stem[:-1], stem[-1]))
                 stem = stem[:-1]
             elif stem != word:

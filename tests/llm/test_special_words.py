@@ -28,3 +28,25 @@ def test_token_files_with_added_tokens_in_any_case(spark):
     starts = [sum(len(want[k]) for k in range(i)) for i in range(len(rows))]
     digests = tokens.token_digests(spark, out).orderBy("doc_id").collect()
     assert [r.start for r in digests] == starts
+
+
+def test_every_letter_with_a_sign_behind_it_matches_the_library():
+    """Letters whose lower case or composed form ends in a mark are not letters there."""
+    library, encoder = tokens.load_tokenizer(WORD), tokens.WordEncoder(WORD)
+    letters = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]
+    texts = [f"{c}, a{c}." for c in letters] + [f"A{c}b {c}{c}" for c in letters]
+    want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == want
+
+
+def test_groups_of_texts_of_any_size_match_the_library(monkeypatch):
+    """White space at the ends, empty texts, separators, and texts above a piece."""
+    library = tokens.load_tokenizer(WORD)
+    texts = ["", " ", "\n a　", "a\x1cb", "b", "\x1f", "Ab, " * 300, "x" * 2000 + " y", *SPECIAL, ""]
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    for piece, group in [(1 << 18, 1 << 22), (64, 100), (1, 1), (1000, 10)]:
+        monkeypatch.setattr(tokens, "PIECE", piece)
+        monkeypatch.setattr(tokens, "GROUP", group)
+        encoder = tokens.WordEncoder(WORD)
+        assert [ids.tolist() for ids in encoder.encode(texts)] == want
+    assert list(encoder.encode([])) == []
