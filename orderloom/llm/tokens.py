@@ -231,23 +231,37 @@ class WordEncoder:
         self.last[[i for text, i in vocabulary.items() if text.endswith("</w>")]] = True
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
-        self._forget()
+        self._start()
 
-    def _forget(self) -> None:
+    def _start(self) -> None:
         self.index: dict[str, int] = {}
         self.entries = 0
         self.flat = np.empty(1 << 16, np.int32)
         self.start = np.empty(1 << 14, np.int64)
         self.length = np.empty(1 << 14, np.int64)
+        self.met = np.zeros(1 << 14, np.int32)  # groups of texts in which an entry was met
         self.used = 0
         self._add([",", "."], *self._plain([",", "."]))
         self._add([""], np.empty(0, np.int32), np.zeros(1, np.int64))  # beside outer white space
 
+    def _forget(self) -> None:
+        """Drop words met in one group of texts only, and rarer ones until half is free."""
+        words = list(self.index)
+        entries = np.fromiter(self.index.values(), np.int64, len(words))
+        met, least = self.met[entries], 2
+        while np.count_nonzero(met >= least) > KEPT_IDS // 2:
+            least *= 2
+        kept = np.flatnonzero(met >= least)
+        ids, lengths = self._gather(entries[kept])
+        self._start()
+        self._add([words[i] for i in kept.tolist()], ids, lengths)
+
     def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         at, total = self.entries, len(ids)
         while len(self.start) < at + len(words):
             self.start = np.concatenate([self.start, self.start])
             self.length = np.concatenate([self.length, self.length])
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
         while len(self.flat) < self.used + total:
             self.flat = np.concatenate([self.flat, self.flat])
         self.flat[self.used : self.used + total] = ids
@@ -336,6 +350,7 @@ class WordEncoder:
         words = pc.utf8_split_whitespace(texts)
         found = words.flatten().dictionary_encode()
         entries = self._look_up(found.dictionary.to_pylist())
+        self.met[entries] += 1
         ids, lengths = self._gather(entries[found.indices.to_numpy()])
         places = words.offsets.to_numpy()
         ends = np.concatenate([[0], np.cumsum(lengths)])[places - places[0]]

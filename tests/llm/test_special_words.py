@@ -50,3 +50,15 @@ def test_groups_of_texts_of_any_size_match_the_library(monkeypatch):
         encoder = tokens.WordEncoder(WORD)
         assert [ids.tolist() for ids in encoder.encode(texts)] == want
     assert list(encoder.encode([])) == []
+
+
+@pytest.mark.parametrize("kept", [1, 5, 40])
+def test_forgetting_words_changes_no_ids(monkeypatch, kept):
+    library = tokens.load_tokenizer(WORD)
+    texts = [f"{prose(i % 7, 20)} Word{i}, {prose(i, 9).upper()}" for i in range(60)]
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    monkeypatch.setattr(tokens, "KEPT_IDS", kept)
+    monkeypatch.setattr(tokens, "GROUP", 300)
+    encoder = tokens.WordEncoder(WORD)
+    for _ in range(2):
+        assert [ids.tolist() for ids in encoder.encode(texts)] == want
