@@ -4,6 +4,9 @@ A table names its parents and is built from their written copies, so each is com
 once, however many others read it.  Tables whose rows of a month follow from that month's
 rows of their parents lie in month folders, and a change in some months rewrites those
 folders only; all others are written anew.
+
+Rows come to their month once, on the way into the first table in month folders.  Tables
+made row by row from tables that lie so are written where they are read.
 """
 
 from __future__ import annotations
@@ -19,17 +22,21 @@ from pyspark.sql import functions as F
 
 MONTH = "order_month"
 AT_ONCE = 4  # tables that are written at the same time
+CODEC = "zstd"  # texts and hashes take half the room
 
 
 @dataclass(frozen=True)
 class Table:
     """``build`` gets the parents' frames in order.  ``month_of`` names the time column of a
-    table in month folders; its parents are sources or in month folders as well."""
+    table in month folders; its parents are sources or in month folders as well.
+    ``row_by_row``: made from one parent without a shuffle, each row from one row of the
+    same month."""
 
     name: str
     parents: tuple[str, ...]
     build: Callable[..., DataFrame]
     month_of: str | None = None
+    row_by_row: bool = False
 
 
 @dataclass(frozen=True)
@@ -44,6 +51,11 @@ def month_text(column: str):
     return F.date_format(column, "yyyy-MM")
 
 
+def _to_months(frame: DataFrame, column: str) -> DataFrame:
+    """A month is one task, unless it is large: then adaptive execution splits it."""
+    return frame.withColumn(MONTH, month_text(column)).hint("rebalance", MONTH).drop(MONTH)
+
+
 @dataclass
 class Model:
     tables: Sequence[Table]
@@ -78,6 +90,16 @@ class Model:
             waiting = [t for t in waiting if t.name not in done]
         return found
 
+    def part(self, *names: str) -> Model:
+        """The model of the named tables and all they are made from, in the same folder."""
+        wanted, waiting = set(), list(names)
+        while waiting:
+            name = waiting.pop()
+            if name in self._by_name and name not in wanted:
+                wanted.add(name)
+                waiting += self._by_name[name].parents
+        return Model([t for t in self.tables if t.name in wanted], self.root)
+
     def _by_month(self, table: Table, sources: Mapping[str, Source]) -> bool:
         def has_months(name: str) -> bool:
             known = sources.get(name) or self._by_name[name]
@@ -103,11 +125,14 @@ class Model:
         def write_one(table: Table) -> None:
             some = months if months is not None and self._by_month(table, sources) else None
             parents = [self._parent(spark, sources, p, some) for p in table.parents]
+            in_months = table.row_by_row and self._by_month(table, sources)
+            if in_months and table.parents[0] in sources:
+                parents = [_to_months(parents[0], sources[table.parents[0]].month_of)]
             frame = table.build(*parents)
             if table.month_of is None:
-                frame.write.mode("overwrite").parquet(self.path(table.name))
+                frame.write.mode("overwrite").option("compression", CODEC).parquet(self.path(table.name))
             else:
-                self._write_months(spark, table, frame, some)
+                self._write_months(spark, table, frame, some, in_months)
 
         with ThreadPool(AT_ONCE) as pool:
             for step in self.steps(list(sources)):
@@ -121,12 +146,12 @@ class Model:
             return source.frame
         return source.frame.where(month_text(source.month_of).isin(list(months)))
 
-    def _write_months(self, spark, table: Table, frame: DataFrame, months) -> None:
-        # a month is one task, unless it is large: then adaptive execution splits it
+    def _write_months(self, spark, table: Table, frame: DataFrame, months, in_months: bool) -> None:
         (
-            frame.withColumn(MONTH, F.coalesce(month_text(table.month_of), F.lit("none")))
-            .hint("rebalance", MONTH)
+            (frame if in_months else _to_months(frame, table.month_of))
+            .withColumn(MONTH, F.coalesce(month_text(table.month_of), F.lit("none")))
             .write.mode("overwrite")
+            .option("compression", CODEC)
             .option("partitionOverwriteMode", "static" if months is None else "dynamic")
             .partitionBy(MONTH)
             .parquet(self.path(table.name))

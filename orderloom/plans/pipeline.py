@@ -26,10 +26,10 @@ def shop_model(root: str, as_of: star.AsOf = None, category: CategoryRule = no_m
 
     return Model(
         [
-            Table("orders", ("raw_orders",), documents, "date_created"),
-            Table("cart_lines", orders, cart.cart_lines, "date_created"),
-            Table("line_options", orders, cart.line_options, "date_created"),
-            Table("fct_order_details", orders, cart.fct_order_details, "date_created"),
+            Table("orders", ("raw_orders",), documents, "date_created", row_by_row=True),
+            Table("cart_lines", orders, cart.cart_lines, "date_created", row_by_row=True),
+            Table("line_options", orders, cart.line_options, "date_created", row_by_row=True),
+            Table("fct_order_details", orders, cart.fct_order_details, "date_created", row_by_row=True),
             Table("fct_product_sales", orders, cart.fct_product_sales),
             Table("fct_order_item_options", orders, cart.fct_order_item_options),
             Table("dim_customers", orders, lambda o: star.dim_customers(o, as_of)),

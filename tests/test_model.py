@@ -12,6 +12,7 @@ from shapes import T0, dicts, item, orders, raw
 from orderloom.operators import quality
 from orderloom.operators.joins import KeyMismatch, check_keys, join_on
 from orderloom.plans import metrics, pipeline
+from orderloom.plans import model as model_tables
 from orderloom.plans.model import Model, Source, Table
 from orderloom.sources.opening_hours import holiday_hours
 
@@ -186,3 +187,35 @@ def test_one_way_links(tables):
     assert {r["status"]: r["item_quantity"] for r in found.collect()} == {2: 6, 1: 4}
     with pytest.raises(ValueError, match="no link"):
         metrics.metric(tables, "orders", ["total"], ["items.item_category"])
+
+
+def test_part_of_a_model_has_what_it_is_made_from():
+    tables = [Table("a", ("s",), None), Table("b", ("a",), None), Table("c", ("a",), None), Table("d", ("b",), None)]
+    assert [t.name for t in Model(tables, "x").part("d").tables] == ["a", "b", "d"]
+    assert [t.name for t in Model(tables, "x").part("a", "c").tables] == ["a", "c"]
+
+
+def test_rows_come_to_their_month_once(spark, tmp_path, monkeypatch):
+    """Documents are dealt by month before they are parsed, and their lines not again."""
+    dealt = []
+    to_months = model_tables._to_months
+    monkeypatch.setattr(model_tables, "_to_months", lambda f, c: dealt.append(f.columns) or to_months(f, c))
+    source = raw(spark, _month_rows(range(4)))
+    model = pipeline.shop_model(str(tmp_path)).part("cart_lines", "line_options", "fct_order_details")
+    model.write(spark, {"raw_orders": Source(source, "date_created")})
+    assert dealt == [source.columns]
+    folders = sorted(d for d in os.listdir(tmp_path / "cart_lines") if "=" in d)
+    assert len(folders) == 4 and folders == sorted(d for d in os.listdir(tmp_path / "orders") if "=" in d)
+    assert model.read(spark, "orders").count() == source.count()
+
+
+def test_a_query_of_orders_writes_no_other_table(spark, tmp_path):
+    from orderloom.workload import q_star
+
+    class Small:
+        raw_once = raw(spark, _month_rows(range(4)))
+        hours = holiday_hours(raw_once)
+
+    shop = Small()
+    shop.spark = spark
+    assert os.listdir(q_star._model(shop, "orders").root) == ["orders"]
