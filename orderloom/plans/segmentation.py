@@ -16,13 +16,15 @@ from pyspark.sql import types as T
 
 from orderloom.operators.transforms import best_lambdas, boxcox, positive
 from orderloom.plans.rfm import METRICS
+from orderloom.scratch import stage
 
 SEED = 42
 
 
 def transformed(rfm: DataFrame) -> DataFrame:
     """Cube root of recency, power transforms of frequency and money."""
-    powers = best_lambdas(rfm, ["frequency", "monetary"])
+    # the rounds read a written copy; the result keeps the order of its rows, as clusters start from it
+    powers = best_lambdas(stage(rfm.select("frequency", "monetary"), "powers"), ["frequency", "monetary"])
     return rfm.select(
         "*",
         F.cbrt(F.col("recency").cast("double")).alias("recency_t"),

@@ -177,3 +177,21 @@ def test_retention_model_scores_everyone(spark):
     assert len(scored) == 80
     assert scored.loc[scored["retained"] == 1, "proba"].min() > scored.loc[scored["retained"] == 0, "proba"].max()
     assert isinstance(scored, pd.DataFrame)
+
+
+def test_rounds_of_the_powers_read_a_written_copy(spark, tmp_path):
+    """The search for powers reads the customers four times; what they come from, not."""
+    from orderloom.plans import segmentation
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    data = spark.sparkContext.parallelize([(i, i, i + 1, 10 * i + 1) for i in range(50)], 2).mapPartitions(counted)
+    frame = spark.createDataFrame(data, "customer_id long, recency long, frequency long, monetary long")
+    found = segmentation.transformed(frame)
+    assert seen.value == 50
+    assert found.count() == 50
