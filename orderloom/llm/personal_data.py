@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import least_hashed, whole_text
+from orderloom.llm.common import whole_text
 from orderloom.scratch import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -67,7 +67,6 @@ GENERATORS = (
 )
 
 BEFORE, AFTER = 24, 12  # characters of context that a candidate keeps
-SAMPLE_ROWS = 20_000  # candidates the trees are fitted on, at most
 
 
 @dataclass(frozen=True)
@@ -196,34 +195,40 @@ def _features(df: DataFrame) -> list[str]:
 
 
 def fit(found: DataFrame, boosting: Boosting = Boosting()):
-    """Trees and thresholds per kind from at most SAMPLE_ROWS candidates, by least hash.
+    """Trees and thresholds per kind from all candidates.
 
-    A third of the sample, by hash, is not shown to the trees; the threshold of a kind is
+    A third of them, by hash, is not shown to the trees; the threshold of a kind is
     the least score from which on at least ``precision`` of those are proved, rising
     scores considered, and 2 (nothing passes) where there is none.  Without candidates of
     both sorts there is no model, and only proved spans are returned.
+
+    Candidates that look the same to the trees are one row with their number as weight, so
+    the rounds pass over different forms, of which there are far fewer than candidates.
     """
+    columns = _features(found)
     hashed = F.xxhash64("_row", "generator", "start")
-    some = found.where("kind is not null")
-    sample = least_hashed(some, hashed, SAMPLE_ROWS, some.count())
-    sample = stage(
-        sample.withColumn("label", F.col("proved").cast("double")).withColumn(
-            "held", F.pmod(F.xxhash64(hashed), F.lit(3)) == 0
-        ),
-        "pii-sample",
+    forms = stage(
+        found.where("kind is not null")
+        .groupBy(
+            "kind",
+            *columns,
+            F.col("proved").cast("double").alias("label"),
+            (F.pmod(F.xxhash64(hashed), F.lit(3)) == 0).alias("held"),
+        )
+        .agg(F.count("*").cast("double").alias("weight")),
+        "pii-forms",
     )
-    sorts = sample.where("not held").select(F.countDistinct("label")).first()[0]
+    sorts = forms.where("not held").select(F.countDistinct("label")).first()[0]
     if sorts < 2:
         return None, dict.fromkeys(KINDS, 2.0)
-    columns = _features(found)
     assembler = VectorAssembler(inputCols=columns, outputCol="features")
     trees = GBTClassifier(
-        maxIter=boosting.rounds, maxDepth=boosting.depth, seed=boosting.seed, stepSize=0.3
-    ).fit(assembler.transform(sample.where("not held")))
-    unseen = score(sample.where("held"), trees)
+        maxIter=boosting.rounds, maxDepth=boosting.depth, seed=boosting.seed, stepSize=0.3, weightCol="weight"
+    ).fit(assembler.transform(forms.where("not held")))
+    unseen = score(forms.where("held"), trees)
     # as many rows per kind as there are distinct scores, of which trees have few
     by_score = unseen.groupBy("kind", "score").agg(
-        F.sum("label").alias("good"), F.count("*").alias("n")
+        F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n")
     )
     down = Window.partitionBy("kind").orderBy(F.col("score").desc())
     reached = by_score.withColumn(

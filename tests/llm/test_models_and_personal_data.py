@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from shared import frame, odd_rows, prose
 
-from orderloom.llm import importance, toxicity
+from orderloom.llm import importance, personal_data, toxicity
 from orderloom.llm.personal_data import KINDS, passes_luhn, private_documents
 
 
@@ -227,3 +227,26 @@ def test_long_runs_do_not_end_the_matcher(spark):
     columns = [F.regexp_count("text", F.lit(g.pattern)).alias(f"g{i}") for i, g in enumerate(GENERATORS)]
     rows = {r.doc_id: r for r in frame.select("doc_id", *columns).collect()}
     assert len(rows) == len(texts) and rows[0]["g0"] == 1 and rows[1]["g4"] == 1
+
+
+def test_trees_and_thresholds_of_personal_data_use_all_candidates(spark):
+    """25,000 candidates, more than the trees were once fitted on, in a few forms."""
+    import glob
+
+    from orderloom.scratch import _folder
+
+    n = 25_000
+    found = spark.range(n).select(
+        F.col("id").alias("_row"),
+        F.lit(0).alias("generator"),
+        F.lit(0).alias("start"),
+        F.lit("ip").alias("kind"),
+        (F.col("id") % 5 == 0).alias("proved"),
+        (F.col("id") % 5).cast("double").alias("x_form"),
+    )
+    before = set(glob.glob(f"{_folder(spark)}/pii-*"))
+    trees, limits = personal_data.fit(found)
+    (path,) = set(glob.glob(f"{_folder(spark)}/pii-*")) - before
+    forms = spark.read.parquet(path)
+    assert forms.agg(F.sum("weight")).first()[0] == n and forms.count() == 10
+    assert trees is not None and limits["ip"] <= 1 < limits["email"]
