@@ -80,12 +80,12 @@ FEATURES = {
 
 
 def _features(s):
-    return _once(s, "features", lambda: stage(churn.churn_features(s.orders), "churn"))
+    return _once(s, "features", lambda: stage(churn.churn_features(s.order_heads), "churn"))
 
 
 @query("churn_features", sql("SELECT * FROM cf", **FEATURES))
 def _(s):
-    return churn.churn_features(s.orders)
+    return churn.churn_features(s.order_heads)
 
 
 def _hash(key: str, seed: int = 42) -> str:

@@ -72,3 +72,13 @@ def test_raw_orders_are_written_for_their_readers_only(spark, star):
     assert len(glob.glob(f"{_folder(spark)}/raw-orders-*")) == before
     assert shop.raw.count() == 4
     assert len(glob.glob(f"{_folder(spark)}/raw-orders-*")) == before + 1
+
+
+def test_heads_of_orders_leave_the_carts_unparsed(spark, star):
+    shop = Shop(spark, star)
+    heads = dicts(shop.order_heads, "date_created")
+    assert "orders" not in shop.__dict__
+    assert heads == dicts(shop.orders.select(*shop.order_heads.columns), "date_created")
+    again = Shop(spark, star)
+    written = again.orders
+    assert again.order_heads is written
