@@ -25,6 +25,7 @@ WATCH_DAYS = 60
 MAX_RECENCY = 40
 FEATURES = ["recency", "frequency", "monetary"]
 POSITIVE_WEIGHT = 0.5
+TASK_ROWS = 2_000_000  # rows that a task of the boosted models keeps, about 200 MB
 TEST = "test"
 
 
@@ -151,13 +152,23 @@ def best_length(losses: list[float], patience: int) -> int:
     return best + 1
 
 
+def _few_tasks(rows: DataFrame) -> DataFrame:
+    """The rows in a task per core, or more where a task would hold too many.
+
+    Each round sends the sums of all bins from every task at each level of its tree, so
+    what is shuffled grows with the tasks, not with the rows.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(max(cores, -(-rows.count() // TASK_ROWS)))
+
+
 def fit_boosted(rows: DataFrame, setting: Boosting = AUC_MODEL, seed: int = 42) -> PipelineModel:
     """Boosted trees on the rows that are not for validation.
 
     With patience, all rounds are fitted, the loss after each round is taken on the
     validation rows, and the model is fitted again with the best number of rounds.
     """
-    train = rows.where(~F.col("is_validation"))
+    train = _few_tasks(rows.where(~F.col("is_validation")))
 
     def fit(rounds: int) -> PipelineModel:
         return _pipeline(

@@ -195,3 +195,11 @@ def test_rounds_of_the_powers_read_a_written_copy(spark, tmp_path):
     found = segmentation.transformed(frame)
     assert seen.value == 50
     assert found.count() == 50
+
+
+def test_boosting_takes_no_more_tasks_than_its_rows_need(spark, monkeypatch):
+    rows = spark.range(100, numPartitions=40)
+    cores = spark.sparkContext.defaultParallelism
+    assert churn._few_tasks(rows).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(churn, "TASK_ROWS", 9)
+    assert churn._few_tasks(rows).rdd.getNumPartitions() == 12
