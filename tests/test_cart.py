@@ -144,3 +144,19 @@ def test_line_scan_reads_named_fields_only(spark, tmp_path):
     plan = star.dim_products(spark.read.parquet(path))._jdf.queryExecution().toString()
     schema = plan[plan.rindex("ReadSchema") :]
     assert "item_name" in schema and "cart_item" not in schema and "options" not in schema
+
+
+def test_odd_values_are_looked_for_once(spark):
+    """Behind the test for a bracket, once per kind, and not once per use of the value."""
+    plan = orders(spark, [{"cart": [item("a")]}])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField(cart_total_price,") == 2
+
+
+@pytest.mark.parametrize("text, number", [("", 1), ("x", 1), ("2x", 1), ("7.5", 1), (" 7 ", 7), ("+3", 3), ("-2", -2)])
+def test_quantities(spark, text, number):
+    assert [r["item_quantity"] for r in lines(spark, [item("a", quantity=text)])] == [number]
+
+
+def test_text_without_a_digit_is_not_cast(spark):
+    plan = orders(spark, [{"cart": [item("a")]}])._jdf.queryExecution().optimizedPlan().toString()
+    assert "[0-9]) THEN try_cast" in plan
