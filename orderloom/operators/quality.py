@@ -141,12 +141,18 @@ def _keyed_entries(name: str, df: DataFrame, rules: Sequence[tuple[int, Rule]])
             entry(number, [rule.parent_column], 0, 1)
     if not entries:
         return None
-    return df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    return df.select(F.inline(F.array(*entries))).where("rule is not null")
 
 
-def _keyed_counts(entries: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+def _all_entries(tables: Mapping[str, DataFrame], rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+    entries = [_keyed_entries(name, df, rules) for name, df in tables.items()]
+    return reduce(DataFrame.unionAll, [e for e in entries if e is not None])
+
+
+def _keyed_counts(tables: Mapping[str, DataFrame], rules: Sequence[tuple[int, Rule]]) -> DataFrame:
     """One aggregate for all unique and relationship checks; samples of failing keys are
-    looked up only where there are any."""
+    looked up only for the rules, and in the tables, that have any."""
+    entries = _all_entries(tables, rules)
     uniques = [n for n, r in rules if r.kind == "unique"]
     is_unique = F.col("rule").isin(uniques) if uniques else F.lit(False)
     groups = entries.groupBy("rule", "hash").agg(
@@ -156,12 +162,15 @@ def _keyed_counts(entries: DataFrame, rules: Sequence[tuple[int, Rule]]) -> Data
     rows = F.when(is_unique, 1).otherwise(F.col("child"))
     failing = stage(groups.where(wrong).select("rule", "hash", rows.alias("failing_rows")), "failing")
     counts = failing.groupBy("rule").agg(F.sum("failing_rows").alias("failing_rows"))
-    if failing.isEmpty():
+    found = {row[0] for row in failing.select("rule").distinct().collect()}  # at most the rules
+    if not found:
         return counts.withColumn("sample", F.lit(None).cast("string"))
     # numbers come in their own order, unique checks in that of the text, as alone
     number = F.when(~is_unique, F.col("key").try_cast("double"))
     least = F.min(F.struct(number.alias("number"), F.col("key").alias("text")))["text"]
-    shown = entries.where("child = 1").join(failing.select("rule", "hash"), ["rule", "hash"], "left_semi")
+    own = {name: df for name, df in tables.items() if any(n in found and r.table == name for n, r in rules)}
+    again = _all_entries(own, [(n, r) for n, r in rules if n in found])
+    shown = again.where("child = 1").join(failing.select("rule", "hash"), ["rule", "hash"], "left_semi")
     samples = shown.groupBy("rule").agg(least.alias("sample"))
     return counts.join(F.broadcast(samples), "rule", "left")  # a row per rule
 
@@ -224,10 +233,8 @@ def run_checks(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFr
         if mine:
             parts.append(_row_counts(df, mine))
     keyed = [(n, r) for n, r in numbered if r.keyed]
-    entries = [_keyed_entries(name, df, keyed) for name, df in narrow.items()]
-    entries = [e for e in entries if e is not None]
-    if entries:
-        parts.append(_keyed_counts(reduce(DataFrame.unionAll, entries), keyed))
+    if keyed:
+        parts.append(_keyed_counts(narrow, keyed))
     names = [(n, r.kind, r.table, ", ".join(r.columns)) for n, r in numbered]
     listed = spark.createDataFrame(names, "rule int, check string, table string, column string")
     counted = reduce(DataFrame.unionAll, parts)  # a row per rule

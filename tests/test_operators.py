@@ -194,3 +194,21 @@ def test_profile(skewed):
     assert (top["value"], top["count"]) == ("1", 300)
     quartiles = profile.quantiles(skewed, ["id"]).first()
     assert (quartiles["min"], quartiles["max"]) == (0.0, 899.0)
+
+
+def test_samples_are_looked_up_in_failing_tables_only(spark):
+    tables = {
+        "fine": spark.createDataFrame([(1,), (2,), (None,)], "k long"),
+        "broken": spark.createDataFrame([(1,), (10,), (10,), (9,), (9,), (None,)], "k long"),
+    }
+    rules = [quality.Rule("unique", name, ("k",)) for name in tables]
+    rules.append(quality.Rule("relationships", "broken", ("k",), parent="fine", parent_column="k"))
+    found = quality.run_checks(tables, rules)
+    rows = {(r["check"], r["table"]): (r["failing_rows"], r["sample"]) for r in found.collect()}
+    assert rows == {
+        ("unique", "fine"): (0, None),
+        ("unique", "broken"): (2, "10"),
+        ("relationships", "broken"): (4, "9"),
+    }
+    only_unique = quality.run_checks(tables, rules[:2]).inputFiles()
+    assert not any("checked-fine" in name for name in only_unique)
