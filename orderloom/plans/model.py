@@ -12,7 +12,8 @@ made row by row from tables that lie so are written where they are read.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -23,6 +24,12 @@ from pyspark.sql import functions as F
 MONTH = "order_month"
 AT_ONCE = 4  # tables that are written at the same time
 CODEC = "zstd"  # texts and hashes take half the room
+# Shuffle files go when their table is written.  A task keeps a file open per month, so that
+# lines are not sorted, and spilled, to come to their folders; past so many months it sorts.
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
+}
 
 
 @dataclass(frozen=True)
@@ -56,6 +63,18 @@ def _to_months(frame: DataFrame, column: str) -> DataFrame:
     return frame.withColumn(MONTH, month_text(column)).hint("rebalance", MONTH).drop(MONTH)
 
 
+@contextmanager
+def _settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @dataclass
 class Model:
     tables: Sequence[Table]
@@ -134,7 +153,7 @@ class Model:
             else:
                 self._write_months(spark, table, frame, some, in_months)
 
-        with ThreadPool(AT_ONCE) as pool:
+        with _settings(spark, WRITING), ThreadPool(AT_ONCE) as pool:
             for step in self.steps(list(sources)):
                 pool.map(inheritable_thread_target(spark)(write_one), step)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from datetime import timedelta
 
 import pytest
@@ -219,3 +220,48 @@ def test_a_query_of_orders_writes_no_other_table(spark, tmp_path):
     shop = Small()
     shop.spark = spark
     assert os.listdir(q_star._model(shop, "orders").root) == ["orders"]
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    before = _shuffle_files(spark)
+    model = pipeline.shop_model(str(tmp_path), "2024-01-01")
+    hours = holiday_hours(orders(spark, _month_rows(range(4))))
+    model.write(spark, pipeline.shop_sources(raw(spark, _month_rows(range(4))), hours))
+    until = time.time() + 20  # files are removed in the background
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert model.read(spark, "paid_lines_with_threshold").count() == 12
+
+
+def test_lines_come_to_their_folders_unsorted(spark, tmp_path):
+    """A sort by month of whole lines spills; a file per month is open instead."""
+    model = pipeline.shop_model(str(tmp_path)).part("cart_lines", "line_options", "fct_order_details")
+    model.write(spark, {"raw_orders": Source(raw(spark, _month_rows(range(4))), "date_created")})
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs.apply(i).physicalPlanDescription() or "" for i in range(runs.size())]
+    for name in ("orders", "cart_lines", "line_options", "fct_order_details"):
+        found = [plan for plan in plans if f"{tmp_path}/{name}," in plan]
+        assert found, name
+        assert not any("Sort" in plan for plan in found), name
+
+
+def test_settings_of_a_write_end_with_it(spark, tmp_path):
+    before = {key: spark.conf.get(key, None) for key in model_tables.WRITING}
+    seen = []
+
+    def build(rows):
+        seen.append({key: spark.conf.get(key) for key in model_tables.WRITING})
+        raise ValueError("no such table")
+
+    with pytest.raises(ValueError, match="no such table"):
+        Model([Table("a", ("s",), build)], str(tmp_path)).write(spark, {"s": Source(spark.range(3))})
+    assert seen == [model_tables.WRITING]
+    assert {key: spark.conf.get(key, None) for key in model_tables.WRITING} == before
